@@ -1,0 +1,7 @@
+"""Reserved package.
+
+Nothing in this line of work is a stream: a load compares one whole corpus
+with one whole published state, and a row missing from the corpus means
+"delete". A micro-batch can never prove absence, so no streaming operator is
+offered here.
+"""
