@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalith.operators.contract import MAX_ROWS_PER_TABLE
-from catalith.skew import checked_broadcast, spread_join
+from catalith.skew import checked_broadcast, spread_join, spread_join_both
 
 
 def mapping_choices(mappings: DataFrame, columns: DataFrame, table_id: str | None = None) -> DataFrame:
@@ -19,7 +19,7 @@ def mapping_choices(mappings: DataFrame, columns: DataFrame, table_id: str | Non
     # The column side is unique; the mapping side may repeat one column very often.
     found = spread_join(maps, cols, ["source_column_id"], "inner", spread_by=["mapping_name"])
     status = F.when(F.col("target_expression").isNull(), "dropped").otherwise("mapped")
-    bare = cols.join(mappings.select("source_column_id"), "source_column_id", "left_anti")
+    bare = cols.join(mappings.select("source_column_id").distinct(), "source_column_id", "left_anti")
     return found.withColumn("status", status).unionByName(
         bare.withColumn("status", F.lit("unmapped")), allowMissingColumns=True
     )
@@ -50,28 +50,22 @@ def apply_mapping(
     `joins` lists, in order, the tables to reach and the equal column ids
     (here, there). `kind` is scalar (also for window expressions) or aggregate.
     Unmatched source rows stay, as with a left join: the matching part is an
-    inner join spread over the hot keys of the joined table, the rest an anti
-    join. The aggregate combines map-side.
+    inner join spread over the hot keys of either side, the rest an anti join. The aggregate combines map-side.
     """
     if kind not in ("scalar", "aggregate"):
         raise ValueError(f"unknown mapping kind {kind!r}")
     work = _physical(source_table, frames[source_table])
     for table, on in joins:
         other = _physical(table, frames[table])
-        here = [h for h, _ in on]
-        for h, t in on:
-            other = other.withColumn(f"_k_{h}", F.col(f"`{t}`"))
+        plain = [f"_k{i}" for i in range(len(on))]
         keyed = work
-        for h in here:
-            keyed = keyed.withColumn(f"_k_{h}", F.col(f"`{h}`"))
-        keys = [f"`_k_{h}`" for h in here]
-        plain = [f"_k_{h}".replace(".", "__") for h in here]
-        for q, p in zip(keys, plain):
-            other = other.withColumnRenamed(q.strip("`"), p)
-            keyed = keyed.withColumnRenamed(q.strip("`"), p)
-        spread = [f"`{c}`" for c in other.columns if c not in plain]
-        matched = spread_join(other, keyed, plain, "inner", spread_by=spread)
-        lone = keyed.join(other.select(*plain), plain, "left_anti")
+        for name, (here, there) in zip(plain, on):
+            keyed = keyed.withColumn(name, F.col(f"`{here}`"))
+            other = other.withColumn(name, F.col(f"`{there}`"))
+        matched = spread_join_both(
+            keyed, other, plain, [f"`{c}`" for c in work.columns], [f"`{c}`" for c in other.columns if c not in plain]
+        )
+        lone = keyed.join(other.select(*plain).distinct(), plain, "left_anti")
         work = matched.unionByName(lone, allowMissingColumns=True).drop(*plain)
     value = F.expr(_quoted(expression, work.columns)).alias(into)
     keys = [F.col(f"`{source_table}.{k}`").alias(k) for k in source_key]
@@ -86,7 +80,7 @@ def table_grain(columns: DataFrame, tables: DataFrame) -> DataFrame:
     Rows, not an array: a very wide table stays spread over the cluster.
     """
     keys = columns.where("is_primary_key").select("table_id", "column_name")
-    keyless = tables.select("table_id").join(keys.select("table_id"), "table_id", "left_anti")
+    keyless = tables.select("table_id").join(keys.select("table_id").distinct(), "table_id", "left_anti")
     return keys.unionByName(keyless, allowMissingColumns=True)
 
 

@@ -77,7 +77,9 @@ def docs_gate(headers: DataFrame, docs: DataFrame) -> DataFrame:
     repeated = checked.groupBy("table", "name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     undocumented = checked.distinct().join(documented, ["table", "name"], "left_anti")
     delivered = headers.select("table").distinct()
-    absent = documented.distinct().join(delivered, "table", "left_semi").join(cells, ["table", "name"], "left_anti")
+    absent = documented.distinct().join(delivered, "table", "left_semi").join(
+        cells.distinct(), ["table", "name"], "left_anti"
+    )
     key = F.col("table")
 
     def issue(df: DataFrame, what: str) -> DataFrame:
@@ -231,7 +233,7 @@ def duplicate_stem(files: DataFrame) -> DataFrame:
 
 
 def unknown_table(files: DataFrame, live: DataFrame) -> DataFrame:
-    bad = files.join(live.select("table"), "table", "left_anti")
+    bad = files.join(live.select("table").distinct(), "table", "left_anti")
     return as_issues(bad, "unknown_table", "contract", F.col("path"), F.col("table"), wave=1)
 
 
@@ -300,7 +302,7 @@ def apply_exemptions(issues: DataFrame, exemptions: DataFrame) -> DataFrame:
 
 def unused_exemptions(exemptions: DataFrame, matchable: DataFrame, on: list[str]) -> DataFrame:
     """Exemptions that changed nothing: usually a typo or a leftover."""
-    return exemptions.join(matchable.select(*on), on, "left_anti").distinct()
+    return exemptions.join(matchable.select(*on).distinct(), on, "left_anti").distinct()
 
 
 def freshness(files: DataFrame, ledger: DataFrame, live: DataFrame) -> DataFrame:

@@ -94,12 +94,12 @@ def _scoped(df: DataFrame, rule: str) -> DataFrame:
 def zero_expansion(entries: DataFrame, tables: DataFrame, schemas: DataFrame) -> DataFrame:
     """Entries, schema keys and table maps that cannot yield a single row (scoped rows)."""
     bare = entries.where(F.col("schemas").isNull())
-    empty_source = spread_join(bare.select(SOURCE, "system"), tables.select(SOURCE), [SOURCE], "left_anti")
+    empty_source = spread_join(bare.select(SOURCE, "system"), tables.select(SOURCE).distinct(), [SOURCE], "left_anti")
     empty_map = entries.where(F.size("schemas") == 0)
     asked = schema_requests(entries)
     known = asked.select(SOURCE, "system", SCHEMA, "table_map").join(schemas, [SOURCE, SCHEMA], "left_semi")
     empty_schema = known.where(F.col("table_map").isNull()).drop("table_map").join(
-        tables.select(SOURCE, SCHEMA), [SOURCE, SCHEMA], "left_anti"
+        tables.select(SOURCE, SCHEMA).distinct(), [SOURCE, SCHEMA], "left_anti"
     )
     empty_tables = known.where(F.size("table_map") == 0)
     return (
@@ -143,7 +143,7 @@ def physical_names(entries: DataFrame) -> DataFrame:
 
 def deploys_nowhere(sources: DataFrame, deployments: DataFrame, entries: DataFrame, tables: DataFrame) -> DataFrame:
     """Sources without a single deployment row, with the likelier of two causes."""
-    lost = sources.select(SOURCE).join(deployments.select(SOURCE), SOURCE, "left_anti")
+    lost = sources.select(SOURCE).join(deployments.select(SOURCE).distinct(), SOURCE, "left_anti")
     has_entry = entries.select(SOURCE).distinct().withColumn("_entry", F.lit(True))
     has_table = tables.select(SOURCE).distinct().withColumn("_table", F.lit(True))
     seen = lost.join(has_entry, SOURCE, "left").join(has_table, SOURCE, "left")

@@ -33,7 +33,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def _is_settled(edges: DataFrame) -> bool:
     """Every node hangs on one parent, and no parent hangs on another node."""
     forked = edges.groupBy("u").count().where(F.col("count") > 1).select(F.col("u").alias("n"))
-    middle = edges.select(F.col("v").alias("n")).join(edges.select(F.col("u").alias("n")), "n", "left_semi")
+    parents = edges.select(F.col("v").alias("n")).distinct()
+    middle = parents.join(edges.select(F.col("u").alias("n")).distinct(), "n", "left_semi")
     return forked.union(middle).isEmpty()
 
 

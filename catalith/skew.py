@@ -18,6 +18,23 @@ HOT_KEYS = 64
 SALTS = 64
 # Below this many rows a key is never worth splitting.
 HOT_FLOOR = 200_000
+# Jobs whose source files hold less than this in all cannot overload a task,
+# whatever the keys; they skip the search for hot keys.
+SMALL_INPUT_BYTES = 256 << 20
+
+
+def source_bytes(df: DataFrame) -> int | None:
+    """Bytes in the files under a query as its plan states them, None if unknown."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return None
+    leaves = plan.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def is_small(*frames: DataFrame) -> bool:
+    sizes = [source_bytes(df) for df in frames]
+    return None not in sizes and sum(sizes) < SMALL_INPUT_BYTES
 
 
 def hot_keys(rows: DataFrame, key: list[str], floor: int = HOT_FLOOR) -> DataFrame:
@@ -32,6 +49,17 @@ def hot_keys(rows: DataFrame, key: list[str], floor: int = HOT_FLOOR) -> DataFra
     )
 
 
+def _own_salt(spread: list[str]) -> Column:
+    zero = F.lit(0).cast("bigint")
+    return F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS).cast("bigint"))).otherwise(zero)
+
+
+def _copies() -> Column:
+    """Salts a row is copied to: all of them for a hot key, else the single zero."""
+    zero, last = F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")
+    return F.when(F.col("_hot"), F.sequence(zero, last)).otherwise(F.array(zero))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -50,17 +78,15 @@ def spread_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot keep the meaning of a {how!r} join")
+    if is_small(left):
+        return left.join(right, key, how)
     hot = hot_keys(left, key, floor)
     spread = spread_by or [c for c in left.columns if c not in key] or key
     salted_left = left.join(F.broadcast(hot), key, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(F.lit(0)),
-    ).drop("_hot")
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salted_right = right.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))).cast("bigint"),
+        _own_salt(spread),
     ).drop("_hot")
+    salted_right = right.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(_copies())).drop("_hot")
     return salted_left.join(salted_right, [*key, "_salt"], how).drop("_salt")
 
 
@@ -78,3 +104,31 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 def first_place(order: list[str]) -> Column:
     """Aggregate: the smallest value of the ordering columns in the group."""
     return F.min(F.struct(*order))
+
+
+def spread_join_both(
+    left: DataFrame,
+    right: DataFrame,
+    key: list[str],
+    spread_left: list[str],
+    spread_right: list[str],
+    floor: int = HOT_FLOOR,
+) -> DataFrame:
+    """Inner equi-join in which hot keys of either side are spread.
+
+    A row takes its own salt if its side is hot, and is copied to every salt of
+    the other side if that one is hot, so each pair meets exactly once.
+    """
+    if is_small(left, right):
+        return left.join(right, key)
+    hot = {"_sl": F.broadcast(hot_keys(left, key, floor)), "_sr": F.broadcast(hot_keys(right, key, floor))}
+
+    def salted(df: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
+        df = df.join(hot[own], key, "left").withColumn(own, _own_salt(spread))
+        df = df.drop("_hot").join(hot[other], key, "left")
+        return df.withColumn(other, F.explode(_copies())).drop("_hot")
+
+    both = salted(left, "_sl", "_sr", spread_left).join(
+        salted(right, "_sr", "_sl", spread_right), [*key, "_sl", "_sr"]
+    )
+    return both.drop("_sl", "_sr")
