@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from catalith.plans import (  # noqa: F401
     change_queries,
+    expression_queries,
     hierarchy_queries,
     key_queries,
+    placement_queries,
 )
 from catalith.plans.registry import ORACLES, QUERIES, Query
 
