@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from catalith.functions.binding import let
+
 _NAME = r'(?:[\p{L}_][\p{L}\p{N}_$]*|"[^"]*")'
 _TOKEN = (
     r"(?s)'[^']*(?:''[^']*)*'"  # literal
@@ -113,7 +115,10 @@ def column_references(expr: Column) -> Column:
 
 def bare_names(expr: Column) -> Column:
     """One-part names that are neither SQL words nor the type of a `::` cast."""
-    toks = tokens(expr)
+    return let(tokens(expr), bare_name_tokens)
+
+
+def bare_name_tokens(toks: Column) -> Column:
     kept = F.filter(
         toks,
         lambda t, i: t.rlike(_IS_BARE)
@@ -125,8 +130,12 @@ def bare_names(expr: Column) -> Column:
 
 def badly_qualified(expr: Column) -> Column:
     """References, bare names included, that do not have exactly four parts."""
-    wrong = F.filter(column_references(expr), lambda r: F.size(F.split(r, r"\.")) != REFERENCE_PARTS)
-    return F.concat(wrong, bare_names(expr))
+
+    def wrong(toks: Column) -> Column:
+        off = F.filter(reference_tokens(toks), lambda r: F.size(F.split(r, r"\.")) != REFERENCE_PARTS)
+        return F.concat(off, bare_name_tokens(toks))
+
+    return let(tokens(expr), wrong)
 
 
 def tables_referenced(expr: Column) -> Column:
@@ -138,26 +147,41 @@ def tables_referenced(expr: Column) -> Column:
 
 def volatile_functions(expr: Column) -> Column:
     """Sorted distinct denylisted names used as a call or as a bare context keyword."""
-    toks = F.transform(tokens(expr), F.lower)
-    calls = F.transform(
-        F.filter(toks, lambda t: t.rlike(r"\w\s*\(\z")),
-        lambda t: F.regexp_extract(t, r"(\w+)\s*\(\z", 1),
-    )
-    words = F.filter(toks, lambda t: t.isin(*CONTEXT_KEYWORDS))
     deny = F.array(*[F.lit(n) for n in VOLATILE_FUNCTIONS])
-    return F.array_sort(F.array_distinct(F.array_intersect(F.concat(calls, words), deny)))
+
+    def found(toks: Column) -> Column:
+        calls = F.transform(
+            F.filter(toks, lambda t: t.rlike(r"\w\s*\(\z")),
+            lambda t: F.regexp_extract(t, r"(\w+)\s*\(\z", 1),
+        )
+        words = F.filter(toks, lambda t: t.isin(*CONTEXT_KEYWORDS))
+        return F.array_sort(F.array_distinct(F.array_intersect(F.concat(calls, words), deny)))
+
+    return let(F.transform(tokens(expr), F.lower), found)
 
 
 def navigation_kind(expr: Column) -> Column:
     """Label of the outermost statement or row-navigating construct, NULL for a plain expression."""
-    toks = F.transform(tokens(expr), lambda t: F.regexp_replace(F.lower(t), r"\s*\(\z", ""))
-    opens = F.transform(tokens(expr), lambda t: t.endswith("("))
+    return let(F.transform(tokens(expr), F.lower), _navigation_label)
+
+
+def _navigation_label(raw: Column) -> Column:
+    """The label for lower-case tokens, in which a call still carries its bracket."""
+    return let(
+        F.transform(raw, lambda t: F.regexp_replace(t, r"\s*\(\z", "")), lambda toks: _label_of(raw, toks)
+    )
+
+
+def _label_of(raw: Column, toks: Column) -> Column:
     first = F.get(toks, F.lit(0))
     # A semicolon that is not the last token starts a second statement.
     second_statement = F.exists(F.slice(toks, F.lit(1), F.greatest(F.size(toks) - 1, F.lit(0))), lambda t: t == ";")
     # A query right behind an opening bracket.
     inner_query = F.exists(
-        F.transform(toks, lambda t, i: t.isin("select", "with") & (i > 0) & F.coalesce(F.get(opens, i - 1), F.lit(False))),
+        F.transform(
+            toks,
+            lambda t, i: t.isin("select", "with") & (i > 0) & F.coalesce(F.get(raw, i - 1).endswith("("), F.lit(False)),
+        ),
         lambda b: b,
     )
 

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from catalith.functions.binding import let
+
 # The label alphabet, its length limit and the reserved words.
 LABEL_PATTERN = r"\A[a-z0-9_-]+\z"
 LABEL_ILLEGAL = r"[^a-z0-9_-]"
@@ -69,8 +71,12 @@ def subpath(path: str | Column, offset: int, length: int | None = None) -> Colum
 
 def ancestors(path: str | Column) -> Column:
     """Array of every prefix of the path, the path itself last."""
-    p = labels(path)
-    return F.transform(F.sequence(F.lit(1), F.size(p)), lambda i: F.array_join(F.slice(p, F.lit(1), i), "."))
+    return let(
+        labels(path),
+        lambda p: F.transform(
+            F.sequence(F.lit(1), F.size(p)), lambda i: F.array_join(F.slice(p, F.lit(1), i), ".")
+        ),
+    )
 
 
 def is_under(path: str | Column, top: str | Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions import expressions as E
+from catalith.functions.binding import compute_once
 from catalith.functions.paths import leading, parent
 from catalith.issues import as_issues, check_rows
 from catalith.operators.references import case_hint, ids, unresolved
@@ -22,7 +23,7 @@ def column_refs(df: DataFrame, expr: str, key: str) -> DataFrame:
 
 def under_qualified(df: DataFrame, expr: str, key: str, object_type: str) -> DataFrame:
     """Expressions with a reference of other than four parts: one issue each."""
-    bad = df.withColumn("_bad", E.badly_qualified(F.col(expr))).where(F.size("_bad") > 0)
+    bad = compute_once(df, {"_bad": E.badly_qualified(F.col(expr))}).where(F.size("_bad") > 0)
     return as_issues(bad, "column_refs", object_type, F.col(key), F.array_join("_bad", ","))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalith.functions.binding import compute_once
 from catalith.functions.paths import RESERVED_CONCEPT, labels, leading, legal_label
 from catalith.functions.text import blank, blank_text
 from catalith.issues import as_issues, check_rows
@@ -89,7 +90,7 @@ def concept_name_reason(name: Column, prefix: Column, schema: Column) -> Column:
 
 def concept_name_grammar(df: DataFrame, name: str, prefix: str, schema: str, key: Column) -> DataFrame:
     reason = concept_name_reason(F.col(name), F.col(prefix), F.col(schema))
-    bad = df.withColumn("_reason", reason).where(F.col("_reason").isNotNull())
+    bad = compute_once(df, {"_reason": reason}).where(F.col("_reason").isNotNull())
     return as_issues(bad, "concept_name_grammar", "concepts", key, F.col("_reason"), wave=1)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from catalith.plans import (  # noqa: F401
     change_queries,
+    consumer_queries,
+    contract_queries,
     expression_queries,
     hierarchy_queries,
     key_queries,
