@@ -1,27 +1,44 @@
-"""Cutting lineage in iterative jobs through a shared, durable folder."""
+"""Cutting lineage through the shared, durable folder of the cluster."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; only a local session may make its own."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the cluster names; only a local session may make its own."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        sc.setCheckpointDir(named)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="catalith-checkpoints-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder for iterative jobs")
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named:
+            sc.setCheckpointDir(named)
+        elif sc.master.startswith("local"):
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="catalith-checkpoints-"))
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the checkpoint folder, so lost executors cost one round."""
-    ensure_checkpoint_dir(df.sparkSession)
+    """Materialise `df` in the checkpoint folder, so a lost executor costs one round."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staging_folder(spark: SparkSession) -> str:
+    """A fresh folder for the tables of one run."""
+    return f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, folder: str, name: str, append: bool = False) -> DataFrame:
+    """Write a table used by many later plans once, and read it back.
+
+    Unlike a cached frame it survives lost executors, and later plans prune its
+    columns and know its size.
+    """
+    path = f"{folder}/{name}"
+    df.write.mode("append" if append else "overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,6 +19,9 @@ ISSUE_SCHEMA = T.StructType(
     ]
 )
 
+# A row-local check: rule name, whether a row is bad, and the detail to report.
+Check = tuple[str, Column, Column]
+
 
 def key_text(*cols: str | Column) -> Column:
     """One printable key out of several columns; a missing part prints as empty."""
@@ -50,7 +53,7 @@ def check_rows(
     df: DataFrame,
     object_type: str,
     object_key: Column,
-    checks: list[tuple[str, Column, Column]],
+    checks: list[Check],
     wave: int = 1,
 ) -> DataFrame:
     """Row-local checks in one pass over `df`, however many there are.
@@ -58,15 +61,21 @@ def check_rows(
     `checks` holds (rule, is_bad, detail); a row gives one issue per rule that
     is bad for it.
     """
+    return issues_of_hits(df.withColumn("_hits", hits(checks)), "_hits", object_type, object_key, wave)
+
+
+def hits(checks: list[Check]) -> Column:
+    """Array of (rule, detail) for the checks a row fails; empty for a clean row."""
     found = [
         F.when(bad, F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail")))
         for rule, bad, detail in checks
     ]
-    hits = df.select(
-        object_key.cast("string").alias("object_key"),
-        F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("hit"),
-    )
-    return hits.select(
+    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+
+def issues_of_hits(df: DataFrame, hits_col: str, object_type: str, object_key: Column, wave: int) -> DataFrame:
+    rows = df.select(object_key.cast("string").alias("object_key"), F.explode(hits_col).alias("hit"))
+    return rows.select(
         F.lit(wave).alias("wave"),
         F.col("hit.rule").alias("rule"),
         F.lit(object_type).alias("object_type"),

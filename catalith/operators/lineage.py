@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalith.functions import expressions as E
 from catalith.functions.binding import compute_once
 from catalith.functions.paths import leading, parent
-from catalith.issues import as_issues, check_rows
+from catalith.issues import Check, as_issues, check_rows
 from catalith.operators.references import case_hint, ids, unresolved
 from catalith.skew import spread_join
 
@@ -76,6 +76,12 @@ def self_reference(
 
 def expression_rules(df: DataFrame, expr: str, key: Column, object_type: str, must_be_predicate: bool) -> DataFrame:
     """Determinism, navigation and predicate rules of an expression column in one pass."""
+    return check_rows(
+        df.where(F.col(expr).isNotNull()), object_type, key, expression_checks(expr, must_be_predicate), wave=2
+    )
+
+
+def expression_checks(expr: str, must_be_predicate: bool) -> list[Check]:
     e = F.col(expr)
     volatile = E.volatile_functions(e)
     nav = E.navigation_kind(e)
@@ -85,7 +91,7 @@ def expression_rules(df: DataFrame, expr: str, key: Column, object_type: str, mu
     ]
     if must_be_predicate:
         checks.append(("is_predicate", ~E.is_predicate(e), e))
-    return check_rows(df.where(e.isNotNull()), object_type, key, checks, wave=2)
+    return checks
 
 
 def translate_expression(df: DataFrame, expr: str, key: str, deployments: DataFrame, system: str) -> DataFrame:

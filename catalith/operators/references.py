@@ -51,6 +51,37 @@ def orphan_references(
     return as_issues(missing, "orphan_references", object_type, F.col("object_key"), F.col("_ref"), hint)
 
 
+def orphan_edges(edges: list[tuple[DataFrame, str, Column, str, DataFrame, str]]) -> DataFrame:
+    """Orphans of many references in one anti join, with case hints.
+
+    Each edge is (child, foreign key, object key, object type, parent, parent
+    key). References and known ids carry the name of their id space, so every
+    relation is shuffled once for all its edges.
+    """
+    refs, known, spaces = [], [], {}
+    for child, fk, key, object_type, parent, pk in edges:
+        space = F.lit(pk)
+        refs.append(
+            child.select(
+                F.lit(object_type).alias("object_type"), key.cast("string").alias("object_key"),
+                space.alias("_space"), F.col(fk).alias("_ref"),
+            ).where(F.col("_ref").isNotNull())
+        )
+        if pk not in spaces:
+            spaces[pk] = True
+            known.append(parent.select(space.alias("_space"), F.col(pk).alias("_ref")))
+    all_refs, all_known = reduce(DataFrame.union, refs), reduce(DataFrame.union, known)
+    missing = spread_join(all_refs, all_known, ["_space", "_ref"], "left_anti", spread_by=["object_type", "object_key"])
+    wanted = missing.select("_space", "_ref").distinct().withColumn("_low", F.lower("_ref"))
+    candidates = all_known.groupBy("_space", F.lower("_ref").alias("_low")).agg(F.min("_ref").alias("hint"))
+    hints = wanted.join(candidates, ["_space", "_low"]).select("_space", "_ref", "hint")
+    hinted = spread_join(missing, hints, ["_space", "_ref"], "left", spread_by=["object_type", "object_key"])
+    return hinted.select(
+        F.lit(2).alias("wave"), F.lit("orphan_references").alias("rule"), "object_type", "object_key",
+        F.col("_ref").alias("detail"), "hint",
+    )
+
+
 def optional_reference(
     child: DataFrame, fk: str, parent: DataFrame, pk: str, object_type: str, key: Column
 ) -> DataFrame:

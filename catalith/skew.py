@@ -37,12 +37,12 @@ def is_small(*frames: DataFrame) -> bool:
     return None not in sizes and sum(sizes) < SMALL_INPUT_BYTES
 
 
-def hot_keys(rows: DataFrame, key: list[str], floor: int = HOT_FLOOR) -> DataFrame:
+def hot_keys(rows: DataFrame, key: list[str], floor: int | None = None) -> DataFrame:
     """The fullest keys of `rows`: never more than HOT_KEYS rows."""
     return (
         rows.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= floor)
+        .where(F.col("_n") >= (HOT_FLOOR if floor is None else floor))
         .orderBy(F.desc("_n"), *key)
         .limit(HOT_KEYS)
         .select(*key, F.lit(True).alias("_hot"))
@@ -66,7 +66,7 @@ def spread_join(
     key: list[str],
     how: str = "inner",
     spread_by: list[str] | None = None,
-    floor: int = HOT_FLOOR,
+    floor: int | None = None,
 ) -> DataFrame:
     """Equi-join on `key` in which a hot key of `left` is spread over tasks.
 
@@ -112,7 +112,7 @@ def spread_join_both(
     key: list[str],
     spread_left: list[str],
     spread_right: list[str],
-    floor: int = HOT_FLOOR,
+    floor: int | None = None,
 ) -> DataFrame:
     """Inner equi-join in which hot keys of either side are spread.
 
