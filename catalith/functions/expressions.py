@@ -105,7 +105,7 @@ def plain_reference(token: Column) -> Column:
 
 
 def reference_tokens(toks: Column) -> Column:
-    """Dotted references in text order, duplicates kept."""
+    """Dotted references in text order, duplicates kept. A NULL text has NULL tokens and references."""
     return F.transform(F.filter(toks, lambda t: t.rlike(_IS_CHAIN)), plain_reference)
 
 
@@ -130,23 +130,31 @@ def bare_name_tokens(toks: Column) -> Column:
 
 def badly_qualified(expr: Column) -> Column:
     """References, bare names included, that do not have exactly four parts."""
+    return let(tokens(expr), badly_qualified_tokens)
 
-    def wrong(toks: Column) -> Column:
-        off = F.filter(reference_tokens(toks), lambda r: F.size(F.split(r, r"\.")) != REFERENCE_PARTS)
-        return F.concat(off, bare_name_tokens(toks))
 
-    return let(tokens(expr), wrong)
+def badly_qualified_tokens(toks: Column) -> Column:
+    off = F.filter(reference_tokens(toks), lambda r: F.size(F.split(r, r"\.")) != REFERENCE_PARTS)
+    return F.concat(off, bare_name_tokens(toks))
 
 
 def tables_referenced(expr: Column) -> Column:
     """Sorted distinct three-label prefixes of the references; empty for a NULL expression."""
-    tables = F.transform(column_references(expr), lambda r: F.substring_index(r, ".", 3))
+    return tables_of(column_references(expr))
+
+
+def tables_of(references: Column) -> Column:
+    tables = F.transform(references, lambda r: F.substring_index(r, ".", 3))
     empty = F.array().cast("array<string>")
     return F.coalesce(F.array_sort(F.array_distinct(tables)), empty)
 
 
 def volatile_functions(expr: Column) -> Column:
     """Sorted distinct denylisted names used as a call or as a bare context keyword."""
+    return volatile_tokens(tokens(expr))
+
+
+def volatile_tokens(toks: Column) -> Column:
     deny = F.array(*[F.lit(n) for n in VOLATILE_FUNCTIONS])
 
     def found(toks: Column) -> Column:
@@ -157,12 +165,16 @@ def volatile_functions(expr: Column) -> Column:
         words = F.filter(toks, lambda t: t.isin(*CONTEXT_KEYWORDS))
         return F.array_sort(F.array_distinct(F.array_intersect(F.concat(calls, words), deny)))
 
-    return let(F.transform(tokens(expr), F.lower), found)
+    return let(F.transform(toks, F.lower), found)
 
 
 def navigation_kind(expr: Column) -> Column:
     """Label of the outermost statement or row-navigating construct, NULL for a plain expression."""
-    return let(F.transform(tokens(expr), F.lower), _navigation_label)
+    return navigation_of(tokens(expr))
+
+
+def navigation_of(toks: Column) -> Column:
+    return let(F.transform(toks, F.lower), _navigation_label)
 
 
 def _navigation_label(raw: Column) -> Column:
@@ -212,6 +224,10 @@ def is_predicate(expr: Column) -> Column:
     which anything stands, and whether a predicate operator stands there, so
     any nesting depth is handled.
     """
+    return predicate_of(tokens(expr))
+
+
+def predicate_of(toks: Column) -> Column:
     start = F.struct(
         F.lit(0).alias("depth"),
         F.lit(1 << 30).alias("top"),
@@ -234,7 +250,7 @@ def is_predicate(expr: Column) -> Column:
             F.when(lower, hit).when(same, state["found"] | hit).otherwise(state["found"]).alias("found"),
         )
 
-    return F.when(expr.isNotNull(), F.aggregate(tokens(expr), start, step, lambda s: s["found"]))
+    return F.when(toks.isNotNull(), F.aggregate(toks, start, step, lambda s: s["found"]))
 
 
 def translated(expr: Column, physical_tables: Column) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalith.functions.binding import compute_once
+
 ISSUE_SCHEMA = T.StructType(
     [
         T.StructField("wave", T.IntegerType(), False),
@@ -61,7 +63,8 @@ def check_rows(
     `checks` holds (rule, is_bad, detail); a row gives one issue per rule that
     is bad for it.
     """
-    return issues_of_hits(df.withColumn("_hits", hits(checks)), "_hits", object_type, object_key, wave)
+    judged = compute_once(df.withColumn("object_key", object_key.cast("string")), {"_hits": hits(checks)})
+    return issues_of_hits(judged, "_hits", object_type, F.col("object_key"), wave)
 
 
 def hits(checks: list[Check]) -> Column:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalith.functions.binding import compute_once, let
 from catalith.functions.cells import TYPE_VOCABULARY, cell_problem
 from catalith.issues import as_issues, key_text, union_issues
 from catalith.operators.keys import later_occurrences
@@ -125,7 +126,7 @@ def _aligned(contracts: list[Contract], attribute) -> Column:
         contracts,
         lambda c: F.create_map(*[x for r in c.columns for x in (F.lit(r.name), F.lit(attribute(r)))]),
     )
-    return F.transform("header", lambda h: F.try_element_at(by_name, h))
+    return let(by_name, lambda names: F.transform("header", lambda h: F.try_element_at(names, h)))
 
 
 def duplicate_keys(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
@@ -135,13 +136,14 @@ def duplicate_keys(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
     """
     is_key = _aligned(contracts, lambda r: r.is_pk)
     cells = F.col("cells")
-    key = F.transform(
+    parts = F.transform(
         F.filter(
             F.arrays_zip(cells.alias("cell"), is_key.alias("pk")), lambda z: F.coalesce(z["pk"], F.lit(False))
         ),
         lambda z: F.coalesce(z["cell"], F.lit("")),
     )
-    keyed = rows.where(~is_ragged()).select("table", "line_no", key.alias("_key")).where(F.size("_key") > 0)
+    whole = rows.where(~is_ragged()).select("table", "line_no", "cells", "header")
+    keyed = compute_once(whole, {"_key": parts}).select("table", "line_no", "_key").where(F.size("_key") > 0)
     later = later_occurrences(keyed, ["table", "_key"], ["line_no"])
     detail = F.concat(
         F.array_join("_key", ","), F.lit(" first at line "), F.col("first_place.line_no").cast("string")
@@ -170,9 +172,9 @@ def _cell_checks(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
             z["type"].alias("type"),
         ),
     )
-    return rows.where(~is_ragged()).select(
-        "table", "line_no", F.explode(F.filter(judged, lambda j: j["problem"].isNotNull())).alias("hit")
-    )
+    whole = rows.where(~is_ragged()).select("table", "line_no", "cells", "header")
+    bad = compute_once(whole, {"_bad": F.filter(judged, lambda j: j["problem"].isNotNull())})
+    return bad.select("table", "line_no", F.explode("_bad").alias("hit"))
 
 
 def null_in_required(rows: DataFrame, contracts: list[Contract]) -> DataFrame:

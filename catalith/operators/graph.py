@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalith.checkpoints import cut_lineage
 from catalith.issues import as_issues
-from catalith.operators.venues import fully_documented
+from catalith.operators.venues import documented_parts
 from catalith.skew import spread_join
 
 
@@ -64,13 +64,15 @@ def linkable_tables(
 ) -> DataFrame:
     """Expressions over several tables that the relationship graph does not connect."""
     several = exprs.where(F.size(tables_col) > 1)
-    parts = fully_documented(several, tables_col, key, tables)
+    parts = documented_parts(several, tables_col, key, tables)
     placed = spread_join(
         parts, components.withColumnRenamed("node", "table_id"), ["table_id"], "left", spread_by=["expr_key"]
     )
     home = F.coalesce("component", "table_id")
-    apart = placed.groupBy("expr_key").agg(F.min(home).alias("low"), F.max(home).alias("high"))
+    apart = placed.groupBy("expr_key").agg(
+        F.min(home).alias("low"), F.max(home).alias("high"), F.count(F.lit(1)).alias("_known"), F.max("n_tables").alias("_n")
+    )
     return as_issues(
-        apart.where(F.col("low") != F.col("high")), "linkable_tables", "column_mappings", F.col("expr_key"),
+        apart.where((F.col("low") != F.col("high")) & (F.col("_known") == F.col("_n"))), "linkable_tables", "column_mappings", F.col("expr_key"),
         F.concat_ws(" and ", "low", "high"),
     )

@@ -13,9 +13,15 @@ from catalith.operators.references import case_hint, ids, unresolved
 from catalith.skew import spread_join
 
 
+def with_references(df: DataFrame, expr: str) -> DataFrame:
+    """Add `_refs`, the references of the expression; the text is cut up once per row."""
+    return compute_once(df, {"_refs": E.column_references(F.col(expr))})
+
+
 def column_refs(df: DataFrame, expr: str, key: str) -> DataFrame:
     """One row per reference in text order: (expr_key, pos, ref, n_parts, table_id)."""
-    exploded = df.select(F.col(key).alias("expr_key"), F.posexplode(E.column_references(F.col(expr))).alias("pos", "ref"))
+    rows = with_references(df, expr)
+    exploded = rows.select(F.col(key).alias("expr_key"), F.posexplode("_refs").alias("pos", "ref"))
     return exploded.select(
         "expr_key", "pos", "ref", F.size(F.split("ref", r"\.")).alias("n_parts"), leading("ref", 3).alias("table_id")
     )
@@ -28,38 +34,36 @@ def under_qualified(df: DataFrame, expr: str, key: str, object_type: str) -> Dat
 
 
 def tables_referenced(df: DataFrame, expr: str, into: str = "target_tables_referenced") -> DataFrame:
-    return df.withColumn(into, E.tables_referenced(F.col(expr)))
+    return compute_once(df, {into: E.tables_referenced(F.col(expr))})
 
 
 def refs_resolve(df: DataFrame, expr: str, key: str, columns: DataFrame, column_id: str, object_type: str) -> DataFrame:
     """Referenced columns that are not documented, with a hint when only the case differs."""
-    refs = df.select(F.col(key).alias("_key"), F.explode(E.column_references(F.col(expr))).alias("_r"))
+    refs = with_references(df, expr).select(F.col(key).alias("_key"), F.explode("_refs").alias("_r"))
     known = ids((columns, column_id))
     missing = case_hint(unresolved(refs, F.col("_r"), F.col("_key"), known), known)
     return as_issues(missing, "refs_resolve", object_type, F.col("object_key"), F.col("_ref"), F.col("hint"))
 
 
-def _tables(expr: str) -> Column:
-    return E.tables_referenced(F.col(expr))
-
-
 def endpoint_membership(df: DataFrame, expr: str, a: str, b: str, key: Column) -> DataFrame:
     """A join condition may touch only its two endpoints; one issue per foreign table."""
-    foreign = F.array_sort(F.array_except(_tables(expr), F.array(a, b)))
-    rows = df.select(key.alias("_key"), F.explode(foreign).alias("_t"))
-    return as_issues(rows, "endpoint_membership", "table_relationships", F.col("_key"), F.col("_t"))
+    foreign = F.array_sort(F.array_except(E.tables_of(F.col("_refs")), F.array(a, b)))
+    rows = compute_once(with_references(df, expr).withColumn("_key", key), {"_foreign": foreign})
+    exploded = rows.select("_key", F.explode("_foreign").alias("_t"))
+    return as_issues(exploded, "endpoint_membership", "table_relationships", F.col("_key"), F.col("_t"))
 
 
 def endpoint_coverage(df: DataFrame, expr: str, a: str, b: str, key: Column) -> DataFrame:
     """Two different endpoints must both be referenced."""
-    missing = F.array_sort(F.array_except(F.array(a, b), _tables(expr)))
-    rows = df.where(F.col(a) != F.col(b)).select(key.alias("_key"), missing.alias("_m")).where(F.size("_m") > 0)
+    missing = F.array_sort(F.array_except(F.array(a, b), E.tables_of(F.col("_refs"))))
+    pairs = with_references(df.where(F.col(a) != F.col(b)), expr)
+    rows = compute_once(pairs.withColumn("_key", key), {"_m": missing}).where(F.size("_m") > 0)
     return as_issues(rows, "endpoint_coverage", "table_relationships", F.col("_key"), F.array_join("_m", ","))
 
 
 def no_refs(df: DataFrame, expr: str, key: Column, object_type: str) -> DataFrame:
     """A constant expression relates nothing; NULL is a deliberate drop and no constant."""
-    rows = df.where(F.col(expr).isNotNull() & (F.size(E.column_references(F.col(expr))) == 0))
+    rows = with_references(df, expr).where(F.size("_refs") == 0)
     return as_issues(rows, "no_refs", object_type, key, F.col(expr))
 
 
@@ -67,30 +71,41 @@ def self_reference(
     df: DataFrame, expr: str, source_column: str, key: str, columns: DataFrame, column_id: str
 ) -> DataFrame:
     """A mapping may not lean on the source column's own table (documented columns only)."""
-    own = parent(source_column)
-    refs = F.array_distinct(F.filter(E.column_references(F.col(expr)), lambda r: F.substring_index(r, ".", 3) == own))
-    rows = df.select(F.col(key).alias("object_key"), F.explode(refs).alias("_ref"))
+    rows = compute_once(with_references(df, expr), {"_own": parent(source_column)})
+    own = F.array_distinct(F.filter("_refs", lambda r: F.substring_index(r, ".", 3) == F.col("_own")))
+    rows = compute_once(rows, {"_hit": own}).select(F.col(key).alias("object_key"), F.explode("_hit").alias("_ref"))
     real = spread_join(rows, ids((columns, column_id)), ["_ref"], "left_semi", spread_by=["object_key"])
     return as_issues(real, "self_reference", "column_mappings", F.col("object_key"), F.col("_ref"))
 
 
 def expression_rules(df: DataFrame, expr: str, key: Column, object_type: str, must_be_predicate: bool) -> DataFrame:
     """Determinism, navigation and predicate rules of an expression column in one pass."""
-    return check_rows(
-        df.where(F.col(expr).isNotNull()), object_type, key, expression_checks(expr, must_be_predicate), wave=2
-    )
+    facts = with_facts(df.where(F.col(expr).isNotNull()), expr, must_be_predicate)
+    return check_rows(facts, object_type, key, expression_checks(expr, must_be_predicate), wave=2)
+
+
+def with_facts(df: DataFrame, expr: str, must_be_predicate: bool) -> DataFrame:
+    """Add `_refs`, `_bad`, `_volatile`, `_nav` and, if asked, `_predicate`: the text is cut up once per row."""
+    toks = F.col("_toks")
+    facts = {
+        "_refs": E.reference_tokens(toks),
+        "_bad": E.badly_qualified_tokens(toks),
+        "_volatile": E.volatile_tokens(toks),
+        "_nav": E.navigation_of(toks),
+    }
+    if must_be_predicate:
+        facts["_predicate"] = E.predicate_of(toks)
+    return compute_once(compute_once(df, {"_toks": E.tokens(F.col(expr))}), facts).drop("_toks")
 
 
 def expression_checks(expr: str, must_be_predicate: bool) -> list[Check]:
-    e = F.col(expr)
-    volatile = E.volatile_functions(e)
-    nav = E.navigation_kind(e)
+    """Checks over the columns of `with_facts`; a NULL expression passes them all."""
     checks = [
-        ("volatile_functions", F.size(volatile) > 0, F.array_join(volatile, ",")),
-        ("navigation_kind", nav.isNotNull(), nav),
+        ("volatile_functions", F.size("_volatile") > 0, F.array_join("_volatile", ",")),
+        ("navigation_kind", F.col("_nav").isNotNull(), F.col("_nav")),
     ]
     if must_be_predicate:
-        checks.append(("is_predicate", ~E.is_predicate(e), e))
+        checks.append(("is_predicate", ~F.col("_predicate"), F.col(expr)))
     return checks
 
 
@@ -105,7 +120,9 @@ def translate_expression(df: DataFrame, expr: str, key: str, deployments: DataFr
         F.concat_ws(".", "physical_database_name", "physical_schema_name", "physical_table_name").alias("physical"),
     )
     base = df.select(F.col(key).alias("expr_key"), F.col(expr).alias("expr"))
-    parts = base.select("expr_key", F.explode(E.tables_referenced(F.col("expr"))).alias("table_id"))
+    parts = compute_once(base, {"_t": E.tables_referenced(F.col("expr"))}).select(
+        "expr_key", F.explode("_t").alias("table_id")
+    )
     found = spread_join(parts, there, ["table_id"], "left", spread_by=["expr_key"])
     maps = found.groupBy("expr_key").agg(
         F.map_from_entries(

@@ -49,13 +49,15 @@ def pair_codeployed(
     )
 
 
-def fully_documented(exprs: DataFrame, tables_col: str, key: str, tables: DataFrame) -> DataFrame:
-    """(expr_key, table_id, n_tables) for expressions all of whose tables are documented."""
+def documented_parts(exprs: DataFrame, tables_col: str, key: str, tables: DataFrame) -> DataFrame:
+    """(expr_key, n_tables, table_id) per documented table of an expression.
+
+    An expression is fully documented if it has `n_tables` rows here.
+    """
     parts = exprs.select(
         F.col(key).alias("expr_key"), F.size(tables_col).alias("n_tables"), F.explode(tables_col).alias("table_id")
     )
-    unknown = spread_join(parts, tables.select("table_id"), ["table_id"], "left_anti", spread_by=["expr_key"])
-    return parts.join(unknown.select("expr_key").distinct(), "expr_key", "left_anti")
+    return spread_join(parts, tables.select("table_id"), ["table_id"], "left_semi", spread_by=["expr_key"])
 
 
 def nway_codeployed(
@@ -66,7 +68,7 @@ def nway_codeployed(
     `tables_col` holds distinct table ids and `key` is unique. Expressions with
     an undocumented table are reported elsewhere and skipped here.
     """
-    parts = fully_documented(exprs, tables_col, key, tables)
+    parts = documented_parts(exprs, tables_col, key, tables)
     placed = spread_join(parts, venue_sets(deployments), ["table_id"], spread_by=["expr_key"])
     complete = (
         placed.groupBy("expr_key", "system")
@@ -75,7 +77,11 @@ def nway_codeployed(
         .select("expr_key")
         .distinct()
     )
-    asked = parts.groupBy("expr_key").agg(F.max("n_tables").alias("n_tables"))
+    asked = (
+        parts.groupBy("expr_key")
+        .agg(F.max("n_tables").alias("n_tables"), F.count(F.lit(1)).alias("_known"))
+        .where(F.col("_known") == F.col("n_tables"))
+    )
     bad = asked.join(complete, "expr_key", "left_anti")
     return as_issues(
         bad, "nway_codeployed", "column_mappings", F.col("expr_key"),

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from catalith.checkpoints import stage, staging_folder
 from catalith.functions import paths
-from catalith.functions.expressions import badly_qualified
 from catalith.functions.text import blank
 from catalith.issues import (
     ISSUE_SCHEMA,
@@ -332,14 +331,12 @@ def validate(c: Corpus) -> DataFrame:
     rel_rows = c["table_relationships"].withColumns(
         {
             "rel_key": key_text(*RELATIONS["table_relationships"].key),
-            "_bad": badly_qualified(F.col("join_condition")),
             "_low": F.least("table_a_id", "table_b_id"),
             "_high": F.greatest("table_a_id", "table_b_id"),
         }
     )
-    rels = stage(
-        rel_rows.withColumn("_hits", hits(L.expression_checks("join_condition", must_be_predicate=True))), folder, "rels"
-    )
+    rel_facts = L.with_facts(rel_rows, "join_condition", must_be_predicate=True)
+    rels = stage(rel_facts.withColumn("_hits", hits(L.expression_checks("join_condition", True))), folder, "rels")
     rel_key = F.col("rel_key")
     # A badly qualified reference is one issue; the row then takes no part in the rules built on references.
     sound = rels.where(F.size("_bad") == 0)
@@ -356,14 +353,9 @@ def validate(c: Corpus) -> DataFrame:
         L.endpoint_coverage(sound, "join_condition", "table_a_id", "table_b_id", rel_key),
     )
 
-    map_rows = c["column_mappings"].withColumns(
-        {"map_key": key_text(*RELATIONS["column_mappings"].key), "_bad": badly_qualified(F.col("target_expression"))}
-    )
-    checks = [
-        (rule, F.col("target_expression").isNotNull() & bad, detail)
-        for rule, bad, detail in L.expression_checks("target_expression", must_be_predicate=False)
-    ]
-    maps = stage(map_rows.withColumn("_hits", hits(checks)), folder, "maps")
+    map_rows = c["column_mappings"].withColumn("map_key", key_text(*RELATIONS["column_mappings"].key))
+    map_facts = L.with_facts(map_rows, "target_expression", must_be_predicate=False)
+    maps = stage(map_facts.withColumn("_hits", hits(L.expression_checks("target_expression", False))), folder, "maps")
     map_key = F.col("map_key")
     sound = maps.where(F.col("target_expression").isNotNull() & (F.size("_bad") == 0))
     placed = sound.select("map_key", F.col("target_tables_referenced").alias("tables"))

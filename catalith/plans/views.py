@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalith.functions.binding import compute_once
 from catalith.functions.expressions import tables_referenced
 from catalith.skew import spread_join
 
@@ -313,7 +314,7 @@ def expressions(spark, d) -> DataFrame:
         hit = F.col("form") == i
         value = _spark_form(template, F.col("a"), F.col("b"))
         expr = F.when(hit, value) if expr is None else expr.when(hit, value)
-    return lines.withColumn("expr", expr)
+    return compute_once(lines, {"expr": expr})
 
 
 # What the forms above refer to, written by hand: the truth the oracles use.
@@ -387,7 +388,7 @@ def placed(spark, d) -> DataFrame:
 def expression_tables(spark, d) -> DataFrame:
     """(expr_key, tables) for expressions whose references all have four parts."""
     good = expressions(spark, d).where(~F.col("form").isin(3, 4, 6, 9))
-    return good.select("expr_key", tables_referenced(F.col("expr")).alias("tables"))
+    return compute_once(good.select("expr_key", "expr"), {"tables": tables_referenced(F.col("expr"))}).drop("expr")
 
 
 EXPRESSION_TABLES_SQL = (
