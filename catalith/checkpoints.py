@@ -22,12 +22,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the checkpoint folder, so a lost executor costs one round."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def staging_folder(spark: SparkSession) -> str:
     """A fresh folder for the tables of one run."""
     return f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"

@@ -29,7 +29,10 @@ def source_bytes(df: DataFrame) -> int | None:
     if plan is None:
         return None
     leaves = plan.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    try:
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except ValueError:  # an estimate multiplied up beyond any real size
+        return None
 
 
 def is_small(*frames: DataFrame) -> bool:

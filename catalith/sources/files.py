@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +37,15 @@ def scan_files(spark: SparkSession, root: str) -> DataFrame:
     top = root.rstrip("/") + "/"
     # The path column carries the file system's scheme in front of the root.
     start = F.locate(top, F.col("path")) + len(top)
-    rel = F.substring("path", start, F.length("path"))
-    return path_parts(files.select("path", rel.alias("rel"), "length", "content"), "rel")
+    found = files.select("path", F.substring("path", start, F.length("path")).alias("rel"), "length", "content")
+    # The scan leaves out files of zero bytes, its file listing does not.
+    names = [(unquote(p).split(top, 1)[1],) for p in files.inputFiles()]
+    listed = spark.createDataFrame(names, "rel string")
+    empty = listed.join(found.select("rel"), "rel", "left_anti").select(
+        F.concat(F.lit(top), "rel").alias("path"), "rel", F.lit(0).cast("bigint").alias("length"),
+        F.encode(F.lit(""), "UTF-8").alias("content"),
+    )
+    return path_parts(found.unionByName(empty), "rel")
 
 
 def path_parts(df: DataFrame, rel: str) -> DataFrame:
