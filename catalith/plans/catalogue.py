@@ -9,6 +9,7 @@ from catalith.plans import (  # noqa: F401
     expression_queries,
     hierarchy_queries,
     key_queries,
+    load_queries,
     placement_queries,
 )
 from catalith.plans.registry import ORACLES, QUERIES, Query
