@@ -20,9 +20,7 @@ _TOKEN = (
     r"|[0-9]+(?:\.[0-9]*)?(?:[eE][+-]?[0-9]+)?|\.[0-9]+"  # number
     r"|[(),;\[\]]"
     r"|(?:(?!--|/\*)[-+*/<>=~!@#%^&|`?:.])+"  # operator
-    r"|\s+|."
 )
-_IS_SKIPPED = r"(?s)\A(?:\s+|--.*|/\*.*)\z"
 _IS_CHAIN = rf"\A{_NAME}(?:\s*\.\s*{_NAME})+\z"
 _IS_BARE = rf"\A{_NAME}\z"
 
@@ -92,11 +90,13 @@ REFERENCE_PARTS = 4
 
 def all_tokens(expr: Column) -> Column:
     """Every token, white space and comments included: joined again they give the text."""
-    return F.regexp_extract_all(expr, F.lit(f"({_TOKEN})"), F.lit(1))
+    return F.regexp_extract_all(expr, F.lit(rf"({_TOKEN}|\s+|.)"), F.lit(1))
 
 
 def tokens(expr: Column) -> Column:
-    return F.filter(all_tokens(expr), lambda t: ~t.rlike(_IS_SKIPPED))
+    """The tokens that mean something: no white space, no comments."""
+    found = F.regexp_extract_all(expr, F.lit(rf"({_TOKEN}|\S)"), F.lit(1))
+    return F.filter(found, lambda t: ~(t.startswith("--") | t.startswith("/*")))
 
 
 def plain_reference(token: Column) -> Column:
@@ -106,7 +106,7 @@ def plain_reference(token: Column) -> Column:
 
 def reference_tokens(toks: Column) -> Column:
     """Dotted references in text order, duplicates kept. A NULL text has NULL tokens and references."""
-    return F.transform(F.filter(toks, lambda t: t.rlike(_IS_CHAIN)), plain_reference)
+    return F.transform(F.filter(toks, lambda t: t.contains(".") & t.rlike(_IS_CHAIN)), plain_reference)
 
 
 def column_references(expr: Column) -> Column:
@@ -159,7 +159,7 @@ def volatile_tokens(toks: Column) -> Column:
 
     def found(toks: Column) -> Column:
         calls = F.transform(
-            F.filter(toks, lambda t: t.rlike(r"\w\s*\(\z")),
+            F.filter(toks, lambda t: t.endswith("(") & t.rlike(r"\w\s*\(\z")),
             lambda t: F.regexp_extract(t, r"(\w+)\s*\(\z", 1),
         )
         words = F.filter(toks, lambda t: t.isin(*CONTEXT_KEYWORDS))
