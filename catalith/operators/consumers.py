@@ -7,8 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalith.operators.contract import MAX_ROWS_PER_TABLE
-from catalith.skew import checked_broadcast, spread_join, spread_join_both
+from catalith.skew import spread_join
 
 
 def mapping_choices(mappings: DataFrame, columns: DataFrame, table_id: str | None = None) -> DataFrame:
@@ -50,7 +49,7 @@ def apply_mapping(
     `joins` lists, in order, the tables to reach and the equal column ids
     (here, there). `kind` is scalar (also for window expressions) or aggregate.
     Unmatched source rows stay, as with a left join: the matching part is an
-    inner join spread over the hot keys of either side, the rest an anti join. The aggregate combines map-side.
+    inner join, the rest an anti join. The aggregate combines map-side.
     """
     if kind not in ("scalar", "aggregate"):
         raise ValueError(f"unknown mapping kind {kind!r}")
@@ -62,10 +61,9 @@ def apply_mapping(
         for name, (here, there) in zip(plain, on):
             keyed = keyed.withColumn(name, F.col(f"`{here}`"))
             other = other.withColumn(name, F.col(f"`{there}`"))
-        matched = spread_join_both(
-            keyed, other, plain, [f"`{c}`" for c in work.columns], [f"`{c}`" for c in other.columns if c not in plain]
-        )
-        lone = keyed.join(other.select(*plain).distinct(), plain, "left_anti")
+        # Two joins, since adaptive execution splits a hot key of either side in the inner one only.
+        matched = keyed.join(other, plain)
+        lone = keyed.join(other.select(*plain), plain, "left_anti")
         work = matched.unionByName(lone, allowMissingColumns=True).drop(*plain)
     value = F.expr(_quoted(expression, work.columns)).alias(into)
     keys = [F.col(f"`{source_table}.{k}`").alias(k) for k in source_key]
@@ -84,20 +82,14 @@ def table_grain(columns: DataFrame, tables: DataFrame) -> DataFrame:
     return keys.unionByName(keyless, allowMissingColumns=True)
 
 
-def code_lookup(
-    data: DataFrame, code: str, code_set: DataFrame, set_code: str, meaning: str, row_key: list[str],
-    max_rows: int = MAX_ROWS_PER_TABLE,
-) -> DataFrame:
-    """Decode a coded column; `known` is false for codes outside the set.
+def code_lookup(data: DataFrame, code: str, code_set: DataFrame, set_code: str, meaning: str) -> DataFrame:
+    """Decode a coded column; `known` is false for codes outside the set, NULL included.
 
-    A code set within the curated row limit is broadcast, after counting it up
-    to that limit; a larger one is joined with the hot codes spread.
+    Spark broadcasts the code set if it is small by its own measure; else the
+    join shuffles, and adaptive execution splits the common codes.
     """
     names = code_set.select(F.col(set_code).alias(code), F.col(meaning).alias("meaning"), F.lit(True).alias("_known"))
-    small = checked_broadcast(names, max_rows)
-    joined = data.join(small, code, "left") if small is not names else spread_join(
-        data, names, [code], "left", spread_by=row_key
-    )
+    joined = data.join(names, code, "left")
     return joined.withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
 
 

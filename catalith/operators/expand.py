@@ -94,12 +94,12 @@ def _scoped(df: DataFrame, rule: str) -> DataFrame:
 def zero_expansion(entries: DataFrame, tables: DataFrame, schemas: DataFrame) -> DataFrame:
     """Entries, schema keys and table maps that cannot yield a single row (scoped rows)."""
     bare = entries.where(F.col("schemas").isNull())
-    empty_source = spread_join(bare.select(SOURCE, "system"), tables.select(SOURCE).distinct(), [SOURCE], "left_anti")
+    empty_source = spread_join(bare.select(SOURCE, "system"), tables.select(SOURCE), [SOURCE], "left_anti")
     empty_map = entries.where(F.size("schemas") == 0)
     asked = schema_requests(entries)
     known = asked.select(SOURCE, "system", SCHEMA, "table_map").join(schemas, [SOURCE, SCHEMA], "left_semi")
     empty_schema = known.where(F.col("table_map").isNull()).drop("table_map").join(
-        tables.select(SOURCE, SCHEMA).distinct(), [SOURCE, SCHEMA], "left_anti"
+        tables.select(SOURCE, SCHEMA), [SOURCE, SCHEMA], "left_anti"
     )
     empty_tables = known.where(F.size("table_map") == 0)
     return (
@@ -187,7 +187,7 @@ def suppress_cascade(
     known = causes.distinct()
     for col in ("_one", "_two"):
         flags = known.select(F.col("_cause").alias(col), F.lit(True).alias(col + "_hit"))
-        marked = spread_join(marked, flags, [col], "left", spread_by=["system"])
+        marked = spread_join(marked, flags, [col], "left", spread_by=["system", SCHEMA, TABLE], grouped=True)
     dropped = F.coalesce(F.col("_one_hit"), F.col("_two_hit"), F.lit(False))
     return marked.where(~dropped).select(*SCOPED), marked.where(dropped).select(SOURCE).distinct()
 

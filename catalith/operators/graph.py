@@ -18,14 +18,14 @@ def _neighbour_minimum(arcs: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest node around it."""
     arcs = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    joined = spread_join(arcs, _neighbour_minimum(arcs), ["u"], spread_by=["v"])
+    joined = spread_join(arcs, _neighbour_minimum(arcs), ["u"], spread_by=["v"], grouped=True)
     return joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of these neighbours."""
     lows = edges.groupBy("u").agg(F.min("v").alias("m"))
-    joined = spread_join(edges, lows, ["u"], spread_by=["v"])
+    joined = spread_join(edges, lows, ["u"], spread_by=["v"], grouped=True)
     moved = joined.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(lows.select("u", F.col("m").alias("v"))).distinct()
 
@@ -38,7 +38,7 @@ def _is_settled(edges: DataFrame) -> bool:
     return forked.union(middle).isEmpty()
 
 
-def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 200) -> DataFrame:
+def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node with an edge; a component is named by its smallest node.
 
     Alternating large-star and small-star rounds (Kiveris et al., SoCC 2014)
@@ -55,9 +55,10 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 200
     rounds = 0
     while not _is_settled(current):
         rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"components still moving after {max_rounds} rounds")
-        current = stage(_small_star(_large_star(current)), folder, f"round_{rounds}")
+        moved = stage(_small_star(_large_star(current)), folder, f"round_{rounds}")
+        if moved.exceptAll(current).isEmpty() and current.exceptAll(moved).isEmpty():
+            raise RuntimeError(f"components are not settled, but round {rounds} changed nothing")
+        current = moved
     named = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 

@@ -20,7 +20,7 @@ def descendants_of_many(df: DataFrame, id_col: str, tops: DataFrame, top_col: st
     A popular top has many descendants, so the join is spread.
     """
     up = df.withColumn(top_col, F.explode(paths.ancestors(id_col)))
-    return spread_join(up, tops.select(top_col).distinct(), [top_col], spread_by=row_key)
+    return spread_join(up, tops.select(top_col).distinct(), [top_col], spread_by=row_key, grouped=True)
 
 
 def ancestors_of(df: DataFrame, id_col: str, into: str = "ancestor") -> DataFrame:

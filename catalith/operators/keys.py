@@ -21,7 +21,7 @@ def mark_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     `order` must tell the rows of one key apart.
     """
     firsts = df.groupBy(*key).agg(first_place(order).alias("first_place"))
-    return spread_join(df, firsts, key, "inner", spread_by=order).withColumn(
+    return spread_join(df, firsts, key, "inner", spread_by=order, grouped=True).withColumn(
         "is_first", F.struct(*order) == F.col("first_place")
     )
 
@@ -34,7 +34,7 @@ def later_occurrences(df: DataFrame, key: list[str], order: list[str]) -> DataFr
         .where(F.col("_n") > 1)
         .drop("_n")
     )
-    rows = spread_join(df, repeated, key, "inner", spread_by=order)
+    rows = spread_join(df, repeated, key, "inner", spread_by=order, grouped=True)
     return rows.where(F.struct(*order) > F.col("first_place"))
 
 
@@ -87,7 +87,7 @@ def disambiguation_required(
     """In a group of several rows each row must say when to use it."""
     several = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
     silent = df.where(blank(F.col(text))).select(*dict.fromkeys([*group, *row_key]))
-    rows = spread_join(silent, several, group, "inner", spread_by=row_key)
+    rows = spread_join(silent, several, group, "inner", spread_by=row_key, grouped=True)
     return as_issues(
         rows, "disambiguation_required", object_type, key_text(*row_key),
         F.concat(F.col("n_rows").cast("string"), F.lit(" rows share "), key_text(*group)),

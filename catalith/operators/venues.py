@@ -29,7 +29,8 @@ def shared_venues(rels: DataFrame, a: str, b: str, rel_key: str, deployments: Da
     members = venue_sets(deployments)
     ends = rels.select(F.col(rel_key).alias("rel_key"), F.col(a).alias("_a"), F.col(b).alias("_b"))
     at_a = spread_join(ends, members.withColumnRenamed("table_id", "_a"), ["_a"], spread_by=["rel_key"])
-    at_b = members.withColumnRenamed("table_id", "_b")
+    # No distinct on this side: a semi join needs none, and it would keep Spark from splitting a hot key.
+    at_b = deployments.select(F.col("table_id").alias("_b"), "system")
     both = spread_join(at_a.drop("_a"), at_b, ["_b", "system"], "left_semi", spread_by=["rel_key"])
     return both.select("rel_key", "system")
 

@@ -89,7 +89,7 @@ def _decoded(spark, d):
     parts = V.table(spark, d, "part")
     codes = parts.where(F.col("p_type") != "PROMO").select(F.col("p_type").alias("code")).distinct()
     codes = codes.withColumn("meaning", F.concat(F.lit("meaning of "), F.lower("code")))
-    return Q.code_lookup(parts, "p_type", codes, "code", "meaning", ["p_partkey"])
+    return Q.code_lookup(parts, "p_type", codes, "code", "meaning")
 
 
 @query(

@@ -1,9 +1,16 @@
 """Joins that survive a key holding a large share of the rows.
 
 An aggregate is safe by itself, because Spark combines it map-side before the
-shuffle. A join is not: every row of one key meets in one task. The helper here
-splits the fullest keys over several tasks and copies the matching rows of the
-other side to each of them.
+shuffle. A join is not: every row of one key meets in one task.
+
+Between two tables of rows, adaptive execution splits an overfull partition of
+either side of an inner join, and of the left side of a left, semi or anti join,
+whatever the key, NULL included. It looks at real partition sizes, so nothing is
+counted beforehand. It can only do so if both sides are shuffled for the join.
+
+A side that was grouped by the join key just before is already in place and is
+not shuffled again; then the rows of a hot key cannot be split. For that case the
+keys are salted here, each by as many salts as its row count asks for.
 """
 
 from __future__ import annotations
@@ -11,56 +18,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key outside the fullest HOT_KEYS keys can hold at most 1/(HOT_KEYS + 1) of
-# the rows, so splitting only these bounds every task and keeps the broadcast
-# list of hot keys at HOT_KEYS rows whatever the data size.
-HOT_KEYS = 64
-SALTS = 64
-# Below this many rows a key is never worth splitting.
-HOT_FLOOR = 200_000
-# Jobs whose source files hold less than this in all cannot overload a task,
-# whatever the keys; they skip the search for hot keys.
-SMALL_INPUT_BYTES = 256 << 20
-
-
-def source_bytes(df: DataFrame) -> int | None:
-    """Bytes in the files under a query as its plan states them, None if unknown."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    leaves = plan.queryExecution().analyzed().collectLeaves()
-    try:
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except ValueError:  # an estimate multiplied up beyond any real size
-        return None
-
+# Rows of one key that one task may take. The list of keys above it, the only
+# thing broadcast, has at most one entry for so many rows of the table.
+ROWS_PER_TASK = 1_000_000
+# Rows with a NULL key match nothing, so any number of salts is right for them.
+NULL_SALTS = 1 << 20
 
-def is_small(*frames: DataFrame) -> bool:
-    sizes = [source_bytes(df) for df in frames]
-    return None not in sizes and sum(sizes) < SMALL_INPUT_BYTES
 
+def hot_keys(rows: DataFrame, key: list[str], target: int | None = None) -> DataFrame:
+    """(key, _salts) of each key with more than `target` rows, one salt for each `target` rows begun."""
+    target = target or ROWS_PER_TASK
+    return counted_hot_keys(rows.select(*key).groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", target)
 
-def hot_keys(rows: DataFrame, key: list[str], floor: int | None = None) -> DataFrame:
-    """The fullest keys of `rows`: never more than HOT_KEYS rows."""
-    return (
-        rows.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= (HOT_FLOOR if floor is None else floor))
-        .orderBy(F.desc("_n"), *key)
-        .limit(HOT_KEYS)
-        .select(*key, F.lit(True).alias("_hot"))
-    )
 
+def counted_hot_keys(counts: DataFrame, key: list[str], n: str, target: int | None = None) -> DataFrame:
+    """The same from counts at hand."""
+    target = target or ROWS_PER_TASK
+    salts = F.ceil(F.col(n) / F.lit(target)).cast("bigint")
+    return counts.where(F.col(n) > target).select(*key, salts.alias("_salts"))
 
-def _own_salt(spread: list[str]) -> Column:
-    zero = F.lit(0).cast("bigint")
-    return F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS).cast("bigint"))).otherwise(zero)
 
-
-def _copies() -> Column:
-    """Salts a row is copied to: all of them for a hot key, else the single zero."""
-    zero, last = F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")
-    return F.when(F.col("_hot"), F.sequence(zero, last)).otherwise(F.array(zero))
+def _any_null(key: list[str]) -> Column:
+    test = F.lit(False)
+    for k in key:
+        test = test | F.col(k).isNull()
+    return test
 
 
 def spread_join(
@@ -69,69 +51,31 @@ def spread_join(
     key: list[str],
     how: str = "inner",
     spread_by: list[str] | None = None,
-    floor: int | None = None,
+    grouped: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join on `key` in which a hot key of `left` is spread over tasks.
-
-    `how` is inner, left, left_semi or left_anti: each left row meets every
-    right row of its key at exactly one salt, so results equal a plain join.
-    `spread_by` names left columns that tell the rows of one key apart. The
-    salt is a hash of them, never a random number, so that a task repeated
-    after an executor loss sends each row to the same place again.
+    """Equi-join on `key` in which a hot key of `left` does not end up in one task.
+
+    `how` is inner, left, left_semi or left_anti. With `grouped`, `right` holds
+    one row per key and comes from grouping by it: hot keys of `left` are salted
+    and their single row of `right` is copied to each salt. `spread_by` names
+    left columns that tell the rows of one key apart; the salt is a hash of
+    them, never a random number, so a task repeated after an executor loss sends
+    each row to the same place. `hot` gives the hot keys where they are known.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot keep the meaning of a {how!r} join")
-    if is_small(left):
+    if not grouped:
         return left.join(right, key, how)
-    hot = hot_keys(left, key, floor)
-    spread = spread_by or [c for c in left.columns if c not in key] or key
-    salted_left = left.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt",
-        _own_salt(spread),
-    ).drop("_hot")
-    salted_right = right.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(_copies())).drop("_hot")
+    hot = F.broadcast(hot_keys(left, key) if hot is None else hot)
+    spread = F.xxhash64(*(spread_by or [c for c in left.columns if c not in key] or key))
+    salts = F.when(_any_null(key), F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted_left = left.join(hot, key, "left").withColumn("_salt", F.pmod(spread, salts)).drop("_salts")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted_left.join(salted_right, [*key, "_salt"], how).drop("_salt")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark `df` for broadcast only if it is seen to hold at most `max_rows`.
-
-    Looks at no more than `max_rows + 1` rows. A larger frame is returned as it
-    is, and the join then shuffles.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def first_place(order: list[str]) -> Column:
     """Aggregate: the smallest value of the ordering columns in the group."""
     return F.min(F.struct(*order))
-
-
-def spread_join_both(
-    left: DataFrame,
-    right: DataFrame,
-    key: list[str],
-    spread_left: list[str],
-    spread_right: list[str],
-    floor: int | None = None,
-) -> DataFrame:
-    """Inner equi-join in which hot keys of either side are spread.
-
-    A row takes its own salt if its side is hot, and is copied to every salt of
-    the other side if that one is hot, so each pair meets exactly once.
-    """
-    if is_small(left, right):
-        return left.join(right, key)
-    hot = {"_sl": F.broadcast(hot_keys(left, key, floor)), "_sr": F.broadcast(hot_keys(right, key, floor))}
-
-    def salted(df: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
-        df = df.join(hot[own], key, "left").withColumn(own, _own_salt(spread))
-        df = df.drop("_hot").join(hot[other], key, "left")
-        return df.withColumn(other, F.explode(_copies())).drop("_hot")
-
-    both = salted(left, "_sl", "_sr", spread_left).join(
-        salted(right, "_sr", "_sl", spread_right), [*key, "_sl", "_sr"]
-    )
-    return both.drop("_sl", "_sr")

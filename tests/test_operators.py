@@ -128,17 +128,24 @@ def test_components_of_a_chain_and_a_star(spark):
 
 
 def test_spread_joins_equal_plain_joins(spark, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL_INPUT_BYTES", 0)
-    rows = spark.range(3000).select((F.col("id") % 7 * F.when(F.col("id") % 3 == 0, 0).otherwise(1)).alias("k"), F.col("id").alias("n"))
-    other = spark.createDataFrame([(0, "zero"), (1, "one"), (1, "uno"), (9, "nine")], "k bigint, w string")
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    k = F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 7)
+    rows = spark.range(3000).select(k.alias("k"), F.col("id").alias("n"))
+    one_each = spark.createDataFrame([(0, "zero"), (1, "one"), (9, "nine"), (None, "none")], "k bigint, w string")
     for how in ("inner", "left", "left_semi", "left_anti"):
-        split = skew.spread_join(rows, other, ["k"], how, spread_by=["n"], floor=100)
-        want = rows.join(other, "k", how)
-        assert sorted(map(tuple, split.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
-    both = skew.spread_join_both(other, rows, ["k"], ["w"], ["n"], floor=100)
-    assert both.count() == rows.join(other, "k").count()
-    # The hot key's rows really are in several groups.
-    assert skew.hot_keys(rows, ["k"], floor=1000).count() == 1
+        want = rows.join(one_each, "k", how)
+        for grouped in (True, False):
+            split = skew.spread_join(rows, one_each, ["k"], how, spread_by=["n"], grouped=grouped)
+            assert sorted(map(tuple, split.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_salts_follow_the_count_of_each_key(spark):
+    # 80 hot keys, one of them with a third of the rows, and a NULL key that needs no salts of its own.
+    rows = spark.range(24_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 79).alias("k")
+    )
+    salts = {r.k: r._salts for r in skew.hot_keys(rows, ["k"], target=50).collect() if r.k is not None}
+    assert len(salts) == 80 and salts[-1] == 160 and salts[5] in (3, 2)
 
 
 def test_documents():

@@ -34,6 +34,5 @@ def test_query(spark, db, name):
 
 @pytest.mark.parametrize("name", JOIN_HEAVY)
 def test_query_with_hot_keys_split(spark, db, name, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL_INPUT_BYTES", 0)
-    monkeypatch.setattr(skew, "HOT_FLOOR", 2)
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 2)
     assert_same(spark, db, QUERIES[name], SQL[name])
