@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import decontaminate, sharding, substring_dedup, token_counts
+from catalith.llm import decontaminate, near_dedup, sharding, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 N_SHARDS = 24
@@ -33,6 +33,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), N_SHARDS, ["lang", "source", "n_chars"])
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
 }
 ORACLES: dict[str, str] = {}
