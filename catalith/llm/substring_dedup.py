@@ -167,8 +167,9 @@ def repeated_windows(docs: DataFrame, doc: str = "doc_id", text: str = "text") -
     )
     key = ["h1", "h2"]
     hot = counted_hot_keys(repeats, key, "n")
-    found = spread_join(windows, repeats.select(*key, "lo"), key, spread_by=["doc", "at"], grouped=True, hot=hot)
-    found = found.where("doc > lo")
+    # With n kept, both uses of the repeats have the same columns and share one shuffle.
+    found = spread_join(windows, repeats.drop("hi"), key, spread_by=["doc", "at"], grouped=True, hot=hot)
+    found = found.where("doc > lo and n > 1")
     return found.groupBy("doc", "text_key").agg(F.collect_set("at").alias("places"))
 
 
