@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import decontaminate, near_dedup, sharding, substring_dedup, token_counts
+from catalith.llm import byte_bpe, decontaminate, near_dedup, sharding, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 N_SHARDS = 24
@@ -18,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.find_hits(docs, benchmark))
@@ -42,6 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
