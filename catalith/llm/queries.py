@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import byte_bpe, decontaminate, near_dedup, sharding, substring_dedup, token_counts
+from catalith.llm import byte_bpe, decontaminate, language_id, near_dedup, sharding, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 N_SHARDS = 24
@@ -34,6 +34,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > token_counts.MAX_TOKENS)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.train(docs))
+    return found.select("doc_id", language_id.is_held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
+    "op7_language_id": op7_language_id,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
