@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import byte_bpe, decontaminate, language_id, near_dedup, quality_rules, sharding, substring_dedup, token_counts
+from catalith.llm import byte_bpe, decontaminate, language_id, near_dedup, quality_rules, secret_scans, sharding, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 N_SHARDS = 24
@@ -24,6 +24,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules, ["doc_id"])
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -60,6 +64,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_secret_scans": op2_secret_scans,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
