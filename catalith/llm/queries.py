@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import byte_bpe, decontaminate, language_id, near_dedup, quality_rules, secret_scans, sharding, substring_dedup, token_counts
+from catalith.checkpoints import staging_folder
+from catalith.llm import byte_bpe, decontaminate, language_id, near_dedup, quality_rules, secret_scans, sharding, substring_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 N_SHARDS = 24
@@ -28,6 +29,13 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    # The table has no capture time; a page's number stands for the seconds since the crawl began.
+    captured = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id"))
+    return warc.archive(pages, f"{staging_folder(spark)}/archives", captured)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -65,6 +73,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scans": op2_secret_scans,
+    "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
