@@ -71,8 +71,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     folder = staging_folder(links.sparkSession)
     pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
     trees = stage(_forests(pairs), folder, "trees")
-    arcs = trees.select("a", "b").unionByName(trees.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    arcs = stage(arcs, folder, "arcs")
+    arcs = trees.select("a", "b").unionByName(trees.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = stage(arcs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")), folder, "labels_0")
     turn = 0
     while True:

@@ -44,6 +44,8 @@ SIGNATURE, BANDS = 128, 32
 ESTIMATE = 0.55
 # Members that are compared with one copy of a centre, and rows of a block of a bucket.
 MEMBERS_PER_TASK, BLOCK_ROWS = 64, 1024
+# Partners of an asker in a block that the first round confirms; each later round takes 32 times as many ranks.
+FIRST_RANKS = 8
 
 
 def shingle_sets(block: wordscan.Block) -> Iterator[np.ndarray]:
@@ -223,8 +225,10 @@ def _asked(open_rows: DataFrame, sketches: DataFrame, first: int, last: int) ->
                 alike = (sides[1] == sketch).mean(axis=1)
                 ranked = np.argsort(-alike, kind="stable")
                 ranked = ranked[alike[ranked] >= ESTIMATE]
-                ranked = [k for k in ranked.tolist() if ids[k] != rep][first:last]
-                out += [(min(rep, ids[k]), max(rep, ids[k])) for k in ranked if homes[k] != home]
+                ranked = [k for k in ranked.tolist() if ids[k] != rep]
+                out += [(min(rep, ids[k]), max(rep, ids[k])) for k in ranked[first:last] if homes[k] != home]
+                if any(homes[k] != home for k in ranked[last:]):
+                    out.append((rep, rep))  # a sign that further ranks are worth a round
             return out
 
         for batch in batches:
@@ -259,33 +263,48 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     buckets = stage(every.join(heads, "key").select("key", "rep", "a"), folder, "buckets")
     firsts = buckets.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     links = stage(_confirmed(docs, stage(firsts, folder, "pairs_0"), doc, text), folder, "links_0")
-    labels = stage(components(links, "a", "b"), folder, "labels_0")
+    labels = components(links, "a", "b")
 
     sketches = classes.select("rep", "sketch")
-    rank, width, turn = 0, 4, 0
     several = stage(_open_buckets(buckets.select("key", "rep"), labels), folder, "several")
+    first, last, turn = 0, FIRST_RANKS, 1
     while True:
-        open_rows = stage(_still_open(several, labels), folder, f"open_{turn}")
-        if open_rows.isEmpty():
-            break
+        open_rows = _still_open(several, labels)
         # What was compared with the smallest member of a shared bucket was decided there.
-        asked = _asked(open_rows, sketches, rank, rank + width).join(firsts, ["a", "b"], "left_anti")
-        asked = stage(asked, folder, f"pairs_{turn + 1}")
-        if asked.isEmpty():
-            # Ranks beyond any block's rows: all partners were asked. Blocks are even by hash.
-            if rank + width >= BLOCK_ROWS * 4:
-                break
-        else:
-            more = stage(_confirmed(docs, asked, doc, text), folder, f"links_{turn + 1}")
+        asked = _asked(open_rows, sketches, first, last).join(firsts, ["a", "b"], "left_anti")
+        asked = stage(asked, folder, f"pairs_{turn}")
+        pairs = asked.where("a <> b")
+        if not pairs.isEmpty():
+            more = stage(_confirmed(docs, pairs, doc, text), folder, f"links_{turn}")
             links = links.unionByName(more)
-            labels = stage(components(links, "a", "b"), folder, f"labels_{turn + 1}")
-        rank, width, turn = rank + width, width * 8, turn + 1
+            labels = components(links, "a", "b")
+        if asked.where("a = b").isEmpty():
+            break
+        first, last, turn = last, last * 32, turn + 1
     named = labels.withColumnRenamed("node", "rep")
     homes = classes.select("set_id", "rep").join(named, "rep", "left")
-    homes = homes.select("set_id", F.coalesce("component", "rep").alias("component"))
-    homes = stage(homes, folder, "homes")
+    # A table of its own, so that copies of one text can be split when they look up their component.
+    homes = stage(homes.select("set_id", F.coalesce("component", "rep").alias("component")), folder, "homes")
     found = signed.join(homes, "set_id", "left")
     component = F.coalesce("component", "doc")
     return found.select(
         F.col("doc").alias(doc), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc")).alias("kept")
     )
+
+
+def without(docs: DataFrame, gone: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """The documents whose id is not in `gone`; only those that a bit table suspects are looked up there."""
+    spark = docs.sparkSession
+    gone = stage(gone.select(doc), staging_folder(spark), "gone")
+    known = spark.sparkContext.broadcast(sieve.build(gone.select(F.xxhash64(doc).alias("k")), "k"))
+    keyed = docs.withColumn("_key", F.xxhash64(doc))
+
+    def part(suspected: bool) -> DataFrame:
+        def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sifted = known.value
+            for batch in batches:
+                yield batch.filter(pa.array(sifted.passes(batch.column(batch.num_columns - 1).to_numpy()) == suspected))
+
+        return keyed.mapInArrow(sift, keyed.schema).drop("_key")
+
+    return part(False).unionByName(part(True).join(gone, doc, "left_anti"))
