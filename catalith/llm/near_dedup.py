@@ -8,10 +8,11 @@ components.
 
 No bucket is capped and no bucket's pairs are listed. First every member of a bucket is
 compared with the bucket's smallest member only. Buckets whose members are in one
-component then are done: that is the end for a large group of copies. In the others the
-members outside the bucket's main component ask all members, in blocks, by signature;
-who is alike by estimate is confirmed on the full sets, the best first, in rounds over
-wider and wider rank ranges until no candidate is left.
+component then are done: that is the end for most large groups of copies. In the others
+the members outside the bucket's main component ask all members, in blocks, by
+signature, and each one's best partners are confirmed. Those that are still outside are
+compared on the full sets with every member that is not in their component, inside the
+tasks; only links come out.
 
 A document of fewer than `WIDTH` words is one shingle; null, empty and wordless texts
 have no set and stay alone. Repeated ids count as one document if their texts agree;
@@ -28,12 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.checkpoints import stage, staging_folder
 from catalith.llm import sieve, wordscan
-from catalith.llm.components import components
+from catalith.llm.components import Forest, components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -43,9 +44,9 @@ SIGNATURE, BANDS = 128, 32
 # Below this estimated similarity a pair is not worth confirming: over five standard errors under 0.75.
 ESTIMATE = 0.55
 # Members that are compared with one copy of a centre, and rows of a block of a bucket.
-MEMBERS_PER_TASK, BLOCK_ROWS = 64, 1024
-# Partners of an asker in a block that the first round confirms; each later round takes 32 times as many ranks.
-FIRST_RANKS = 8
+MEMBERS_PER_TASK, BLOCK_ROWS = 64, 512
+# Partners of an asker in a block that are confirmed before all are.
+BEST = 4
 
 
 def shingle_sets(block: wordscan.Block) -> Iterator[np.ndarray]:
@@ -129,6 +130,28 @@ def _signatures(docs: DataFrame, doc: str, text: str) -> DataFrame:
     return rows.mapInArrow(scan, f"doc {kind}, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary")
 
 
+def alike(x: np.ndarray, y: np.ndarray) -> bool:
+    small, large = sorted((len(x), len(y)))
+    if SHARE[1] * small < SHARE[0] * large:
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return SHARE[1] * shared >= SHARE[0] * (len(x) + len(y) - shared)
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame, doc: str, text: str) -> DataFrame:
+    """(doc, text) of the documents of `ids` and a few more, told by a bit table without a shuffle."""
+    spark = docs.sparkSession
+    known = spark.sparkContext.broadcast(sieve.build(ids.select(F.xxhash64("doc").alias("k")), "k"))
+    texts = docs.select(F.col(doc).alias("doc"), F.xxhash64(doc).alias("_k"), F.col(text).alias("text"))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sifted = known.value
+        for batch in batches:
+            yield batch.filter(pa.array(sifted.passes(batch.column(1).to_numpy())))
+
+    return texts.mapInArrow(sift, texts.schema).drop("_k")
+
+
 def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are alike. Texts are shuffled for the documents of pairs only.
 
@@ -143,14 +166,6 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFr
         spread.select(F.col("b").alias("doc"), "a", "part")
     )
     wanted = stage(wanted, staging_folder(spark), "wanted")
-    known = spark.sparkContext.broadcast(sieve.build(wanted.select(F.xxhash64("doc").alias("k")), "k"))
-    texts = docs.select(F.col(doc).alias("doc"), F.xxhash64(doc).alias("_k"), F.col(text).alias("text"))
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sifted = known.value
-        for batch in batches:
-            yield batch.filter(pa.array(sifted.passes(batch.column(1).to_numpy())))
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner, head, head_set = wordscan.Scanner(lower=True), None, None
         for batch in batches:
@@ -162,13 +177,13 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFr
                     if d == a:
                         head, head_set = (a, p), items
                     elif head == (a, p):
-                        shared = len(np.intersect1d(head_set, items, assume_unique=True))
-                        if SHARE[1] * shared >= SHARE[0] * (len(head_set) + len(items) - shared):
+                        if alike(head_set, items):
                             found.append((a, d))
             kinds = batch.schema.field(0).type
             yield pa.record_batch([pa.array([f[0] for f in found], kinds), pa.array([f[1] for f in found], kinds)], ["a", "b"])
 
-    rows = texts.mapInArrow(sift, texts.schema).join(wanted, "doc").select("a", "part", "doc", "text")
+    texts = _texts_of(docs, wanted.select("doc"), doc, text)
+    rows = texts.join(wanted, "doc").select("a", "part", "doc", "text")
     # The head of each part comes first. Rows of one part are together, but a part is small.
     ordered = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("doc") != F.col("a"))
     return ordered.mapInArrow(compare, f"a {kind}, b {kind}")
@@ -179,38 +194,46 @@ def _placed(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.withColumn("component", F.coalesce("component", "rep"))
 
 
-def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, rep, asks, blocks) of the buckets whose members are in several components.
+def _open_buckets(buckets: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows of the buckets whose members are in several components: asks, block counts, component, sketch.
 
-    `asks` marks the members outside the bucket's largest component. It is settled here
-    for all rounds: of two members in different components at least one asks.
+    `asks` marks the members outside the bucket's largest component: of two members in
+    different components at least one asks.
     """
     placed = _placed(buckets, labels)
     per = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     whole = per.groupBy("key").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_components"), F.max(F.struct("n", "component"))["component"].alias("main")
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("main")
     )
     # A bucket of two was decided by comparing the two.
-    size = F.ceil(F.col("n") / BLOCK_ROWS)
-    several = whole.where("n_components > 1 and n > 2").select("key", "main", size.alias("blocks"))
-    return placed.join(several, "key").select("key", "rep", (F.col("component") != F.col("main")).alias("asks"), "blocks")
+    several = whole.where("parts > 1 and n > 2").select(
+        "key",
+        F.col("main.component").alias("main"),
+        F.ceil(F.col("n") / BLOCK_ROWS).alias("m_blocks"),
+        F.ceil((F.col("n") - F.col("main.n")) / BLOCK_ROWS).alias("q_blocks"),
+    )
+    rows = placed.join(several, "key").withColumn("asks", F.col("component") != F.col("main")).drop("main")
+    return rows.join(sketches, "rep")
+
+
+def _meetings(rows: DataFrame) -> DataFrame:
+    """(key, m, q, role, ...): blocks of askers (role 0) and of members (role 1) of a bucket that meet in one task."""
+    kept = ["rep", "component", "sketch"]
 
+    def own(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("rep"), F.col(blocks))
 
-def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows with their components, without buckets that are in one component by now."""
-    placed = _placed(rows, labels)
-    ends = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    return placed.join(ends.select("key"), "key")
+    def every(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1))
 
+    as_member = rows.select("key", own("m_blocks").alias("m"), every("q_blocks").alias("q"), F.lit(1).alias("role"), *kept)
+    as_asker = rows.where("asks").select("key", every("m_blocks").alias("m"), own("q_blocks").alias("q"), F.lit(0).alias("role"), *kept)
+    return as_member.unionByName(as_asker)
 
-def _asked(open_rows: DataFrame, sketches: DataFrame, first: int, last: int) -> DataFrame:
-    """Pairs (a, b) in different components that are alike by estimate: each asker's partners of rank first .. last in each block."""
-    rows = open_rows.join(sketches, "rep")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    every = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
-    as_member = rows.select("key", own.alias("m"), F.explode(every).alias("q"), F.lit(1).alias("role"), "rep", "component", "sketch")
-    as_asker = rows.where("asks").select("key", F.explode(every).alias("m"), own.alias("q"), F.lit(0).alias("role"), "rep", "component", "sketch")
-    kind = open_rows.schema["rep"].dataType.simpleString()
+
+def _asked(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components that are alike by estimate: the best of each asker in each block."""
+    kind = rows.schema["rep"].dataType.simpleString()
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, askers, members = None, [], []
@@ -225,10 +248,8 @@ def _asked(open_rows: DataFrame, sketches: DataFrame, first: int, last: int) ->
                 alike = (sides[1] == sketch).mean(axis=1)
                 ranked = np.argsort(-alike, kind="stable")
                 ranked = ranked[alike[ranked] >= ESTIMATE]
-                ranked = [k for k in ranked.tolist() if ids[k] != rep]
-                out += [(min(rep, ids[k]), max(rep, ids[k])) for k in ranked[first:last] if homes[k] != home]
-                if any(homes[k] != home for k in ranked[last:]):
-                    out.append((rep, rep))  # a sign that further ranks are worth a round
+                ranked = [k for k in ranked.tolist() if homes[k] != home][:BEST]
+                out += [(min(rep, ids[k]), max(rep, ids[k])) for k in ranked]
             return out
 
         for batch in batches:
@@ -244,10 +265,48 @@ def _asked(open_rows: DataFrame, sketches: DataFrame, first: int, last: int) ->
         if found:
             yield pa.record_batch([pa.array([f[0] for f in found], t), pa.array([f[1] for f in found], t)], ["a", "b"])
 
-    both = as_member.unionByName(as_asker).repartition("key", "m", "q").sortWithinPartitions("key", "m", "q", "role")
+    both = _meetings(rows).repartition("key", "m", "q").sortWithinPartitions("key", "m", "q", "role")
     return both.mapInArrow(ask, f"a {kind}, b {kind}").distinct()
 
 
+def _compared(docs: DataFrame, rows: DataFrame, doc: str, text: str) -> DataFrame:
+    """Links (a, b) between components, from comparing every asker with every member of its bucket on the full sets.
+
+    Nothing but links is put out, and of these only such as join two components that the
+    task has not joined yet. Askers of one meeting are held in memory, members stream by.
+    """
+    kind = rows.schema["rep"].dataType.simpleString()
+    wanted = stage(_meetings(rows).withColumnRenamed("rep", "doc"), staging_folder(docs.sparkSession), "meetings")
+    placed = _texts_of(docs, wanted.select("doc"), doc, text).join(wanted, "doc")
+    placed = placed.select("key", "m", "q", "role", "doc", "component", "sketch", "text")
+    ordered = placed.repartition("key", "m", "q").sortWithinPartitions("key", "m", "q", "role")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner, group, askers, sketches, forest = wordscan.Scanner(lower=True), None, [], None, Forest()
+        for batch in batches:
+            found = []
+            for lo, hi, block in scanner.blocks(batch.column(7)):
+                part = batch.slice(lo, hi - lo).drop_columns(["text"])
+                facts = zip(*(c.to_pylist() for c in part.columns), strict=True)
+                for (key, m, q, role, d, home, sketch), items in zip(facts, shingle_sets(block), strict=True):
+                    if (key, m, q) != group:
+                        group, askers, sketches = (key, m, q), [], None
+                    if role == 0:
+                        askers.append((d, home, items, sketch))
+                        continue
+                    if sketches is None:
+                        sketches = np.frombuffer(b"".join(a[3] for a in askers), np.uint8).reshape(len(askers), -1)
+                    likely = np.flatnonzero((sketches == np.frombuffer(sketch, np.uint8)).mean(axis=1) >= ESTIMATE)
+                    for asker, own, theirs, _ in (askers[k] for k in likely.tolist()):
+                        if own != home and forest.root(own) != forest.root(home) and alike(theirs, items):
+                            forest.join(own, home)
+                            found.append((asker, d))
+            t = batch.schema.field(4).type
+            yield pa.record_batch([pa.array([f[0] for f in found], t), pa.array([f[1] for f in found], t)], ["a", "b"])
+
+    return ordered.mapInArrow(compare, f"a {kind}, b {kind}")
+
+
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable), kept."""
     spark = docs.sparkSession
@@ -266,21 +325,14 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     labels = components(links, "a", "b")
 
     sketches = classes.select("rep", "sketch")
-    several = stage(_open_buckets(buckets.select("key", "rep"), labels), folder, "several")
-    first, last, turn = 0, FIRST_RANKS, 1
-    while True:
-        open_rows = _still_open(several, labels)
-        # What was compared with the smallest member of a shared bucket was decided there.
-        asked = _asked(open_rows, sketches, first, last).join(firsts, ["a", "b"], "left_anti")
-        asked = stage(asked, folder, f"pairs_{turn}")
-        pairs = asked.where("a <> b")
-        if not pairs.isEmpty():
-            more = stage(_confirmed(docs, pairs, doc, text), folder, f"links_{turn}")
-            links = links.unionByName(more)
-            labels = components(links, "a", "b")
-        if asked.where("a = b").isEmpty():
-            break
-        first, last, turn = last, last * 32, turn + 1
+    members = buckets.select("key", "rep")
+    # Most members that missed their bucket's centre find a link among their best partners.
+    asked = _asked(_open_buckets(members, labels, sketches)).join(firsts, ["a", "b"], "left_anti")
+    links = links.unionByName(stage(_confirmed(docs, stage(asked, folder, "pairs_1"), doc, text), folder, "links_1"))
+    labels = components(links, "a", "b")
+    # What is left is compared with everybody.
+    last = _compared(docs, _open_buckets(members, labels, sketches), doc, text)
+    labels = components(links.unionByName(stage(last, folder, "links_2")), "a", "b")
     named = labels.withColumnRenamed("node", "rep")
     homes = classes.select("set_id", "rep").join(named, "rep", "left")
     # A table of its own, so that copies of one text can be split when they look up their component.
