@@ -1,0 +1,196 @@
+"""Operators on words: quality, secrets, decontamination, substring removal, near-duplicates."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from catalith.llm import decontaminate, near_dedup, quality_rules, queries, secret_scans, sieve, substring_dedup, wordscan
+
+from . import brute
+from .conftest import ODD, SCHEMA, SF_DIR
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def distinct_ids(rows):
+    return [(d, t) for d, t in dict(rows).items() if d is not None]
+
+
+def test_blocks_cut_words_at_text_ends():
+    texts = pa.array(["ab cd", None, "", "ef", "Gé x"])
+    for limit in (1, 5, 100):
+        got = []
+        for _, _, b in wordscan.Scanner(lower=True).blocks(texts, limit):
+            got += [[b.joined(i, i + 1).decode() for i in range(b.first[k], b.first[k + 1])] for k in range(len(b))]
+        assert got == [["ab", "cd"], [], [], ["ef"], ["gé", "x"]]
+
+
+def test_equal_words_have_equal_hashes_wherever_they_stand():
+    b = next(wordscan.Scanner().blocks(pa.array(["x aa bb cc y aa bb cc", "aa bb cc"])))[2]
+    words = b.word_hashes()
+    assert words[1] == words[5] == words[8] and words[1] != words[2]
+    h = b.window_hashes(words, 3)
+    assert h[1] == h[5] == h[8] and len(set(h.tolist())) == len(h) - 2
+    assert b.full_windows(3).tolist() == [0, 1, 2, 3, 4, 5, 8]
+
+
+def test_sieve_lets_every_member_pass(spark):
+    keys = spark.range(5000).select(F.xxhash64("id").alias("k"))
+    s = sieve.build(keys, "k")
+    assert s.passes(np.array([r.k for r in keys.collect()])).all()
+    others = np.array([r.k for r in spark.range(10_000, 20_000).select(F.xxhash64("id").alias("k")).collect()])
+    assert s.passes(others).mean() < 0.2
+
+
+def quality_of(df, rules=()):
+    rows = quality_rules.judge(df, list(rules), ["doc_id", "text"]).collect()
+    return rows, [(r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows]
+
+
+def test_quality_statistics(spark, documents, odd):
+    for df in (documents, odd):
+        rows, got = quality_of(df)
+        assert got == [brute.quality(r.text) for r in rows]
+
+
+def test_quality_rules_are_learned_and_precise(spark):
+    for row in queries.op1_quality_rules(spark, SF_DIR.replace("0.001", "0.01")).join(
+        spark.read.parquet(SF_DIR.replace("0.001", "0.01") + "/labels.parquet"), "doc_id"
+    ).groupBy("quality").agg(F.avg((~F.col("kept") & ~F.col("base_failed")).cast("int")).alias("rejected")).collect():
+        assert row.rejected < 0.01 if row.quality == 1 else row.rejected > 0.3
+
+
+def test_quality_without_labels_or_rows(spark, odd, empty):
+    none = spark.createDataFrame([], "doc_id bigint, quality int")
+    assert quality_rules.learned_rules(odd, none) == []
+    assert quality_rules.judge(empty, [], ["doc_id"]).count() == 0
+    rule = (quality_rules.Condition("words", True, 4), quality_rules.Condition("symbols_per_mille", False, 10))
+    rows = quality_rules.judge(odd, [rule], ["doc_id", "text"]).collect()
+    assert {r.rule for r in rows if r.n_words > 4 and r.n_symbols == 0} == {"words > 4 and symbols_per_mille <= 10"}
+
+
+def scanned(df):
+    return {r.doc_id: ([r.n_assign, r.n_access, r.n_hex], r.base_sha256) for r in secret_scans.scan(df).collect()}
+
+
+def test_base_secrets(spark, odd, empty):
+    random.seed(4)
+    parts = ["token", "API_KEY", "apikey ", "secret", '="', ": ", "'", " = ", "abcdefghijkl", "AKIA", "ABCDEFGH12345678",
+             "deadbeefdeadbeef", "é", "日", "\n", " ", "=", "😀", "toKEN: api_key: abcdefghijklmnop"]
+    rows = [(i, "".join(random.choice(parts) for _ in range(random.randint(0, 30)))) for i in range(200)]
+    rows.append((900, "deadbeef01234567 " * 2000))
+    for df in (spark.createDataFrame(rows, SCHEMA).repartition(4), odd):
+        want = {d: brute.secrets(t)[1:] for d, t in pairs(df)}
+        assert scanned(df) == {d: (n, s) for d, (n, s) in want.items()}
+    assert scanned(empty) == {}
+
+
+def test_entropy_spans_and_allow_list(spark):
+    texts = [
+        "see 3Xk9Lm2Qp8Rt5Vw1Zy7Bn4Cd6 there", "id f47ac10b-58cc-4372-a567-0e02b2c3d479", "path docs/guide/getting-started/page-12",
+        "A1B2C3D4E5F60718293A4B5C", "a plain-sentence_with_many_joined_words only", "zzzzzzzzzzzzzzzz1111zzzz",
+    ]
+    got = [r.spans for r in secret_scans.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).orderBy("doc_id").collect()]
+    assert got == ["entropy_base64:4:29", "", "", "entropy_hex:0:24", "", ""]
+
+
+def test_window_entropy_equals_the_formula(spark):
+    import math
+
+    t = "3Xk9Lm2Qp8Rt5Vw1Zy7Bn4Cd6aaaaaaaaaaaaaaaaa"
+    df = spark.createDataFrame([(t,)], "t string")
+    got = df.select(secret_scans.best_window_bits(F.col("t"))).first()[0]
+    bits = [-sum(w.count(c) / 20 * math.log2(w.count(c) / 20) for c in set(w)) for w in (t[i : i + 20] for i in range(len(t) - 19))]
+    assert abs(got - max(bits)) < 1e-9
+
+
+def test_redaction_replaces_spans_only(spark):
+    rows = [(1, 'a token = "abcdefghijkl" b deadbeefdeadbeef', 0), (2, "nothing é", 9), (3, None, None)]
+    out = secret_scans.redact(spark.createDataFrame(rows, SCHEMA + ", n_chars bigint"), length="n_chars").orderBy("doc_id").collect()
+    assert [tuple(r) for r in out] == [(1, 'a [SECRET]" b [SECRET]', 22), (2, "nothing é", 9), (3, None, None)]
+
+
+def hit_rows(df, bench, **options):
+    found = decontaminate.digest(decontaminate.find_hits(df, bench, **options)).collect()
+    return sorted((r.doc_id if r.doc_id is not None else -1, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found)
+
+
+def test_decontamination(spark, documents, odd, empty):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    items += [(900, None), (901, "..."), (902, "One"), (903, items[0][1]), (903, items[1][1])]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    planted = [(7000 + i, f"Before, {t.upper()} after {items[i - 1][1]}") for i, (_, t) in enumerate(items[:20])]
+    plain = documents.select("doc_id", "text").unionByName(spark.createDataFrame(planted, SCHEMA))
+    for df in (plain, odd, empty):
+        want = []
+        for d, t in pairs(df):
+            n, hit, names = brute.hits(t, items)
+            want.append((-1 if d is None else d, n, len(hit), len(names), brute.sha(",".join(names)), bool(hit)))
+        assert hit_rows(df, bench) == sorted(want)
+    # Several passes give what one gives.
+    assert hit_rows(plain, bench, max_windows=200) == hit_rows(plain, bench)
+
+
+def test_cutting_hits(spark):
+    bench = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11")], "item_id bigint, text string")
+    rows = [(1, "Keep é: W1 w2, w3 w4 w5 w6 w7 w8 w9 w10! rest", 0), (2, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10", 0), (3, None, None), (4, "clean", 5)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", n_chars bigint")
+    out = decontaminate.cut_hits(docs, bench, length="n_chars").orderBy("doc_id").collect()
+    assert [tuple(r) for r in out] == [(1, "Keep é: ! rest", 14), (3, None, None), (4, "clean", 5)]
+
+
+def removed(df):
+    return {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect() if r.doc_id is not None}
+
+
+def test_substring_removal(spark, documents, odd, empty):
+    random.seed(3)
+    rows = []
+    for _ in range(60):
+        v = [f"w{i}" for i in range(random.choice([1, 2, 3, 5, 50, 1000]))]
+        text = lambda n, v=v: [random.choice(v) for _ in range(n)]
+        base, periodic = text(random.randint(40, 160)), text(random.randint(1, 9)) * 40
+        for _ in range(3):
+            a, src = random.randint(0, 30), random.choice([base, periodic])
+            rows.append((len(rows), " ".join(text(random.randint(0, 40)) + src[a : a + random.randint(30, 120)] + text(random.randint(0, 40)))))
+    random.shuffle(rows)
+    for df in (spark.createDataFrame(rows, SCHEMA).repartition(4), documents):
+        assert removed(df) == brute.repeats(pairs(df))
+    want = brute.repeats(distinct_ids(ODD))
+    assert removed(odd) == want and removed(empty) == {}
+
+
+def grouped(df):
+    rows = near_dedup.near_duplicates(df).collect()
+    assert all(r.kept == (r.component_id == r.doc_id) for r in rows if r.doc_id is not None)
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in rows if r.doc_id is not None}
+
+
+def test_near_duplicates(spark, documents, odd, empty):
+    random.seed(5)
+    v, rows = [f"w{i}" for i in range(4000)], []
+    for n in (30, 120, 300):
+        base = [random.choice(v) for _ in range(n)]
+        for _ in range(60):
+            copy = list(base)
+            for _ in range(random.randint(0, n // 45 + 1)):
+                copy[random.randrange(n)] = random.choice(v)
+            rows.append((len(rows) * 7 % 1009, " ".join(copy)))
+    rows += [(2000 + k, " ".join(random.choice(v[:3]) for _ in range(random.randint(0, 8)))) for k in range(60)]
+    for df in (spark.createDataFrame(rows, SCHEMA).repartition(4), documents):
+        assert grouped(df) == brute.near(pairs(df))
+    assert grouped(odd) == brute.near(distinct_ids(ODD)) and grouped(empty) == {}
+
+
+def test_super_minhash_estimates_similarity():
+    rng = np.random.default_rng(1)
+    for n in (1, 3, 40, 5000):
+        shared, own = rng.integers(0, 2**63, 3 * n, dtype=np.uint64), rng.integers(0, 2**63, n, dtype=np.uint64)
+        x, y = np.unique(shared), np.unique(np.concatenate([shared, own]))
+        alike = (near_dedup.super_minhash(x, 1024) == near_dedup.super_minhash(y, 1024)).mean()
+        assert abs(alike - 0.75) < 0.09
+        assert (near_dedup.super_minhash(x) < len(x) * 128).all()
