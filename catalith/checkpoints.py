@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; only a local session may make its own."""
+    """The folder the cluster names, or one in the warehouse; never one of a single machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named:
             sc.setCheckpointDir(named)
-        elif sc.master.startswith("local"):
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="catalith-checkpoints-"))
         else:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+            # The warehouse is the other folder that all machines share.
+            sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/catalith-checkpoints")
     return sc.getCheckpointDir()
 
 

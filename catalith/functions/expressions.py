@@ -12,16 +12,25 @@ from pyspark.sql import functions as F
 
 from catalith.functions.binding import let
 
-_NAME = r'(?:[\p{L}_][\p{L}\p{N}_$]*|"[^"]*")'
+# Quantifiers of groups are possessive: Java then runs them as loops, so that a text of
+# any length is cut without using up the stack.
+_NAME = r'(?:[\p{L}_][\p{L}\p{N}_$]*+|"[^"]*+")'
+_SIGN = r"(?:\+|-(?!-))"
 _TOKEN = (
-    r"(?s)'[^']*(?:''[^']*)*'"  # literal
-    r"|--[^\n]*|/\*.*?\*/"  # comment
-    rf"|{_NAME}(?:\s*\.\s*{_NAME})*(?:\s*\()?"  # name chain, or a call with its bracket
-    r"|[0-9]+(?:\.[0-9]*)?(?:[eE][+-]?[0-9]+)?|\.[0-9]+"  # number
+    r"(?s)[eE]'(?:[^'\\]++|\\.|'')*+'"  # literal with escapes
+    r"|'[^']*+(?:''[^']*+)*+'"  # literal
+    r"|\$(?<tag>(?:[\p{L}_][\p{L}\p{N}_]*+)?)\$.*?\$\k<tag>\$"  # dollar-quoted literal
+    r"|--[^\n]*+|/\*.*?\*/"  # comment
+    rf"|{_NAME}(?:\s*+\.\s*+{_NAME})*+(?:\s*+\()?"  # name chain, or a call with its bracket
+    r"|[0-9]++(?:\.[0-9]*+)?(?:[eE][+-]?[0-9]++)?|\.[0-9]++"  # number
     r"|[(),;\[\]]"
-    r"|(?:(?!--|/\*)[-+*/<>=~!@#%^&|`?:.])+"  # operator
+    # An operator may end in a sign only if it holds one of ~ ! @ # % ^ & | ` ?, else the sign belongs to
+    # the operand. Each run of operator characters is looked at from its start only.
+    r"|(?<![-+*/<>=~!@#%^&|`?:.])(?=(?:(?!--|/\*)[-+*/<>=:.])*+[~!@#%^&|`?])(?:(?!--|/\*)[-+*/<>=~!@#%^&|`?:.])++"
+    rf"|(?:(?!/\*)[*/<>=:.]|(?<![-+]){_SIGN}++(?=[*<>=:.]|/(?!\*)))++"
+    rf"|{_SIGN}|[~!@#%^&|`?]"
 )
-_IS_CHAIN = rf"\A{_NAME}(?:\s*\.\s*{_NAME})+\z"
+_IS_CHAIN = rf"\A{_NAME}(?:\s*+\.\s*+{_NAME})++\z"
 _IS_BARE = rf"\A{_NAME}\z"
 
 # Functions whose result changes between runs, and the context
@@ -48,21 +57,22 @@ PREDICATE_WORDS = ("and", "or", "not", "in", "is", "like", "ilike", "between", "
 # Words that may stand alone in an expression without naming a column.
 SQL_WORDS = (
     "all", "and", "any", "array", "as", "asc", "at", "between", "both", "by", "case", "cast", "collate",
-    "cross", "desc", "distinct", "else", "end", "escape", "except", "exists", "false", "filter", "first",
+    "cross", "desc", "distinct", "else", "end", "escape", "except", "exists", "false", "filter",
     "following", "for", "from", "full", "group", "having", "ilike", "in", "inner", "intersect", "interval",
-    "is", "isnull", "join", "last", "leading", "left", "like", "limit", "natural", "not", "notnull", "null",
+    "is", "isnull", "join", "leading", "left", "like", "limit", "natural", "not", "notnull", "null",
     "nulls", "of", "offset", "on", "or", "order", "outer", "over", "partition", "placing", "preceding",
     "range", "right", "row", "rows", "select", "similar", "some", "symmetric", "then", "to", "trailing",
     "true", "unbounded", "union", "unknown", "using", "when", "where", "with", "within", "without",
-    "time", "zone", "year", "month", "day", "hour", "minute", "second", "quarter", "week", "dow", "doy",
-    "epoch", "century", "decade", "isodow", "isoyear", "current",
-    "bigint", "bool", "boolean", "bytea", "char", "character", "date", "decimal", "double", "float", "int",
-    "integer", "json", "jsonb", "num", "numeric", "precision", "real", "smallint", "text", "timestamp",
-    "timestamptz", "uuid", "varchar", "varying",
     "insert", "update", "delete", "merge", "into", "values", "set", "create", "drop", "alter", "grant",
     "truncate", "table",
 )
 
+# Words that name no column only next to each other.
+WORD_PAIRS = (
+    "time zone", "double precision", "character varying", "char varying", "bit varying", "nulls first",
+    "nulls last", "current row",
+)
+
 # The label reported for each statement verb that opens a text.
 STATEMENT_LABELS = {
     "update": "UPDATE statement",
@@ -114,18 +124,29 @@ def column_references(expr: Column) -> Column:
 
 
 def bare_names(expr: Column) -> Column:
-    """One-part names that are neither SQL words nor the type of a `::` cast."""
+    """One-part names that are neither SQL words nor stand where only a type, field or collation can."""
     return let(tokens(expr), bare_name_tokens)
 
 
 def bare_name_tokens(toks: Column) -> Column:
-    kept = F.filter(
-        toks,
-        lambda t, i: t.rlike(_IS_BARE)
-        & ~F.lower(t).isin(*SQL_WORDS, *CONTEXT_KEYWORDS)
-        & F.coalesce(F.get(toks, i - 1) != "::", F.lit(True)),
-    )
-    return F.transform(kept, plain_reference)
+    def kept(lower: Column) -> Column:
+        def names_a_column(t: Column, i: Column) -> Column:
+            word = F.get(lower, i)
+            before, after = (F.coalesce(F.get(lower, i + k), F.lit("")) for k in (-1, 1))
+            no_column = (
+                word.isin(*SQL_WORDS, *CONTEXT_KEYWORDS)
+                | before.isin("::", "as", "collate")  # a type, or a collation
+                | before.rlike(r"\Aextract\s*\(\z")  # a field
+                | after.startswith("'")  # the type of a literal
+                | (before.startswith("'") & (F.get(lower, i - 2) == "interval"))  # an interval's field
+                | (F.concat_ws(" ", before, word).isin(*WORD_PAIRS))
+                | (F.concat_ws(" ", word, after).isin(*WORD_PAIRS))
+            )
+            return t.rlike(_IS_BARE) & ~F.coalesce(no_column, F.lit(False))
+
+        return F.transform(F.filter(toks, names_a_column), plain_reference)
+
+    return let(F.transform(toks, F.lower), kept)
 
 
 def badly_qualified(expr: Column) -> Column:
@@ -159,8 +180,8 @@ def volatile_tokens(toks: Column) -> Column:
 
     def found(toks: Column) -> Column:
         calls = F.transform(
-            F.filter(toks, lambda t: t.endswith("(") & t.rlike(r"\w\s*\(\z")),
-            lambda t: F.regexp_extract(t, r"(\w+)\s*\(\z", 1),
+            F.filter(toks, lambda t: t.endswith("(") & t.rlike(r'[\w"]\s*+\(\z')),
+            lambda t: F.regexp_extract(t, r'(\w+)"?\s*+\(\z', 1),
         )
         words = F.filter(toks, lambda t: t.isin(*CONTEXT_KEYWORDS))
         return F.array_sort(F.array_distinct(F.array_intersect(F.concat(calls, words), deny)))

@@ -30,7 +30,7 @@ def column_refs(spark, d):
     "under_qualified",
     f"""{WITH} select 'column_refs' as rule, expr_key as object_key,
     case form when 3 then 'sales.t1.c1' when 4 then 'pre.' || a || '.c1' when 6 then a || ',q'
-              when 11 then 'log' end as detail from expressions where form in (3, 4, 6, 11)""",
+              when 11 then 'log' when 16 then 'date' end as detail from expressions where form in ({V.BADLY_QUALIFIED_FORMS})""",
 )
 def under_qualified(spark, d):
     return L.under_qualified(V.expressions(spark, d), "expr", "expr_key", "column_mappings").select(*BRIEF)
@@ -102,7 +102,7 @@ def self_reference(spark, d):
 
 @query(
     "volatile_functions",
-    f"""{WITH} select expr_key, case when expr is not null then case form when 5 then 'current_date,now' else '' end end as found
+    f"""{WITH} select expr_key, case when expr is not null then case form when 5 then 'current_date,now' when 17 then 'now' else '' end end as found
     from expressions""",
 )
 def volatile_functions(spark, d):
@@ -122,46 +122,34 @@ def navigation_kind(spark, d):
 
 @query(
     "is_predicate",
-    f"""{WITH} select expr_key, case when expr is not null then form in (0, 3, 4, 5, 7, 10, 13) end as is_predicate
-    from expressions where form <> 11""",
+    f"""{WITH} select expr_key, case when expr is not null then form in (0, 3, 4, 5, 7, 10, 13, 14, 15, 16, 17) end as is_predicate
+    from expressions""",
 )
 def is_predicate(spark, d):
-    rows = V.expressions(spark, d).where(F.col("form") != 11)
-    return rows.select("expr_key", E.is_predicate(F.col("expr")).alias("is_predicate"))
+    return V.expressions(spark, d).select("expr_key", E.is_predicate(F.col("expr")).alias("is_predicate"))
 
 
 @query(
     "translate_expression",
-    f"""{WITH}, {V.PLACED_SQL},
-    named as (select e.*, x.table_id is not null as has_a, y.table_id is not null as has_b,
-        'db2.parts.p_' || l_partkey as pa, 'db2.parts.p_' || (l_suppkey * 7) as pb
-      from expressions e left join placed x on x.table_id = e.a and x.system = 'sys2'
-      left join placed y on y.table_id = e.b and y.system = 'sys2'
-      where form in (0, 1, 2, 5, 8, 9, 10, 12, 13)),
-    needed as (select *, case when form in (9, 12) then 0
-        when form in (0, 1, 8) then case when a = b then (not has_a)::int else (not has_a)::int + (not has_b)::int end
-        else (not has_a)::int end as missing from named)
-    select expr_key, case when missing = 0 then case form
-        when 0 then pa || '.c1 = ' || pb || '.c1' when 1 then pa || '.c1 + ' || pb || '.c2 * 2'
-        when 2 then 'coalesce(' || pa || '.c1, ''x.y.z.w'') || ''it''''s'''
-        when 5 then pa || '.c1 > now() and current_date is not null'
-        when 8 then 'case when ' || pa || '.c1 = 1 then ' || pb || '.c2 else 0 end'
-        when 10 then '((' || pa || '.c1 in (1, 2)))  -- note x.y.z.w'
-        when 12 then expr
-        when 13 then 'round(' || pa || '."c2" / 2.5) = ' || pa || '.c3' end end as physical_expr,
-      cast(missing as bigint) as n_missing from needed""",
+    f"""{WITH_REFS}, {V.PLACED_SQL}, there as (select table_id from placed where system = 'sys2'),
+    used as (select distinct expr_key, {TABLE_OF} as table_id from refs),
+    lost as (select expr_key, count(*) filter (where table_id not in (select table_id from there)) as n from used group by 1)
+    select e.expr_key, case when coalesce(n, 0) > 0 then null when form = 6 then expr
+        else replace(replace(expr, a || '.', 'db2.parts.p_' || l_partkey || '.'), b || '.', 'db2.parts.p_' || (l_suppkey * 7) || '.')
+      end as physical_expr, cast(coalesce(n, 0) as bigint) as n_missing
+    from expressions e left join lost on e.expr_key = lost.expr_key""",
 )
 def translate_expression(spark, d):
-    rows = V.expressions(spark, d).where(F.col("form").isin(0, 1, 2, 5, 8, 9, 10, 12, 13))
-    return L.translate_expression(rows, "expr", "expr_key", V.placed(spark, d), "sys2")
+    return L.translate_expression(V.expressions(spark, d), "expr", "expr_key", V.placed(spark, d), "sys2")
 
 
 @query(
     "expression_rules",
-    f"""{WITH} select 'volatile_functions' as rule, expr_key as object_key, 'current_date,now' as detail from expressions where form = 5
+    f"""{WITH} select 'volatile_functions' as rule, expr_key as object_key, case form when 5 then 'current_date,now' else 'now' end as detail
+      from expressions where form in (5, 17)
     union all select 'navigation_kind', expr_key, case form when 6 then 'subquery' else 'multiple statements' end
       from expressions where form in (6, 11)
-    union all select 'is_predicate', expr_key, expr from expressions where form in (1, 2, 6, 8, 11, 12)""",
+    union all select 'is_predicate', expr_key, expr from expressions where form in (1, 2, 6, 8, 11, 12, 18)""",
 )
 def expression_rules(spark, d):
     return L.expression_rules(V.expressions(spark, d), "expr", F.col("expr_key"), "table_relationships", True).select(*BRIEF)

@@ -227,13 +227,14 @@ def relationships_of(spark, d):
 
 
 def _edges(spark, d):
-    lines = V.table(spark, d, "lineitem").where(F.col("l_quantity") >= 49)
-    pairs = lines.groupBy("l_orderkey").agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b"))
+    # Parts ordered together, of one remainder: so the graph has several components, and every line takes part.
+    lines = V.table(spark, d, "lineitem").withColumn("class", V.mod("l_partkey", 7))
+    pairs = lines.groupBy("l_orderkey", "class").agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b"))
     return pairs.where(F.col("a") != F.col("b")).select("a", "b")
 
 
-EDGES_SQL = """edges as (select min(l_partkey) as a, max(l_partkey) as b from lineitem where l_quantity >= 49
-  group by l_orderkey having min(l_partkey) <> max(l_partkey)),
+EDGES_SQL = """edges as (select min(l_partkey) as a, max(l_partkey) as b from lineitem
+  group by l_orderkey, l_partkey % 7 having min(l_partkey) <> max(l_partkey)),
 both_ways as (select a, b from edges union select b, a from edges),
 reach as (select a as node, a as seen from both_ways union select b, b from both_ways
   union select r.node, e.b from reach r join both_ways e on r.seen = e.a),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalith.functions.binding import compute_once
-from catalith.functions.expressions import tables_referenced
+from catalith.functions.expressions import badly_qualified_tokens, reference_tokens, tables_of, tokens
 from catalith.skew import spread_join
 
 
@@ -145,10 +145,10 @@ part_tables as (
   select p_partkey, 'wh.b' || replace(lower(p_brand), '#', '') || '.t' || p_partkey as table_id,
          'wh' as data_source_id, p_brand, p_size from part),
 deployments as (
-  select distinct table_id, 'sys' || (l_suppkey % 8) as system, data_source_id,
-         'db' || (l_suppkey % 8) as physical_database_name, split_part(table_id, '.', 2) as physical_schema_name,
+  select distinct table_id, 'sys' || ((l_partkey + l_suppkey % 2) % 8) as system, data_source_id,
+         'db' || ((l_partkey + l_suppkey % 2) % 8) as physical_database_name, split_part(table_id, '.', 2) as physical_schema_name,
          'p_' || split_part(table_id, '.', 3) as physical_table_name
-  from lineitem join part_tables on l_partkey = p_partkey where l_linenumber <= 2)
+  from lineitem join part_tables on l_partkey = p_partkey)
 """
 
 
@@ -167,8 +167,7 @@ def deployments(spark, d) -> DataFrame:
     """Distinct pairs first, on the numbers, then the names: the shuffle carries two small columns."""
     pairs = (
         table(spark, d, "lineitem")
-        .where(F.col("l_linenumber") <= 2)
-        .select("l_partkey", mod("l_suppkey", 8).alias("s"))
+        .select("l_partkey", mod(F.col("l_partkey") + mod("l_suppkey", 2), 8).alias("s"))
         .distinct()
     )
     t = part_tables(spark, d)
@@ -253,7 +252,14 @@ EXPRESSION_FORMS = {
     11: "{a}.c1 at time zone 'utc'; delete from log",
     12: "42 /* k.l.m.n */ + 1",
     13: 'round({a}."c2" / 2.5) = {a}.c3',
+    14: "{a}.c1 =-1",
+    15: "cast({a}.c1 as int8) <>-{b}.c2",
+    16: "date = {a}.c1",
+    17: '"now"() > {a}.c1',
+    18: "$$a.b.c.d$$ || E'it\\'s a.b.c.d' || {a}.c1 || '" + "''" * 200 + "'",
 }
+# Forms with a reference or bare name that does not have four parts.
+BADLY_QUALIFIED_FORMS = "3, 4, 6, 11, 16"
 
 
 def _spark_form(template: str | None, a: Column, b: Column) -> Column:
@@ -285,7 +291,7 @@ EXPRESSIONS_SQL = (
 lines as (
   select 'e' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey as expr_key,
          'wh.parts.t' || l_partkey as a, 'wh.parts.t' || (l_suppkey * 7) as b, l_partkey, l_suppkey,
-         (l_orderkey + l_linenumber) % 14 as form
+         (l_orderkey + l_linenumber) % 19 as form
   from lineitem group by l_orderkey, l_linenumber, l_partkey, l_suppkey),
 expressions as (select *, case form """
     + " ".join(f"when {i} then {_sql_form(t)}" for i, t in EXPRESSION_FORMS.items())
@@ -306,7 +312,7 @@ def expressions(spark, d) -> DataFrame:
             F.concat(F.lit("wh.parts.t"), text(F.col("l_suppkey") * 7)).alias("b"),
             "l_partkey",
             "l_suppkey",
-            mod(F.col("l_orderkey") + F.col("l_linenumber"), 14).alias("form"),
+            mod(F.col("l_orderkey") + F.col("l_linenumber"), len(EXPRESSION_FORMS)).alias("form"),
         )
     )
     expr = None
@@ -332,6 +338,11 @@ EXPRESSION_REFS = {
     11: ["{a}.c1"],
     12: [],
     13: ["{a}.c2", "{a}.c3"],
+    14: ["{a}.c1"],
+    15: ["{a}.c1", "{b}.c2"],
+    16: ["{a}.c1"],
+    17: ["{a}.c1"],
+    18: ["{a}.c1"],
 }
 REFS_SQL = (
     EXPRESSIONS_SQL
@@ -353,8 +364,8 @@ COLUMNS_SQL = (
 DOC_TABLES_SQL = "doc_tables as (select 'wh.parts.t' || p_partkey as table_id from part where p_partkey % 10 <> 0)"
 # Placements of the tables used in expressions and relationships.
 PLACED_SQL = (
-    "placed as (select distinct 'wh.parts.t' || l_partkey as table_id, 'sys' || (l_suppkey % 8) as system"
-    " from lineitem where l_linenumber <= 2)"
+    "placed as (select distinct 'wh.parts.t' || l_partkey as table_id, 'sys' || ((l_partkey + l_suppkey % 2) % 8) as system"
+    " from lineitem)"
 )
 
 
@@ -372,8 +383,8 @@ def doc_columns(spark, d) -> DataFrame:
 
 def placed(spark, d) -> DataFrame:
     pairs = (
-        table(spark, d, "lineitem").where(F.col("l_linenumber") <= 2)
-        .select("l_partkey", mod("l_suppkey", 8).alias("s")).distinct()
+        table(spark, d, "lineitem")
+        .select("l_partkey", mod(F.col("l_partkey") + mod("l_suppkey", 2), 8).alias("s")).distinct()
     )
     name = F.concat(F.lit("wh.parts.t"), text("l_partkey"))
     system = F.concat(F.lit("sys"), text("s"))
@@ -387,14 +398,16 @@ def placed(spark, d) -> DataFrame:
 
 def expression_tables(spark, d) -> DataFrame:
     """(expr_key, tables) for expressions whose references all have four parts."""
-    good = expressions(spark, d).where(~F.col("form").isin(3, 4, 6, 9))
-    return compute_once(good.select("expr_key", "expr"), {"tables": tables_referenced(F.col("expr"))}).drop("expr")
+    rows = expressions(spark, d).where(F.col("expr").isNotNull())
+    cut = compute_once(rows.select("expr_key", "expr"), {"_toks": tokens(F.col("expr"))}).drop("expr")
+    facts = {"tables": tables_of(reference_tokens(F.col("_toks"))), "_bad": badly_qualified_tokens(F.col("_toks"))}
+    return compute_once(cut, facts).where(F.size("_bad") == 0).select("expr_key", "tables")
 
 
 EXPRESSION_TABLES_SQL = (
     REFS_SQL
     + ", expr_tables as (select distinct expr_key, array_to_string(list_slice(string_split(ref, '.'), 1, 3), '.') as table_id"
-    " from refs where form not in (3, 4, 6))"
+    " from refs where form not in (" + BADLY_QUALIFIED_FORMS + "))"
 )
 
 

@@ -203,3 +203,29 @@ def test_introspection(spark):
     rows = [(r.table, r.ordinal, r.name, r.is_pk) for r in introspect_tables(spark).orderBy("ordinal").collect() if r.table == "kinds"]
     assert rows == [("kinds", 0, "code", True), ("kinds", 1, "name", False)]
     spark.catalog.dropTempView("kinds")
+
+
+def test_expression_tokens_of_any_length(spark):
+    from catalith.functions import expressions as E
+
+    long_texts = {
+        "'" + "''" * 500_000 + "'": 1, "+" * 100_000: 100_000, ".".join(["a"] * 300_000): 1, '"' + "a" * 1_000_000 + '"': 1,
+        "$$" + "a.b" * 300_000 + "$$": 1, "E'" + "\\'" * 300_000 + "'": 1, "=-" * 50_000: 1 + 1,
+    }
+    df = spark.createDataFrame([(t,) for t in long_texts], "e string")
+    assert [r[0] for r in df.select(F.size(E.tokens(F.col("e")))).collect()] == list(long_texts.values())
+
+
+def test_expression_names_by_position(spark):
+    from catalith.functions import expressions as E
+
+    cases = {
+        "s.m.t.c <>-1": ([], True), "cast(s.m.t.c as int8)": ([], False), "extract(millennium from s.m.t.c)": ([], False),
+        "s.m.t.c collate \"C\" = 'x'": ([], True), "date = s.m.t.c": (["date"], True), "year > 3": (["year"], True),
+        "$q$a.b.c$q$ = s.m.t.c": ([], True), "E'it\\'s a.b.c'": ([], False), "date '2020-01-01' < s.m.t.c": ([], True),
+        "s.m.t.c::timestamp with time zone at time zone 'utc'": ([], False), "interval '1' day + s.m.t.c": ([], False),
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "e string").coalesce(1)
+    rows = df.select(E.badly_qualified(F.col("e")), E.is_predicate(F.col("e"))).collect()
+    assert [tuple(r) for r in rows] == list(cases.values())
+    assert spark.sql("""select '"now"()' as e""").select(E.volatile_functions(F.col("e"))).first()[0] == ["now"]
