@@ -20,9 +20,8 @@ from catalith.functions.cells import TYPE_VOCABULARY, cell_problem
 from catalith.issues import as_issues, key_text, union_issues
 from catalith.operators.keys import later_occurrences
 
-# The row limit of a curated table, and tables that are no code sets.
+# Fixed value: the row limit of a curated table.
 MAX_ROWS_PER_TABLE = 1000
-INFRASTRUCTURE_TABLES = ("ref_load_audit", "ddl_versions")
 
 
 @dataclass(frozen=True)
@@ -209,7 +208,7 @@ def type_vocabulary(docs: DataFrame) -> DataFrame:
     return as_issues(bad, "type_vocabulary", "contract", key_text("table", "name"), F.col("type"), wave=1)
 
 
-def missing_backing(live: DataFrame, docs: DataFrame, files: DataFrame) -> DataFrame:
+def missing_backing(live: DataFrame, docs: DataFrame, files: DataFrame, not_code_sets: tuple[str, ...] = ()) -> DataFrame:
     """Live and documented tables for which no file was delivered."""
     delivered = files.select("table")
 
@@ -217,7 +216,7 @@ def missing_backing(live: DataFrame, docs: DataFrame, files: DataFrame) -> DataF
         lost = df.select("table").distinct().join(delivered, "table", "left_anti")
         return as_issues(lost, "missing_backing", "contract", F.col("table"), F.lit(what), wave=1)
 
-    code_sets = live.where(~F.col("table").isin(*INFRASTRUCTURE_TABLES))
+    code_sets = live.where(~F.col("table").isin(*not_code_sets))
     return gone(code_sets, "live table without file").unionByName(gone(docs, "documented table without file"))
 
 

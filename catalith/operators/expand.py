@@ -184,12 +184,14 @@ def suppress_cascade(
         rule == "unknown_schema", F.concat(F.lit("reduced:"), schema_id)
     )
     marked = scoped.withColumns({"_one": first, "_two": second})
-    known = causes.distinct()
-    for col in ("_one", "_two"):
-        flags = known.select(F.col("_cause").alias(col), F.lit(True).alias(col + "_hit"))
-        marked = spread_join(marked, flags, [col], "left", spread_by=["system", SCHEMA, TABLE], grouped=True)
-    dropped = F.coalesce(F.col("_one_hit"), F.col("_two_hit"), F.lit(False))
-    return marked.where(~dropped).select(*SCOPED), marked.where(dropped).select(SOURCE).distinct()
+    # Semi and anti joins need no distinct causes and leave hot keys, NULL among them, to adaptive execution.
+    def met(df: DataFrame, col: str, how: str) -> DataFrame:
+        return spread_join(df, causes.withColumnRenamed("_cause", col), [col], how)
+
+    spared = met(marked, "_one", "left_anti")
+    kept = met(spared, "_two", "left_anti")
+    dropped = met(marked, "_one", "left_semi").select(SOURCE).union(met(spared, "_two", "left_semi").select(SOURCE))
+    return kept.select(*SCOPED), dropped.distinct()
 
 
 def scoped_issues(scoped: DataFrame, wave: int = 1) -> DataFrame:

@@ -447,7 +447,3 @@ def run_load(
     store.publish(load_id, changes, new_rows, history, audit)
     return LoadResult(no_issues(spark), changes, load_id)
 
-
-def all_counts(corpus: Corpus) -> DataFrame:
-    return X.relation_counts(corpus)
-

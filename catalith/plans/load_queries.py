@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalith.checkpoints import staging_folder
+from catalith.checkpoints import stage, staging_folder
 from catalith.operators import diff as X
 from catalith.operators import history as Y
 from catalith.plans import views as V
@@ -97,7 +97,9 @@ def idempotent_rerun(spark, d):
 def _publish(store: Store, new, load_id: int, stamp: str) -> None:
     spec = RELATIONS["tables"]
     ts = F.lit(stamp).cast("timestamp")
-    changes = {"tables": X.diff_relation(spec, new, store.state(spec))}
+    # Buckets, state, history and audit all read the changes: they are computed once.
+    diff = stage(X.diff_relation(spec, new, store.state(spec)), staging_folder(store.spark), "changes")
+    changes = {"tables": diff}
     store.publish(
         load_id,
         changes,

@@ -99,7 +99,7 @@ def classify_paths(files: DataFrame, rel: str = "rel") -> DataFrame:
     has_stem = s.isin("source_shard", "schema_shard", "mapping")
     legal = lambda c: paths.label_status(c) == "ok"
     problem = (
-        F.when(s.startswith("!"), F.substring(s, 2, 100))
+        F.when(s.startswith("!"), F.substring(s, F.lit(2), F.length(s)))
         .when((s != "registry") & ~legal(label), F.lit("illegal source label"))
         .when(in_schema & ~legal(second), F.lit("illegal schema label"))
         .when(in_schema & second.isin(paths.RESERVED_CONCEPT, *paths.SHARD_FOLDERS), F.lit("reserved schema name"))

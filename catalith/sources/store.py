@@ -116,7 +116,8 @@ class Store:
             target = self.path("state", name, f"load_id={load_id}")
             (
                 rows.withColumn("bucket", self.bucket_of(spec))
-                .repartition(F.col("bucket"))
+                # By range, so that a large bucket becomes several files and no task takes a whole one.
+                .repartitionByRange("bucket", *spec.key)
                 .sortWithinPartitions("bucket", *spec.key)
                 .write.mode("overwrite")
                 .partitionBy("bucket")
