@@ -6,7 +6,8 @@ scanned window by window; a hash hit is confirmed on the words themselves.
 
 Size of the broadcast: at most `max_windows` windows go out at once. A larger
 benchmark is cut by hash into as many parts as needed; the documents go through
-one scan after another, each adding its part's hits to the row.
+one scan after another, each adding its part's hits to the row. All scans read the
+uncut text, so the result does not depend on the number of parts.
 
 Null or wordless texts have no words and no hits. Repeated documents and repeated
 items are each judged alone. Items without words have no window. Columns other
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import sys
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ WIDTH = 10
 MAX_WINDOWS = 500_000
 # Entries of the table that a hash is first looked up in.
 SCREEN_BITS = 20
+# What earlier passes found in a row's text.
+EARLIER = {"_starts": "array<int>", "_ends": "array<int>", "_items": "array<string>"}
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -130,7 +133,7 @@ def find_hits(
                 for lo, hi, block in scanner.blocks(batch.column(5)):
                     runs, items = document_hits(block, known)
                     part_of = batch.slice(lo, hi - lo)
-                    _add_earlier(runs, items, part_of)
+                    _add_earlier(runs, items, part_of.select([2, 3, 4]))
                     yield pa.record_batch(
                         [part_of.column(0), pa.array(block.counts, pa.int64()),
                          pa.array([s for s, _ in runs], pa.list_(pa.int32())),
@@ -144,10 +147,10 @@ def find_hits(
 
 
 def _add_earlier(runs: list, items: list[list[str]], batch: pa.RecordBatch) -> None:
-    """Join the runs and items that an earlier pass found for the same rows."""
-    if batch.column(2).null_count == batch.num_rows:
+    """Join the runs and items (the columns of EARLIER) that earlier passes found for the same rows."""
+    if batch.column(0).null_count == batch.num_rows:
         return
-    starts, ends, names = (batch.column(c).to_pylist() for c in (2, 3, 4))
+    starts, ends, names = (c.to_pylist() for c in batch.columns)
     for i, s in enumerate(starts):
         if s:
             s, e = np.array(s + runs[i][0]), np.array(ends[i] + runs[i][1])
@@ -235,26 +238,50 @@ def cut_hits(
     which no word is left is removed. `length` names a column that holds the
     text's length in code points; it is set anew where a text changed.
     """
-    result = docs
-    for part in _window_parts(benchmark, item, item_text, width, max_windows):
-        shared = docs.sparkSession.sparkContext.broadcast(part)
-        at = result.columns.index(text)
-        size_at = result.columns.index(length) if length else None
+    at, n = docs.columns.index(text), len(docs.columns)
+    size_at = docs.columns.index(length) if length else None
+    parts = list(_window_parts(benchmark, item, item_text, width, max_windows))
+    rows = docs.select("*", *[F.lit(None).cast(t).alias(c) for c, t in EARLIER.items()])
+    # Every part looks at the whole text: runs are gathered first, and only the last scan cuts.
+    for part in parts[:-1]:
+        rows = rows.mapInArrow(_adds_hits(docs.sparkSession.sparkContext.broadcast(part), at, n), rows.schema)
+    last = docs.sparkSession.sparkContext.broadcast(parts[-1])
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            scanner, known = wordscan.Scanner("not_alnum", lower=True), shared.value
-            for batch in batches:
-                changed: dict[int, str | None] = {}
-                for lo, _, block in scanner.blocks(batch.column(at)):
-                    for i, (s, e) in enumerate(document_hits(block, known)[0]):
-                        if s:
-                            changed[lo + i] = _without(block, i, s, e)
-                if changed:
-                    batch = _replaced(batch, at, size_at, changed)
-                yield batch
-
-        result = result.mapInArrow(scan, docs.schema)
-    return result
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner, known = wordscan.Scanner("not_alnum", lower=True), last.value
+        for batch in batches:
+            changed: dict[int, str | None] = {}
+            for lo, hi, block in scanner.blocks(batch.column(at)):
+                runs, items = document_hits(block, known)
+                _add_earlier(runs, items, batch.slice(lo, hi - lo).select([n, n + 1, n + 2]))
+                for i, (s, e) in enumerate(runs):
+                    if s:
+                        changed[lo + i] = _without(block, i, s, e)
+            batch = batch.select(list(range(n)))
+            yield _replaced(batch, at, size_at, changed) if changed else batch
+
+    return rows.mapInArrow(scan, docs.schema)
+
+
+def _adds_hits(shared, at: int, first: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A scan that adds a part's hits on column `at` to the columns of EARLIER, which begin at `first`."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner, known = wordscan.Scanner("not_alnum", lower=True), shared.value
+        for batch in batches:
+            for lo, hi, block in scanner.blocks(batch.column(at)):
+                runs, items = document_hits(block, known)
+                part_of = batch.slice(lo, hi - lo)
+                _add_earlier(runs, items, part_of.select([first, first + 1, first + 2]))
+                columns = part_of.columns
+                columns[first:] = [
+                    pa.array([s for s, _ in runs], pa.list_(pa.int32())),
+                    pa.array([e for _, e in runs], pa.list_(pa.int32())),
+                    pa.array(items, pa.list_(pa.string())),
+                ]
+                yield pa.record_batch(columns, part_of.schema.names)
+
+    return scan
 
 
 def _without(block: wordscan.Block, i: int, starts: list[int], ends: list[int]) -> str | None:

@@ -143,6 +143,28 @@ def test_cutting_hits(spark):
     assert [tuple(r) for r in out] == [(1, "Keep é: ! rest", 14), (3, None, None), (4, "clean", 5)]
 
 
+def cut_rows(docs, bench, **options):
+    out = decontaminate.cut_hits(docs, bench, length="n_chars", **options).collect()
+    return sorted(((r.doc_id, r.text, r.n_chars) for r in out), key=str)
+
+
+def test_cutting_in_several_passes_cuts_what_one_pass_cuts(spark, documents):
+    random.seed(6)
+    passages = [" ".join(f"p{k}w{i}" for i in range(random.randint(10, 60))) for k in range(12)]
+    bench = spark.createDataFrame(list(enumerate(passages)), "item_id bigint, text string")
+    rows = [(k, t, len(t)) for k, t in enumerate(passages)]
+    rows += [(100 + k, t, len(t)) for k, t in enumerate(f"Before é {t}! after" for t in passages)]
+    rows += [(200, None, None), (201, "clean", 9)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", n_chars bigint").repartition(2)
+    want = [(100 + k, "Before é ! after", 16) for k in range(12)] + [(200, None, None), (201, "clean", 9)]
+    for most in (1_000, 200, 40):
+        assert cut_rows(docs, bench, max_windows=most) == want
+    few = spark.createDataFrame([(0, passages[0][:60])], "item_id bigint, text string")
+    assert cut_rows(docs, few, max_windows=1) == cut_rows(docs, few)
+    bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    assert cut_rows(documents, bench, max_windows=200) == cut_rows(documents, bench)
+
+
 def removed(df):
     return {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect() if r.doc_id is not None}
 
