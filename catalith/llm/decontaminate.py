@@ -10,8 +10,10 @@ one scan after another, each adding its part's hits to the row. All scans read t
 uncut text, so the result does not depend on the number of parts.
 
 Null or wordless texts have no words and no hits. Repeated documents and repeated
-items are each judged alone. Items without words have no window. Columns other
-than the id and the text are neither read nor changed by the search.
+items are each judged alone. Items without words have no window. The passages of
+an item with a null id are found and cut like all others; only `items` has no name
+for it. Columns other than the id and the text are neither read nor changed by the
+search.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ EARLIER = {"_starts": "array<int>", "_ends": "array<int>", "_items": "array<stri
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(item string, n_words, hash, words): the distinct windows of each item."""
+    """(item string, n_words, hash, words): the distinct windows of each item; a null id stays null."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = wordscan.Scanner("not_alnum", lower=True)
@@ -61,14 +63,14 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
                 )
 
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    return rows.where(F.col("item").isNotNull()).mapInArrow(scan, "item string, n_words int, hash bigint, words binary")
+    return rows.mapInArrow(scan, "item string, n_words int, hash bigint, words binary")
 
 
 class WindowSet:
     """Windows by length: a screening table, their hashes, and the words and items behind each hash."""
 
-    def __init__(self, rows: list[tuple[str, int, int, bytes]]):
-        found: dict[int, dict[int, dict[bytes, list[str]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
+    def __init__(self, rows: list[tuple[str | None, int, int, bytes]]):
+        found: dict[int, dict[int, dict[bytes, list[str | None]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
         for item, n, h, words in rows:
             found[n][h % (1 << 64)][bytes(words)].append(item)
         self.by_width = {n: {h: dict(w) for h, w in hs.items()} for n, hs in found.items()}
@@ -78,7 +80,7 @@ class WindowSet:
             screen[np.array(list(hs), np.uint64) >> np.uint64(64 - SCREEN_BITS)] = True
             self.screens[n] = screen
 
-    def hits(self, block: wordscan.Block) -> Iterator[tuple[int, int, list[str]]]:
+    def hits(self, block: wordscan.Block) -> Iterator[tuple[int, int, list[str | None]]]:
         """(first word, number of words, items) of each window of the set in the block."""
         words = block.word_hashes()
         for n, known in self.by_width.items():
@@ -169,7 +171,7 @@ def document_hits(block: wordscan.Block, known: WindowSet) -> tuple[list[tuple[l
         owner = np.searchsorted(block.first, at, side="right") - 1
         found = defaultdict(set)
         for d, (_, _, names) in zip(owner.tolist(), hits, strict=True):
-            found[d].update(names)
+            found[d].update(n for n in names if n is not None)
         for d, names in found.items():
             a, b = block.first[d], block.first[d + 1]
             s, e = wordscan.stretches(marked[a:b])

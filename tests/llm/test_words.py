@@ -165,6 +165,16 @@ def test_cutting_in_several_passes_cuts_what_one_pass_cuts(spark, documents):
     assert cut_rows(documents, bench, max_windows=200) == cut_rows(documents, bench)
 
 
+def test_passages_of_items_without_id(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    bench = spark.createDataFrame([(None, words), (None, "lone"), (7, f"{words} w12")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"a {words} b", 0), (2, "Lone!", 5), (3, "clean", 5)], SCHEMA + ", n_chars bigint")
+    for most in (decontaminate.MAX_WINDOWS, 1):
+        found = decontaminate.find_hits(docs, bench, max_windows=most).orderBy("doc_id").collect()
+        assert [(r.n_words, r.starts, r.ends, r.items) for r in found] == [(14, [1], [13], ["7"]), (1, [0], [1], []), (1, [], [], [])]
+        assert cut_rows(docs, bench, max_windows=most) == [(1, "a  b", 4), (3, "clean", 5)]
+
+
 def removed(df):
     return {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect() if r.doc_id is not None}
 
