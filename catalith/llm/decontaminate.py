@@ -4,10 +4,13 @@ The windows of the benchmark (`width` consecutive normalised words; an item of
 fewer words is one window) become a hash set that every task holds. Documents are
 scanned window by window; a hash hit is confirmed on the words themselves.
 
-Size of the broadcast: at most `max_windows` windows go out at once. A larger
-benchmark is cut by hash into as many parts as needed; the documents go through
-one scan after another, each adding its part's hits to the row. All scans read the
-uncut text, so the result does not depend on the number of parts.
+Size of the broadcast: at most `max_windows` windows (or about that) go out at once. A
+larger benchmark is cut by hash into as many parts as needed; one scan of the documents
+after another finds a part's hits and writes them to a table, and the last scan joins
+them to its own. All scans read the uncut text, so the result does not depend on the
+number of parts, and neither driver nor task holds more than one part. `docs` is read
+once per part, and once more for the last if there are several: its texts must not
+change in between.
 
 Null or wordless texts have no words and no hits. Repeated documents and repeated
 items are each judged alone. Items without words have no window. The passages of
@@ -20,15 +23,16 @@ from __future__ import annotations
 
 import sys
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalith.llm import wordscan
+from catalith.checkpoints import stage, staging_folder
+from catalith.llm import sieve, wordscan
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,7 +41,7 @@ MAX_WINDOWS = 500_000
 # Entries of the table that a hash is first looked up in.
 SCREEN_BITS = 20
 # What earlier passes found in a row's text.
-EARLIER = {"_starts": "array<int>", "_ends": "array<int>", "_items": "array<string>"}
+EARLIER = {"_hit_starts": "array<int>", "_hit_ends": "array<int>", "_hit_items": "array<string>"}
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -97,12 +101,76 @@ class WindowSet:
                         yield k, n, items
 
 
-def _window_parts(benchmark: DataFrame, item: str, text: str, width: int, max_windows: int) -> Iterator[WindowSet]:
-    windows = benchmark_windows(benchmark, item, text, width)
+def _found(docs: DataFrame, text: str, shared: Broadcast) -> DataFrame:
+    """(_hit_key, runs, items) of the texts with a hit in one part; the key is the text's digest."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner, known = wordscan.Scanner("not_alnum", lower=True), shared.value
+        for batch in batches:
+            for lo, _, block in scanner.blocks(batch.column(1)):
+                runs, items = document_hits(block, known)
+                hit = [i for i, (s, _) in enumerate(runs) if s]
+                yield pa.record_batch(
+                    [batch.column(0).take(pa.array([lo + i for i in hit], pa.int64())),
+                     pa.array([runs[i][0] for i in hit], pa.list_(pa.int32())),
+                     pa.array([runs[i][1] for i in hit], pa.list_(pa.int32())),
+                     pa.array([items[i] for i in hit], pa.list_(pa.string()))],
+                    ["_hit_key", *EARLIER],
+                )
+
+    rows = docs.select(F.md5(F.col(text)).alias("_hit_key"), F.col(text).alias("_text")).where("_text is not null")
+    return rows.mapInArrow(scan, ", ".join(["_hit_key string", *(f"{c} {t}" for c, t in EARLIER.items())]))
+
+
+def _with_found(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
+    """The documents with the columns of EARLIER; only texts that a bit table suspects are shuffled to meet `found`."""
+    known = docs.sparkSession.sparkContext.broadcast(sieve.build(found.select(F.xxhash64("_hit_key").alias("k")), "k"))
+    keyed = docs.withColumn("_hit_key", F.md5(F.col(text))).withColumn("_hit_mark", F.xxhash64("_hit_key"))
+
+    def part(suspected: bool) -> DataFrame:
+        def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sifted = known.value
+            for batch in batches:
+                yield batch.filter(pa.array(sifted.passes(batch.column(batch.num_columns - 1).to_numpy()) == suspected))
+
+        return keyed.mapInArrow(sift, keyed.schema)
+
+    columns = [*[f"`{c}`" for c in docs.columns], *EARLIER]
+    return _with_nothing(part(False)).select(*columns).unionByName(part(True).join(found, "_hit_key", "left").select(*columns))
+
+
+def _with_nothing(docs: DataFrame) -> DataFrame:
+    return docs.select("*", *[F.lit(None).cast(t).alias(c) for c, t in EARLIER.items()])
+
+
+def _searched(
+    docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, width: int, max_windows: int
+) -> tuple[DataFrame, Broadcast]:
+    """The documents with what all parts but the last found (EARLIER), and the last part.
+
+    One part at a time is on the driver and in the tasks: what it finds is a table before
+    the next one goes out.
+    """
+    spark = docs.sparkSession
+    folder = staging_folder(spark)
+    windows = stage(benchmark_windows(benchmark, item, item_text, width), folder, "windows")
     parts = max(1, -(-windows.count() // max_windows))
+    # Items that share a window are dealt out too, so that a part has max_windows rows or about that.
+    dealt = windows.withColumn("part", F.pmod(F.xxhash64("hash", "item"), F.lit(parts)))
+    found, shared = None, None
     for p in range(parts):
-        rows = windows.where(F.pmod(F.col("hash"), F.lit(parts)) == p).collect()  # max_windows rows or about that
-        yield WindowSet([tuple(r) for r in rows])
+        if shared:
+            found = stage(_found(docs, text, shared).withColumn("part", F.lit(p)), folder, "found", append=True)
+            shared.destroy()
+            shared = None
+        rows = dealt.where(F.col("part") == p).drop("part").collect()
+        shared = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in rows]))
+    if found is None:
+        return _with_nothing(docs), shared
+    # Equal texts have equal hits: one row of each part.
+    texts = found.dropDuplicates(["_hit_key", "part"]).groupBy("_hit_key").agg(F.collect_list(F.struct(*EARLIER)).alias("hits"))
+    texts = texts.select("_hit_key", *[F.flatten(f"hits.{c}").alias(c) for c in EARLIER])
+    return _with_found(docs, text, stage(texts, folder, "hits")), shared
 
 
 def find_hits(
@@ -118,34 +186,25 @@ def find_hits(
     """One row per document: its id, n_words, hit runs `starts`/`ends` (word numbers), sorted `items`."""
     kind = docs.schema[doc].dataType.simpleString()
     found = f"`{doc}` {kind}, n_words bigint, starts array<int>, ends array<int>, items array<string>"
-    rows = docs.select(
-        F.col(doc),
-        F.lit(None).cast("bigint").alias("n_words"),
-        F.lit(None).cast("array<int>").alias("starts"),
-        F.lit(None).cast("array<int>").alias("ends"),
-        F.lit(None).cast("array<string>").alias("items"),
-        F.col(text).alias("_text"),
-    )
-    for part in _window_parts(benchmark, item, item_text, width, max_windows):
-        shared = docs.sparkSession.sparkContext.broadcast(part)
+    texts = docs.select(F.col(doc), F.col(text).alias("_text"))
+    rows, shared = _searched(texts, benchmark, "_text", item, item_text, width, max_windows)
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            scanner, known = wordscan.Scanner("not_alnum", lower=True), shared.value
-            for batch in batches:
-                for lo, hi, block in scanner.blocks(batch.column(5)):
-                    runs, items = document_hits(block, known)
-                    part_of = batch.slice(lo, hi - lo)
-                    _add_earlier(runs, items, part_of.select([2, 3, 4]))
-                    yield pa.record_batch(
-                        [part_of.column(0), pa.array(block.counts, pa.int64()),
-                         pa.array([s for s, _ in runs], pa.list_(pa.int32())),
-                         pa.array([e for _, e in runs], pa.list_(pa.int32())),
-                         pa.array(items, pa.list_(pa.string())), part_of.column(5)],
-                        [doc, "n_words", "starts", "ends", "items", "_text"],
-                    )
-
-        rows = rows.mapInArrow(scan, found + ", _text string")
-    return rows.drop("_text")
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner, known = wordscan.Scanner("not_alnum", lower=True), shared.value
+        for batch in batches:
+            for lo, hi, block in scanner.blocks(batch.column(1)):
+                runs, items = document_hits(block, known)
+                part_of = batch.slice(lo, hi - lo)
+                _add_earlier(runs, items, part_of.select([2, 3, 4]))
+                yield pa.record_batch(
+                    [part_of.column(0), pa.array(block.counts, pa.int64()),
+                     pa.array([s for s, _ in runs], pa.list_(pa.int32())),
+                     pa.array([e for _, e in runs], pa.list_(pa.int32())),
+                     pa.array(items, pa.list_(pa.string()))],
+                    [doc, "n_words", "starts", "ends", "items"],
+                )
+
+    return rows.mapInArrow(scan, found)
 
 
 def _add_earlier(runs: list, items: list[list[str]], batch: pa.RecordBatch) -> None:
@@ -242,12 +301,8 @@ def cut_hits(
     """
     at, n = docs.columns.index(text), len(docs.columns)
     size_at = docs.columns.index(length) if length else None
-    parts = list(_window_parts(benchmark, item, item_text, width, max_windows))
-    rows = docs.select("*", *[F.lit(None).cast(t).alias(c) for c, t in EARLIER.items()])
     # Every part looks at the whole text: runs are gathered first, and only the last scan cuts.
-    for part in parts[:-1]:
-        rows = rows.mapInArrow(_adds_hits(docs.sparkSession.sparkContext.broadcast(part), at, n), rows.schema)
-    last = docs.sparkSession.sparkContext.broadcast(parts[-1])
+    rows, last = _searched(docs, benchmark, text, item, item_text, width, max_windows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner, known = wordscan.Scanner("not_alnum", lower=True), last.value
@@ -265,27 +320,6 @@ def cut_hits(
     return rows.mapInArrow(scan, docs.schema)
 
 
-def _adds_hits(shared, at: int, first: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A scan that adds a part's hits on column `at` to the columns of EARLIER, which begin at `first`."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, known = wordscan.Scanner("not_alnum", lower=True), shared.value
-        for batch in batches:
-            for lo, hi, block in scanner.blocks(batch.column(at)):
-                runs, items = document_hits(block, known)
-                part_of = batch.slice(lo, hi - lo)
-                _add_earlier(runs, items, part_of.select([first, first + 1, first + 2]))
-                columns = part_of.columns
-                columns[first:] = [
-                    pa.array([s for s, _ in runs], pa.list_(pa.int32())),
-                    pa.array([e for _, e in runs], pa.list_(pa.int32())),
-                    pa.array(items, pa.list_(pa.string())),
-                ]
-                yield pa.record_batch(columns, part_of.schema.names)
-
-    return scan
-
-
 def _without(block: wordscan.Block, i: int, starts: list[int], ends: list[int]) -> str | None:
     first, a, b = int(block.first[i]), int(block.offsets[i]), int(block.offsets[i + 1])
     if sum(e - s for s, e in zip(starts, ends, strict=True)) == block.first[i + 1] - first:

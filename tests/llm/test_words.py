@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from catalith.llm import decontaminate, near_dedup, quality_rules, queries, secret_scans, sieve, substring_dedup, wordscan
@@ -175,6 +176,24 @@ def test_passages_of_items_without_id(spark):
         assert cut_rows(docs, bench, max_windows=most) == [(1, "a  b", 4), (3, "clean", 5)]
 
 
+def test_parts_of_the_benchmark_are_held_one_at_a_time(spark, monkeypatch):
+    words = [f"w{i}" for i in range(30)]
+    bench = spark.createDataFrame([(i, " ".join(words)) for i in range(9)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, " ".join(words)), (1, " ".join(words)), (2, None)], SCHEMA)
+    shared, gone, sizes = [], [], []
+    make, drop, built = spark.sparkContext.broadcast, Broadcast.destroy, decontaminate.WindowSet.__init__
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda v: shared.append(make(v)) or shared[-1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda b, *a: gone.append(b) or drop(b, *a))
+    monkeypatch.setattr(decontaminate.WindowSet, "__init__", lambda s, rows: sizes.append(len(rows)) or built(s, rows))
+    found = decontaminate.find_hits(docs, bench, max_windows=64)
+    # 9 items of the same 21 windows in 3 parts: the items of one window are dealt out as well.
+    assert len(sizes) == 3 and sum(sizes) == 189 and max(sizes) < 90
+    held = [b for b in shared if b not in gone and isinstance(b.value, decontaminate.WindowSet)]
+    assert len(held) == 1 and len(gone) == 2
+    got = sorted((r.doc_id, r.n_words, r.starts, r.ends, r.items) for r in found.collect())
+    assert got == [(1, 30, [0], [30], [str(i) for i in range(9)])] * 2 + [(2, 0, [], [], [])]
+
+
 def removed(df):
     return {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect() if r.doc_id is not None}
 
