@@ -5,7 +5,7 @@ made of is a candidate if it is long enough and mixes digits and letters: per ch
 class (hex, base64) a window slides over it, and the Shannon entropy of the window's
 characters is kept up by counts as one character enters and one leaves. A candidate whose
 best window reaches the class's threshold is a secret, unless the allow list knows it
-(identifiers, digests in addresses, placeholders) or a pattern span covers it already.
+(identifiers, digests in addresses, placeholders) or pattern spans cover all of it already.
 
 All work is done by Spark expressions on the row's own text; nothing is shuffled. A text
 without a candidate costs one search per pattern.
@@ -179,13 +179,17 @@ def _allowed(candidate: Column) -> Column:
 
 
 def _entropy_spans(text: Column, base: Column) -> Column:
-    """Candidates of high entropy that are neither on the allow list nor in a base span."""
+    """Candidates of high entropy that are neither on the allow list nor covered by the (sorted) base spans."""
     matches = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
 
     def judged(m: Column) -> Column:
         is_hex = m["text"].rlike(HEX_ONLY)
         bits = best_window_bits(F.when(is_hex, F.lower(m["text"])).otherwise(m["text"]))
-        free = ~F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
+        # Base spans come by their starts: how far the candidate is covered without a gap.
+        covered = F.aggregate(
+            base, m["start"], lambda upto, b: F.when(b["start"] <= upto, F.greatest(upto, b["end"])).otherwise(upto)
+        )
+        free = covered < m["end"]
         spans = [_span(F.lit(k), F.lit(KINDS.index(k)), m) for k in LEAST_BITS]
         hex_bits, base64_bits = LEAST_BITS.values()
         found = let(
