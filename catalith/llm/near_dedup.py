@@ -16,8 +16,8 @@ tasks; only links come out.
 
 A document of fewer than `WIDTH` words is one shingle; null, empty and wordless texts
 have no set and stay alone. Repeated ids count as one document if their texts agree;
-else each text's links apply to the id. A null id is a component of its own. Other
-columns are not read.
+else each text's links apply to the id. A null id has no links: its row is kept unless
+a document with an id has the same set. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ def super_minhash(items: np.ndarray, size: int = SIGNATURE) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, n_shingles, set_id, bands, sketch): sketch holds a byte of each rank, for estimates."""
+    """(doc, text_key, n_shingles, set_id, bands, sketch): sketch holds a byte of each rank, for estimates."""
     kind = docs.schema[doc].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,13 +121,14 @@ def _signatures(docs: DataFrame, doc: str, text: str) -> DataFrame:
                     bands.append(key.view(np.int64))
                     sketches.append((ranks >> np.uint64(56)).astype(np.uint8).tobytes())
                 yield pa.record_batch(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                     pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                    ["doc", "n_shingles", "set_id", "bands", "sketch"],
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
+                     pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                    ["doc", "text_key", "n_shingles", "set_id", "bands", "sketch"],
                 )
 
-    rows = docs.select(F.col(doc), F.col(text).alias("_text"))
-    return rows.mapInArrow(scan, f"doc {kind}, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary")
+    rows = docs.select(F.col(doc), F.col(text).alias("_text"), F.xxhash64(text).alias("_text_key"))
+    schema = f"doc {kind}, text_key bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"
+    return rows.mapInArrow(scan, schema)
 
 
 def alike(x: np.ndarray, y: np.ndarray) -> bool:
@@ -155,7 +156,7 @@ def _texts_of(docs: DataFrame, ids: DataFrame, doc: str, text: str) -> DataFrame
 def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are alike. Texts are shuffled for the documents of pairs only.
 
-    All partners b of one a are compared in a stream, a's set held in memory; an a with
+    All partners b of one a are compared in a stream, a's sets held in memory; an a with
     many partners is copied for every `MEMBERS_PER_TASK` of them.
     """
     spark, kind = docs.sparkSession, docs.schema[doc].dataType.simpleString()
@@ -167,7 +168,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFr
     )
     wanted = stage(wanted, staging_folder(spark), "wanted")
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, head, head_set = wordscan.Scanner(lower=True), None, None
+        scanner, head, head_sets = wordscan.Scanner(lower=True), None, {}
         for batch in batches:
             found = []
             for lo, hi, block in scanner.blocks(batch.column(3)):
@@ -175,10 +176,12 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFr
                 keys = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)
                 for (a, p, d), items in zip(keys, shingle_sets(block), strict=True):
                     if d == a:
-                        head, head_set = (a, p), items
-                    elif head == (a, p):
-                        if alike(head_set, items):
-                            found.append((a, d))
+                        if head != (a, p):
+                            head, head_sets = (a, p), {}
+                        # A repeated id has several texts; equal ones are held once.
+                        head_sets[hashlib.blake2b(items.tobytes(), digest_size=16).digest()] = items
+                    elif head == (a, p) and any(alike(x, items) for x in head_sets.values()):
+                        found.append((a, d))
             kinds = batch.schema.field(0).type
             yield pa.record_batch([pa.array([f[0] for f in found], kinds), pa.array([f[1] for f in found], kinds)], ["a", "b"])
 
@@ -309,6 +312,11 @@ def _compared(docs: DataFrame, rows: DataFrame, doc: str, text: str) -> DataFram
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable), kept."""
+    return judged(docs, doc, text).drop("text_key")
+
+
+def judged(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of near_duplicates, with `text_key`, the hash of the text that each row judges."""
     spark = docs.sparkSession
     folder = staging_folder(spark)
     signed = stage(_signatures(docs, doc, text), folder, "signatures")
@@ -340,16 +348,26 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     found = signed.join(homes, "set_id", "left")
     component = F.coalesce("component", "doc")
     return found.select(
-        F.col("doc").alias(doc), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc")).alias("kept")
+        F.col("doc").alias(doc),
+        "n_shingles",
+        component.alias("component_id"),
+        component.eqNullSafe(F.col("doc")).alias("kept"),
+        "text_key",
     )
 
 
-def without(docs: DataFrame, gone: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """The documents whose id is not in `gone`; only those that a bit table suspects are looked up there."""
+def without(docs: DataFrame, rows: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that `rows` (of `judged`) keeps, and one of those with equal id and text.
+
+    Decided by (id, text), null ids included; only rows that a bit table suspects are looked up and shuffled.
+    """
     spark = docs.sparkSession
-    gone = stage(gone.select(doc), staging_folder(spark), "gone")
-    known = spark.sparkContext.broadcast(sieve.build(gone.select(F.xxhash64(doc).alias("k")), "k"))
-    keyed = docs.withColumn("_key", F.xxhash64(doc))
+    per = rows.groupBy(F.col(doc).alias("_doc"), F.col("text_key").alias("_text_key")).agg(
+        F.bool_and("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")
+    )
+    touched = stage(per.where("not _kept or _n > 1"), staging_folder(spark), "touched")
+    known = spark.sparkContext.broadcast(sieve.build(touched.select(F.xxhash64("_doc", "_text_key").alias("k")), "k"))
+    keyed = docs.withColumn("_key", F.xxhash64(doc, F.xxhash64(text)))
 
     def part(suspected: bool) -> DataFrame:
         def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,4 +377,7 @@ def without(docs: DataFrame, gone: DataFrame, doc: str = "doc_id") -> DataFrame:
 
         return keyed.mapInArrow(sift, keyed.schema).drop("_key")
 
-    return part(False).unionByName(part(True).join(gone, doc, "left_anti"))
+    gone = touched.where("not _kept").select("_doc", "_text_key")
+    same = F.col(doc).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_text_key"))
+    left = part(True).join(gone, same, "left_anti")
+    return part(False).unionByName(left.dropDuplicates([doc, text]))

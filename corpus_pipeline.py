@@ -27,10 +27,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id."""
-    groups = near_dedup.near_duplicates(docs).where("not kept").select("doc_id")
+    """One document of each group stays, the one with the smallest id; equal rows of one id and text stay once."""
     # Texts are not shuffled again: who goes is a bit table first, and an exact list where it says so.
-    return near_dedup.without(docs, groups).select(*COLUMNS)
+    return near_dedup.without(docs, near_dedup.judged(docs)).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

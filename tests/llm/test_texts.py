@@ -190,6 +190,15 @@ def test_pipeline(spark):
     assert {(r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, SF_DIR).collect()} == {(r.doc_id, r.ids_sha256) for r in seen[5].collect()}
 
 
+def test_near_duplicates_stage_decides_by_row(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(30)) for k in "abcd")
+    rows = [(3, a), (5, a), (5, b), (5, b), (None, a), (None, c), (None, c), (8, d), (8, d), (9, "x"), (10, None)]
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in rows], SCHEMA + ", lang string, source string, n_chars bigint")
+    left = corpus_pipeline.near_duplicates(spark, docs.repartition(3), SF_DIR).collect()
+    want = [(3, a), (5, b), (None, c), (8, d), (9, "x"), (10, None)]
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(want, key=str)
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     rows = [(d, t, None, None, None) for d, t in ODD]
     schema = SCHEMA + ", lang string, source string, n_chars bigint"

@@ -253,6 +253,18 @@ def test_near_duplicates(spark, documents, odd, empty):
     assert grouped(odd) == brute.near(distinct_ids(ODD)) and grouped(empty) == {}
 
 
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    texts = {k: [f"{k}{i}" for i in range(100)] for k in "abc"}
+    near = {k: " ".join([*w[:-1], "end"]) for k, w in texts.items()}
+    rows = [(1, " ".join(w)) for w in texts.values()] + [(10 + i, t) for i, t in enumerate(near.values())]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (10, 1), (11, 1), (12, 1)}
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    pairs = spark.createDataFrame([(1, 10), (1, 11), (1, 12)], "a bigint, b bigint")
+    found = near_dedup._confirmed(docs, pairs, "doc_id", "text").collect()
+    assert {(r.a, r.b) for r in found} == {(1, 10), (1, 11), (1, 12)}
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(1)
     for n in (1, 3, 40, 5000):
