@@ -25,10 +25,10 @@ import hashlib
 import heapq
 import sys
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +36,11 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LONG_WORD = 64  # also the factor of places in CONTRACT
-# Distinct words a task remembers, and characters of text handled at once.
-REMEMBERED, BLOCK_CHARS = 500_000, 1 << 22
+# Bytes that the words a task remembers may take, bytes of words that one query contracts,
+# and bytes of text handled at once.
+REMEMBERED_BYTES, QUERY_BYTES, BLOCK_BYTES = 32 << 20, 1 << 19, 1 << 20
+# What a remembered word takes besides its own bytes and ids.
+ENTRY_BYTES = 200
 
 # A place is the word's number times 64 plus the position of the token's first byte in it.
 # `best` packs a pair's rank, its position and that of its second token, in this order, so
@@ -129,50 +132,61 @@ class Encoder:
 
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.db = duckdb.connect()
-        self.db.execute("set threads = 1; set memory_limit = '400MB'")
+        self.db.execute("set threads = 1; set memory_limit = '200MB'")
         merges = merge_table(ranks)  # noqa: F841  DuckDB finds it by name
         self.db.execute("create table merges as select (head::bigint << 32) | tail as pair, rank from merges")
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
         vocabulary = pa.table({"token": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks.keys(), pa.binary())})  # noqa: F841
         self.db.execute("create table vocabulary as select * from vocabulary")
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.known: dict[str, list[int]] = {}
+        # Ids of the words so far, as little-endian 32-bit numbers.
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def _keep(self, word: str, ids: list[int] | np.ndarray) -> None:
+        packed = self.known[word] = np.asarray(ids, "<u4").tobytes()
+        self.held += len(word) + len(packed) + ENTRY_BYTES
 
     def learn(self, words: set[str]) -> None:
-        short: list[tuple[str, bytes]] = []
+        short, size = [], 0
         for w in words:
             raw = w.encode()
             whole = self.ranks.get(raw)
             if whole is not None:
-                self.known[w] = [whole]
+                self._keep(w, [whole])
             elif len(raw) > LONG_WORD:
-                self.known[w] = heap_contract(raw, self.ranks)
+                self._keep(w, heap_contract(raw, self.ranks))
             else:
                 short.append((w, raw))
+                size += len(raw)
+                if size > QUERY_BYTES:
+                    self._contract(short)
+                    short, size = [], 0
         if short:
-            sizes = np.array([len(raw) for _, raw in short])
-            position = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            place = np.repeat(np.arange(len(short)) * LONG_WORD, sizes) + position
-            token = self.single[np.frombuffer(b"".join(raw for _, raw in short), np.uint8)]
-            start = pa.table({"place": place, "token": token})  # noqa: F841
-            found = self.db.sql(CONTRACT).to_arrow_table()
-            tokens = found["tokens"].combine_chunks()
-            flat, edges = tokens.values.to_numpy().tolist(), tokens.offsets.to_numpy().tolist()
-            for w, a, b in zip(found["word"].to_pylist(), edges[:-1], edges[1:], strict=True):
-                self.known[short[w][0]] = flat[a:b]
+            self._contract(short)
+
+    def _contract(self, short: list[tuple[str, bytes]]) -> None:
+        sizes = np.array([len(raw) for _, raw in short])
+        position = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        place = np.repeat(np.arange(len(short)) * LONG_WORD, sizes) + position
+        token = self.single[np.frombuffer(b"".join(raw for _, raw in short), np.uint8)]
+        start = pa.table({"place": place, "token": token})  # noqa: F841
+        found = self.db.sql(CONTRACT).to_arrow_table()
+        tokens = found["tokens"].combine_chunks()
+        flat, edges = tokens.values.to_numpy(), tokens.offsets.to_numpy().tolist()
+        for w, a, b in zip(found["word"].to_pylist(), edges[:-1], edges[1:], strict=True):
+            self._keep(short[w][0], flat[a:b])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text."""
-        if len(self.known) > REMEMBERED:
+        if self.held > REMEMBERED_BYTES:
             self.known.clear()
+            self.held = 0
         cut = [self.find(t) for t in texts]
         new = set().union(*cut).difference(self.known)
         if new:
             self.learn(new)
         get = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, words)), np.uint32) for words in cut]
+        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in cut]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """SHA-256 of the bytes that each list of ids stands for, in lowercase hex."""
@@ -199,13 +213,14 @@ class Encoder:
         return out
 
 
-def _parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Stretches of rows of about BLOCK_BYTES; a longer text is one of its own."""
     lo, size = 0, 0
-    for hi, t in enumerate(texts):
-        if size and size + len(t or "") > BLOCK_CHARS:
+    for hi, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if size and size + n > BLOCK_BYTES:
             yield lo, hi
             lo, size = hi, 0
-        size += len(t or "")
+        size += n
     if lo < len(texts):
         yield lo, len(texts)
 
@@ -219,12 +234,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc: str = "d
         encoder = None
         for batch in batches:
             encoder = encoder or Encoder(shared.value, pattern)
-            texts = batch.column(1).to_pylist()
-            for lo, hi in _parts(texts):
-                ids = encoder.encode([t or "" for t in texts[lo:hi]])
+            for lo, hi in _parts(batch.column(1)):
+                ids = encoder.encode([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()])
                 columns = [
                     batch.column(0).slice(lo, hi - lo), pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
                     pa.array(encoder.decode(ids), pa.string()),
                 ]
                 if with_ids:

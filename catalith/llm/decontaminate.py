@@ -16,7 +16,7 @@ Null or wordless texts have no words and no hits. Repeated documents and repeate
 items are each judged alone. Items without words have no window. The passages of
 an item with a null id are found and cut like all others; only `items` has no name
 for it. Columns other than the id and the text are neither read nor changed by the
-search.
+search, whatever their names. An empty table gives no rows; an empty benchmark no hits.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from catalith.checkpoints import stage, staging_folder
 from catalith.llm import sieve, wordscan
+from catalith.llm.names import unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -40,8 +41,9 @@ WIDTH = 10
 MAX_WINDOWS = 500_000
 # Entries of the table that a hash is first looked up in.
 SCREEN_BITS = 20
-# What earlier passes found in a row's text.
-EARLIER = {"_hit_starts": "array<int>", "_hit_ends": "array<int>", "_hit_items": "array<string>"}
+# What earlier passes found in a row's text; `_hits` beside other columns.
+EARLIER = {"starts": "array<int>", "ends": "array<int>", "items": "array<string>"}
+HITS = "struct<" + ",".join(f"{c}:{t}" for c, t in EARLIER.items()) + ">"
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -70,19 +72,24 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
     return rows.mapInArrow(scan, "item string, n_words int, hash bigint, words binary")
 
 
+def window_table(rows: list[tuple[str | None, int, int, bytes]]) -> tuple[dict, dict]:
+    """Windows by length, as plain data for a broadcast: the words and items behind each hash, and a screening table."""
+    found: dict[int, dict[int, dict[bytes, list[str | None]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
+    for item, n, h, words in rows:
+        found[n][h % (1 << 64)][bytes(words)].append(item)
+    by_width = {n: {h: dict(w) for h, w in hs.items()} for n, hs in found.items()}
+    screens = {}
+    for n, hs in by_width.items():
+        screen = screens[n] = np.zeros(1 << SCREEN_BITS, bool)
+        screen[np.array(list(hs), np.uint64) >> np.uint64(64 - SCREEN_BITS)] = True
+    return by_width, screens
+
+
 class WindowSet:
-    """Windows by length: a screening table, their hashes, and the words and items behind each hash."""
-
-    def __init__(self, rows: list[tuple[str | None, int, int, bytes]]):
-        found: dict[int, dict[int, dict[bytes, list[str | None]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
-        for item, n, h, words in rows:
-            found[n][h % (1 << 64)][bytes(words)].append(item)
-        self.by_width = {n: {h: dict(w) for h, w in hs.items()} for n, hs in found.items()}
-        self.screens = {}
-        for n, hs in self.by_width.items():
-            screen = np.zeros(1 << SCREEN_BITS, bool)
-            screen[np.array(list(hs), np.uint64) >> np.uint64(64 - SCREEN_BITS)] = True
-            self.screens[n] = screen
+    """What a task looks windows up in."""
+
+    def __init__(self, by_width: dict, screens: dict):
+        self.by_width, self.screens = by_width, screens
 
     def hits(self, block: wordscan.Block) -> Iterator[tuple[int, int, list[str | None]]]:
         """(first word, number of words, items) of each window of the set in the block."""
@@ -102,10 +109,10 @@ class WindowSet:
 
 
 def _found(docs: DataFrame, text: str, shared: Broadcast) -> DataFrame:
-    """(_hit_key, runs, items) of the texts with a hit in one part; the key is the text's digest."""
+    """(key, starts, ends, items) of the texts with a hit in one part; the key is the text's digest."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, known = wordscan.Scanner("not_alnum", lower=True), shared.value
+        scanner, known = wordscan.Scanner("not_alnum", lower=True), WindowSet(*shared.value)
         for batch in batches:
             for lo, _, block in scanner.blocks(batch.column(1)):
                 runs, items = document_hits(block, known)
@@ -115,38 +122,41 @@ def _found(docs: DataFrame, text: str, shared: Broadcast) -> DataFrame:
                      pa.array([runs[i][0] for i in hit], pa.list_(pa.int32())),
                      pa.array([runs[i][1] for i in hit], pa.list_(pa.int32())),
                      pa.array([items[i] for i in hit], pa.list_(pa.string()))],
-                    ["_hit_key", *EARLIER],
+                    ["key", *EARLIER],
                 )
 
-    rows = docs.select(F.md5(F.col(text)).alias("_hit_key"), F.col(text).alias("_text")).where("_text is not null")
-    return rows.mapInArrow(scan, ", ".join(["_hit_key string", *(f"{c} {t}" for c, t in EARLIER.items())]))
+    rows = docs.select(F.md5(F.col(text)).alias("key"), F.col(text).alias("text")).where("text is not null")
+    return rows.mapInArrow(scan, ", ".join(["key string", *(f"{c} {t}" for c, t in EARLIER.items())]))
 
 
 def _with_found(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
-    """The documents with the columns of EARLIER; only texts that a bit table suspects are shuffled to meet `found`."""
-    known = docs.sparkSession.sparkContext.broadcast(sieve.build(found.select(F.xxhash64("_hit_key").alias("k")), "k"))
-    keyed = docs.withColumn("_hit_key", F.md5(F.col(text))).withColumn("_hit_mark", F.xxhash64("_hit_key"))
+    """The documents, and last what earlier parts found; only texts that a bit table suspects are shuffled to meet `found`."""
+    known = docs.sparkSession.sparkContext.broadcast(sieve.build(found.select(F.xxhash64("key").alias("k")), "k").parts)
+    key, mark, hits = unused(docs, "_hit_key", "_hit_mark", "_hits")
+    keyed = docs.withColumn(key, F.md5(F.col(f"`{text}`"))).withColumn(mark, F.xxhash64(key))
+    named = found.select(F.col("key").alias(key), F.struct(*EARLIER).alias(hits))
 
     def part(suspected: bool) -> DataFrame:
         def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sifted = known.value
+            sifted = sieve.Sieve(*known.value)
             for batch in batches:
                 yield batch.filter(pa.array(sifted.passes(batch.column(batch.num_columns - 1).to_numpy()) == suspected))
 
         return keyed.mapInArrow(sift, keyed.schema)
 
-    columns = [*[f"`{c}`" for c in docs.columns], *EARLIER]
-    return _with_nothing(part(False)).select(*columns).unionByName(part(True).join(found, "_hit_key", "left").select(*columns))
+    columns = [*[f"`{c}`" for c in docs.columns], hits]
+    untouched = part(False).withColumn(hits, F.lit(None).cast(HITS))
+    return untouched.select(*columns).union(part(True).join(named, key, "left").select(*columns))
 
 
 def _with_nothing(docs: DataFrame) -> DataFrame:
-    return docs.select("*", *[F.lit(None).cast(t).alias(c) for c, t in EARLIER.items()])
+    return docs.withColumn(unused(docs, "_hits")[0], F.lit(None).cast(HITS))
 
 
 def _searched(
     docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, width: int, max_windows: int
 ) -> tuple[DataFrame, Broadcast]:
-    """The documents with what all parts but the last found (EARLIER), and the last part.
+    """The documents, last what all parts but the last found, and the last part.
 
     One part at a time is on the driver and in the tasks: what it finds is a table before
     the next one goes out.
@@ -164,12 +174,12 @@ def _searched(
             shared.destroy()
             shared = None
         rows = dealt.where(F.col("part") == p).drop("part").collect()
-        shared = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in rows]))
+        shared = spark.sparkContext.broadcast(window_table([tuple(r) for r in rows]))
     if found is None:
         return _with_nothing(docs), shared
     # Equal texts have equal hits: one row of each part.
-    texts = found.dropDuplicates(["_hit_key", "part"]).groupBy("_hit_key").agg(F.collect_list(F.struct(*EARLIER)).alias("hits"))
-    texts = texts.select("_hit_key", *[F.flatten(f"hits.{c}").alias(c) for c in EARLIER])
+    texts = found.dropDuplicates(["key", "part"]).groupBy("key").agg(F.collect_list(F.struct(*EARLIER)).alias("hits"))
+    texts = texts.select("key", *[F.flatten(f"hits.{c}").alias(c) for c in EARLIER])
     return _with_found(docs, text, stage(texts, folder, "hits")), shared
 
 
@@ -190,12 +200,12 @@ def find_hits(
     rows, shared = _searched(texts, benchmark, "_text", item, item_text, width, max_windows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, known = wordscan.Scanner("not_alnum", lower=True), shared.value
+        scanner, known = wordscan.Scanner("not_alnum", lower=True), WindowSet(*shared.value)
         for batch in batches:
             for lo, hi, block in scanner.blocks(batch.column(1)):
                 runs, items = document_hits(block, known)
                 part_of = batch.slice(lo, hi - lo)
-                _add_earlier(runs, items, part_of.select([2, 3, 4]))
+                _add_earlier(runs, items, part_of.column(2))
                 yield pa.record_batch(
                     [part_of.column(0), pa.array(block.counts, pa.int64()),
                      pa.array([s for s, _ in runs], pa.list_(pa.int32())),
@@ -207,16 +217,15 @@ def find_hits(
     return rows.mapInArrow(scan, found)
 
 
-def _add_earlier(runs: list, items: list[list[str]], batch: pa.RecordBatch) -> None:
-    """Join the runs and items (the columns of EARLIER) that earlier passes found for the same rows."""
-    if batch.column(0).null_count == batch.num_rows:
+def _add_earlier(runs: list, items: list[list[str]], hits: pa.Array) -> None:
+    """Join the runs and items that earlier passes found for the same rows."""
+    if hits.null_count == len(hits):
         return
-    starts, ends, names = (c.to_pylist() for c in batch.columns)
-    for i, s in enumerate(starts):
-        if s:
-            s, e = np.array(s + runs[i][0]), np.array(ends[i] + runs[i][1])
+    for i, h in enumerate(hits.to_pylist()):
+        if h:
+            s, e = np.array(h["starts"] + runs[i][0]), np.array(h["ends"] + runs[i][1])
             a, b = wordscan.stretches(wordscan.covered(s, e - s, int(e.max())))
-            runs[i], items[i] = (a.tolist(), b.tolist()), sorted({*names[i], *items[i]})
+            runs[i], items[i] = (a.tolist(), b.tolist()), sorted({*h["items"], *items[i]})
 
 
 def document_hits(block: wordscan.Block, known: WindowSet) -> tuple[list[tuple[list[int], list[int]]], list[list[str]]]:
@@ -238,35 +247,6 @@ def document_hits(block: wordscan.Block, known: WindowSet) -> tuple[list[tuple[l
     return runs, items
 
 
-def _merged(passes: list[DataFrame], doc: str) -> DataFrame:
-    """Hits of several passes as one row per document; rows of repeated ids hold the same id's hits together."""
-    union = passes[0]
-    for p in passes[1:]:
-        union = union.unionByName(p)
-    grouped = union.groupBy(doc).agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list(F.arrays_zip("starts", "ends")))).alias("_runs"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    # Overlapping runs of different passes become one run.
-    start = F.struct(F.array().cast("array<struct<starts:int,ends:int>>").alias("done"))
-
-    def step(acc, run):
-        last = F.element_at(acc["done"], -1)
-        empty = F.size(acc["done"]) == 0
-        joins = ~empty & (run["starts"] <= F.try_element_at(acc["done"], F.lit(-1))["ends"])
-        grown = F.struct(last["starts"].alias("starts"), F.greatest(last["ends"], run["ends"]).alias("ends"))
-        body = F.slice(acc["done"], 1, F.size(acc["done"]) - 1)
-        return F.struct(
-            F.when(joins, F.concat(body, F.array(grown))).otherwise(F.concat(acc["done"], F.array(run))).alias("done")
-        )
-
-    merged = grouped.withColumn("_runs", F.aggregate("_runs", start, step)["done"])
-    return merged.select(
-        doc, "n_words", F.col("_runs.starts").alias("starts"), F.col("_runs.ends").alias("ends"), "items"
-    )
-
-
 def digest(hits: DataFrame, doc: str = "doc_id") -> DataFrame:
     """The hits as numbers: words, hit words, items, and a digest of the items."""
     n_hit = F.aggregate(
@@ -305,12 +285,12 @@ def cut_hits(
     rows, last = _searched(docs, benchmark, text, item, item_text, width, max_windows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, known = wordscan.Scanner("not_alnum", lower=True), last.value
+        scanner, known = wordscan.Scanner("not_alnum", lower=True), WindowSet(*last.value)
         for batch in batches:
             changed: dict[int, str | None] = {}
             for lo, hi, block in scanner.blocks(batch.column(at)):
                 runs, items = document_hits(block, known)
-                _add_earlier(runs, items, batch.slice(lo, hi - lo).select([n, n + 1, n + 2]))
+                _add_earlier(runs, items, batch.column(n).slice(lo, hi - lo))
                 for i, (s, e) in enumerate(runs):
                     if s:
                         changed[lo + i] = _without(block, i, s, e)

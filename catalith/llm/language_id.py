@@ -153,12 +153,13 @@ def train(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str =
 def predict(docs: DataFrame, model: Model | None, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, lang_pred, score."""
     kind = docs.schema[doc].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BINS numbers for each language
+    # BINS numbers for each language, and plain ones: tasks need not have this package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.bias) if model else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        fitted, letter = shared.value, regex.compile(r"\p{L}").search
+        fitted, letter = Model(*shared.value) if shared.value else None, regex.compile(r"\p{L}").search
         for batch in batches:
             texts = batch.column(1)
             for lo, hi, rows in presence(texts):

@@ -17,7 +17,8 @@ tasks; only links come out.
 A document of fewer than `WIDTH` words is one shingle; null, empty and wordless texts
 have no set and stay alone. Repeated ids count as one document if their texts agree;
 else each text's links apply to the id. A null id has no links: its row is kept unless
-a document with an id has the same set. Other columns are not read.
+a document with an id has the same set. Other columns are not read, and `without` returns
+them as they are, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,13 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.checkpoints import stage, staging_folder
 from catalith.llm import sieve, wordscan
 from catalith.llm.components import Forest, components
+from catalith.llm.names import unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -50,15 +52,15 @@ BEST = 4
 
 
 def shingle_sets(block: wordscan.Block) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    words = block.word_hashes()
-    hashes = block.window_hashes(words, WIDTH)
+    """The sorted distinct shingle hashes of each text, from cryptographic digests of its words."""
+    digests = block.word_digests()
+    hashes = block.window_hashes(digests[:, 0], WIDTH)
     for i, n in enumerate(block.counts.tolist()):
         a = int(block.first[i])
         if n >= WIDTH:
             yield np.unique(hashes[a : a + n - WIDTH + 1])
         elif n:
-            yield block.window_hashes(words[a : a + n], n, family=1)
+            yield block.window_hashes(digests[a : a + n, 1], n, family=1)
         else:
             yield np.zeros(0, np.uint64)
 
@@ -139,21 +141,25 @@ def alike(x: np.ndarray, y: np.ndarray) -> bool:
     return SHARE[1] * shared >= SHARE[0] * (len(x) + len(y) - shared)
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, text) of the documents of `ids` and a few more, told by a bit table without a shuffle."""
+def _texts_of(docs: DataFrame, ids: DataFrame, doc: str, text: str, held: list[Broadcast]) -> DataFrame:
+    """(doc, text) of the documents of `ids` and a few more, told by a bit table without a shuffle.
+
+    The table joins `held`, to be destroyed once the result is written.
+    """
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(sieve.build(ids.select(F.xxhash64("doc").alias("k")), "k"))
+    known = spark.sparkContext.broadcast(sieve.build(ids.select(F.xxhash64("doc").alias("k")), "k").parts)
+    held.append(known)
     texts = docs.select(F.col(doc).alias("doc"), F.xxhash64(doc).alias("_k"), F.col(text).alias("text"))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sifted = known.value
+        sifted = sieve.Sieve(*known.value)
         for batch in batches:
             yield batch.filter(pa.array(sifted.passes(batch.column(1).to_numpy())))
 
     return texts.mapInArrow(sift, texts.schema).drop("_k")
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFrame:
+def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str, held: list[Broadcast]) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are alike. Texts are shuffled for the documents of pairs only.
 
     All partners b of one a are compared in a stream, a's sets held in memory; an a with
@@ -167,6 +173,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFr
         spread.select(F.col("b").alias("doc"), "a", "part")
     )
     wanted = stage(wanted, staging_folder(spark), "wanted")
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner, head, head_sets = wordscan.Scanner(lower=True), None, {}
         for batch in batches:
@@ -185,7 +192,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, doc: str, text: str) -> DataFr
             kinds = batch.schema.field(0).type
             yield pa.record_batch([pa.array([f[0] for f in found], kinds), pa.array([f[1] for f in found], kinds)], ["a", "b"])
 
-    texts = _texts_of(docs, wanted.select("doc"), doc, text)
+    texts = _texts_of(docs, wanted.select("doc"), doc, text, held)
     rows = texts.join(wanted, "doc").select("a", "part", "doc", "text")
     # The head of each part comes first. Rows of one part are together, but a part is small.
     ordered = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("doc") != F.col("a"))
@@ -272,7 +279,7 @@ def _asked(rows: DataFrame) -> DataFrame:
     return both.mapInArrow(ask, f"a {kind}, b {kind}").distinct()
 
 
-def _compared(docs: DataFrame, rows: DataFrame, doc: str, text: str) -> DataFrame:
+def _compared(docs: DataFrame, rows: DataFrame, doc: str, text: str, held: list[Broadcast]) -> DataFrame:
     """Links (a, b) between components, from comparing every asker with every member of its bucket on the full sets.
 
     Nothing but links is put out, and of these only such as join two components that the
@@ -280,7 +287,7 @@ def _compared(docs: DataFrame, rows: DataFrame, doc: str, text: str) -> DataFram
     """
     kind = rows.schema["rep"].dataType.simpleString()
     wanted = stage(_meetings(rows).withColumnRenamed("rep", "doc"), staging_folder(docs.sparkSession), "meetings")
-    placed = _texts_of(docs, wanted.select("doc"), doc, text).join(wanted, "doc")
+    placed = _texts_of(docs, wanted.select("doc"), doc, text, held).join(wanted, "doc")
     placed = placed.select("key", "m", "q", "role", "doc", "component", "sketch", "text")
     ordered = placed.repartition("key", "m", "q").sortWithinPartitions("key", "m", "q", "role")
 
@@ -329,18 +336,26 @@ def judged(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
     heads = stage(heads.select("key", "a"), folder, "heads")
     buckets = stage(every.join(heads, "key").select("key", "rep", "a"), folder, "buckets")
     firsts = buckets.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    links = stage(_confirmed(docs, stage(firsts, folder, "pairs_0"), doc, text), folder, "links_0")
+    held: list[Broadcast] = []
+
+    def written(links: DataFrame, name: str) -> DataFrame:
+        links = stage(links, folder, name)
+        while held:
+            held.pop().destroy()
+        return links
+
+    links = written(_confirmed(docs, stage(firsts, folder, "pairs_0"), doc, text, held), "links_0")
     labels = components(links, "a", "b")
 
     sketches = classes.select("rep", "sketch")
     members = buckets.select("key", "rep")
     # Most members that missed their bucket's centre find a link among their best partners.
     asked = _asked(_open_buckets(members, labels, sketches)).join(firsts, ["a", "b"], "left_anti")
-    links = links.unionByName(stage(_confirmed(docs, stage(asked, folder, "pairs_1"), doc, text), folder, "links_1"))
+    links = links.unionByName(written(_confirmed(docs, stage(asked, folder, "pairs_1"), doc, text, held), "links_1"))
     labels = components(links, "a", "b")
     # What is left is compared with everybody.
-    last = _compared(docs, _open_buckets(members, labels, sketches), doc, text)
-    labels = components(links.unionByName(stage(last, folder, "links_2")), "a", "b")
+    last = _compared(docs, _open_buckets(members, labels, sketches), doc, text, held)
+    labels = components(links.unionByName(written(last, "links_2")), "a", "b")
     named = labels.withColumnRenamed("node", "rep")
     homes = classes.select("set_id", "rep").join(named, "rep", "left")
     # A table of its own, so that copies of one text can be split when they look up their component.
@@ -366,18 +381,19 @@ def without(docs: DataFrame, rows: DataFrame, doc: str = "doc_id", text: str = "
         F.bool_and("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")
     )
     touched = stage(per.where("not _kept or _n > 1"), staging_folder(spark), "touched")
-    known = spark.sparkContext.broadcast(sieve.build(touched.select(F.xxhash64("_doc", "_text_key").alias("k")), "k"))
-    keyed = docs.withColumn("_key", F.xxhash64(doc, F.xxhash64(text)))
+    known = spark.sparkContext.broadcast(sieve.build(touched.select(F.xxhash64("_doc", "_text_key").alias("k")), "k").parts)
+    (key,) = unused(docs, "_key")
+    keyed = docs.withColumn(key, F.xxhash64(doc, F.xxhash64(text)))
+    gone = touched.where("not _kept").select("_doc", "_text_key").toDF(*unused(docs, "_doc", "_text_key"))
 
     def part(suspected: bool) -> DataFrame:
         def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sifted = known.value
+            sifted = sieve.Sieve(*known.value)
             for batch in batches:
                 yield batch.filter(pa.array(sifted.passes(batch.column(batch.num_columns - 1).to_numpy()) == suspected))
 
-        return keyed.mapInArrow(sift, keyed.schema).drop("_key")
+        return keyed.mapInArrow(sift, keyed.schema).drop(key)
 
-    gone = touched.where("not _kept").select("_doc", "_text_key")
-    same = F.col(doc).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_text_key"))
+    same = F.col(doc).eqNullSafe(F.col(gone.columns[0])) & (F.xxhash64(text) == F.col(gone.columns[1]))
     left = part(True).join(gone, same, "left_anti")
     return part(False).unionByName(left.dropDuplicates([doc, text]))

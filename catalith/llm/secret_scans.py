@@ -12,7 +12,7 @@ without a candidate costs one search per pattern.
 
 Null and empty texts have no spans. Spans are counted in code points, end exclusive, over
 whole texts of any length. Repeated rows are scanned each; a null id stays null. Other
-columns pass through `redact` unchanged, whatever their names.
+columns pass through `redact` unchanged, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions.binding import compute_once, let
+from catalith.llm.names import unused
 
 # The base patterns, the group whose length counts, and its least length.
 BASE = {
@@ -45,12 +46,13 @@ LEAST_BITS = {"entropy_hex": 3.0, "entropy_base64": 3.7}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 KINDS = (*BASE, *LEAST_BITS)
 # Candidates that are no secrets: without digits or without letters, UUIDs, words joined to
-# paths or names with a short number, placeholders.
+# paths or names with a short number, placeholders. Repeated groups are possessive, since
+# others are matched by recursion, as deep as the candidate is long.
 ALLOWED = (
     r"^[^0-9]*$",
     r"^[^A-Za-z]*$",
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"^[A-Za-z]+([_/+-]+[A-Za-z]+)*[_/+-]*[0-9]{0,4}[_/+-]*$",
+    r"^[A-Za-z]++(?:[_/+-]++[A-Za-z]++)*+[_/+-]*+[0-9]{0,4}+[_/+-]*+$",
     r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0000000|1234567|abcdefg)",
 )
 PLACEHOLDER = "[SECRET]"
@@ -232,7 +234,7 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = None) -> Da
 
     `length` names a column with the text's code points, set anew where a text changed.
     """
-    name = "_secret_spans"
+    (name,) = unused(docs, "_secret_spans")
     found = with_spans(docs, text, name)
     content = F.col(f"`{text}`")
 

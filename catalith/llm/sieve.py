@@ -21,9 +21,15 @@ BITS_PER_KEY = 16
 
 
 class Sieve:
+    """Broadcast as `parts`, plain numbers: tasks need not have this package."""
+
     def __init__(self, table: np.ndarray, bits: int):
         self.table, self.bits = table, bits
 
+    @property
+    def parts(self) -> tuple[np.ndarray, int]:
+        return self.table, self.bits
+
     def passes(self, keys: np.ndarray) -> np.ndarray:
         """True for each key of the set, and for few others."""
         keys = keys.astype(np.uint64, copy=False)

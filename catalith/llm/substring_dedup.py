@@ -11,12 +11,14 @@ is always one; the one whose surrounding words (`CONTEXT` to each side) have the
 hash is the window's landmark. Equal windows have equal landmarks, and neighbouring
 windows mostly share theirs, so one landmark in about a dozen words is shuffled.
 Landmarks seen in two documents reveal candidates; only windows with such a landmark
-are hashed in full, on 128 bits, and grouped to verify the repeat exactly.
+are hashed in full, on two independent halves of their words' cryptographic digests, and
+grouped to verify the repeat.
 
 A window counts for a document if a document with a smaller id holds it anywhere.
 Null and wordless texts, and texts below `WIDTH` words, lose nothing. Rows with equal
 ids do not take words from each other; a null id neither takes nor loses. A text longer
-than a block is handled alone, in memory proportional to it. Other columns are not read.
+than a block is handled alone, in memory proportional to it. An empty table gives no rows.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,17 +134,17 @@ def _window_rows(rows: DataFrame, kind: str, known) -> DataFrame:
     """The windows whose landmark may be shared."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, shared = wordscan.Scanner(), known.value
+        scanner, shared = wordscan.Scanner(), sieve.Sieve(*known.value)
         for batch in batches:
             for lo, _, block in scanner.blocks(batch.column(2)):
-                words = block.word_hashes()
-                windows, marks = landmarks(block, words)
+                windows, marks = landmarks(block, block.word_hashes())
                 windows = windows[shared.passes(marks)]
                 if not len(windows):
                     continue
                 owner = np.searchsorted(block.first, windows, side="right") - 1
+                digests = block.word_digests(np.bincount(owner, minlength=len(block)) > 0)
                 at = pa.array(owner + lo)
-                hashes = [pa.array(block.window_hashes(words, WIDTH, f)[windows].view(np.int64)) for f in (0, 1)]
+                hashes = [pa.array(block.window_hashes(digests[:, f], WIDTH, f)[windows].view(np.int64)) for f in (0, 1)]
                 place = pa.array((windows - block.first[owner]).astype(np.int32))
                 yield pa.record_batch(
                     [*hashes, batch.column(0).take(at), batch.column(1).take(at), place], ["h1", "h2", "doc", "text_key", "at"]
@@ -151,14 +153,18 @@ def _window_rows(rows: DataFrame, kind: str, known) -> DataFrame:
     return rows.mapInArrow(scan, f"h1 bigint, h2 bigint, doc {kind}, text_key bigint, at int")
 
 
-def repeated_windows(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, text_key, places): per document the first words of its windows that an earlier document holds."""
+def repeated_windows(docs: DataFrame, held: list[Broadcast], doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, text_key, places): per document the first words of its windows that an earlier document holds.
+
+    The broadcast joins `held`, to be destroyed once the result is written.
+    """
     spark, kind = docs.sparkSession, docs.schema[doc].dataType.simpleString()
     rows = _keyed(docs, doc, text).where("doc is not null")
     folder = staging_folder(spark)
     shared = _landmark_rows(rows, kind).groupBy("mark").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     shared = stage(shared.where("lo < hi").select("mark"), folder, "marks")
-    known = spark.sparkContext.broadcast(sieve.build(shared, "mark"))
+    known = spark.sparkContext.broadcast(sieve.build(shared, "mark").parts)
+    held.append(known)
     windows = _window_rows(rows, kind, known)
     repeats = (
         windows.groupBy("h1", "h2")
@@ -194,9 +200,12 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", wit
     told by a bit table of fixed size over their ids.
     """
     spark, kind = docs.sparkSession, docs.schema[doc].dataType.simpleString()
-    found = stage(repeated_windows(docs, doc, text), staging_folder(spark), "places")
+    held: list[Broadcast] = []
+    found = stage(repeated_windows(docs, held, doc, text), staging_folder(spark), "places")
+    for b in held:
+        b.destroy()
     touched = found.select(F.xxhash64("doc", "text_key").alias("key"))
-    known = spark.sparkContext.broadcast(sieve.build(touched, "key"))
+    known = spark.sparkContext.broadcast(sieve.build(touched, "key").parts)
     rows = _keyed(docs, doc, text).withColumn("key", F.xxhash64("doc", "text_key"))
     schema = f"`{doc}` {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text
 
@@ -209,14 +218,14 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", wit
         return pa.record_batch(columns, [doc, "n_words", "n_removed", "kept_sha256", *["kept"] * with_text])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, sifted = wordscan.Scanner(), known.value
+        scanner, sifted = wordscan.Scanner(), sieve.Sieve(*known.value)
         for batch in batches:
             batch = batch.filter(pa.array(~sifted.passes(batch.column(3).to_numpy())))
             for lo, hi, block in scanner.blocks(batch.column(2)):
                 yield result(batch.column(0).slice(lo, hi - lo), block, [None] * len(block))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sifted = known.value
+        sifted = sieve.Sieve(*known.value)
         for batch in batches:
             yield batch.filter(pa.array(sifted.passes(batch.column(3).to_numpy())))
 

@@ -5,10 +5,15 @@ Runs inside Arrow batches of a Spark task. A batch is cut into blocks of about
 that is a block of its own. All positions are bytes of UTF-8, in which every byte
 of a character outside ASCII is 0x80 or above, so that byte classes and character
 classes agree for the word patterns used here.
+
+A rolling hash of words serves to find candidates. What decides does so on digests: a
+word's 128-bit cryptographic digest, in two halves, each of which gives an independent
+hash of windows of at most some dozens of words.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -18,7 +23,9 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+# Digests that a task remembers.
+REMEMBERED = 100_000
 # Odd multipliers of the rolling hashes; any odd 64-bit numbers do.
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -99,6 +106,7 @@ class Block:
         return np.repeat(np.arange(len(self)), self.counts)
 
     def word_hashes(self) -> np.ndarray:
+        """A rolling hash of each word: equal for equal words, and only likely different for others."""
         p = self.scanner.bytes
         p.reach(len(self.buf) + 1)
         total = np.zeros(len(self.buf) + 1, np.uint64)
@@ -106,8 +114,24 @@ class Block:
         h = (total[self.ends] - total[self.starts]) * p.down[self.starts]
         return mixed(h + (self.ends - self.starts).astype(np.uint64) * np.uint64(WORD_BASES[0]))
 
+    def word_digests(self, wanted: np.ndarray | None = None) -> np.ndarray:
+        """Two independent strong hashes of each word, one a column; zeros for texts that are not wanted."""
+        data = np.where(self.scanner.word[self.buf], self.buf, np.uint8(0x20)).tobytes()
+        digest = self.scanner.digests
+        if len(digest) > REMEMBERED:
+            digest.clear()
+        wanted = np.ones(len(self), bool) if wanted is None else wanted
+        out = np.zeros((len(self.starts), 2), np.uint64)
+        for i in np.flatnonzero(wanted & (self.counts > 0)).tolist():
+            words = data[self.offsets[i] : self.offsets[i + 1]].split()
+            out[self.first[i] : self.first[i + 1]] = np.frombuffer(b"".join(map(digest.__getitem__, words)), "<u8").reshape(-1, 2)
+        return out
+
     def window_hashes(self, words: np.ndarray, width: int, family: int = 0) -> np.ndarray:
-        """Hash of the `width` words from each word on; of no meaning for the last width - 1 of a text."""
+        """Hash of the `width` words from each word on; of no meaning for the last width - 1 of a text.
+
+        `words` are the hashes of all words of the block, or one column of their digests.
+        """
         n = len(words)
         if n < width:
             return np.zeros(0, np.uint64)
@@ -135,10 +159,19 @@ class Block:
         return b" ".join(self.buf[s:e].tobytes() for s, e in zip(self.starts[start:stop], self.ends[start:stop], strict=True))
 
 
+class Digests(dict):
+    """The digests of words seen so far."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = hashlib.blake2b(word, digest_size=16).digest()
+        return found
+
+
 class Scanner:
     def __init__(self, separators: str = "space", lower: bool = False):
         self.word = byte_classes(separators)
         self.fold = lower_ascii() if lower else None
+        self.digests = Digests()
         self.bytes = Powers(BYTE_BASE)
         self.words = [Powers(b) for b in WORD_BASES]
 
@@ -180,6 +213,3 @@ def stretches(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     step = np.diff(np.concatenate(([0], marked.view(np.int8), [0])))
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
-
-def string_column(values: list) -> pa.Array:
-    return pa.array(values, pa.string())

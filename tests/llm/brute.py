@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import math
 import re
+import zlib
 from collections import defaultdict
 
 SPACE_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -113,3 +115,43 @@ def near(rows):
                 p, q = root(a), root(b)
                 parent[max(p, q)] = min(p, q)
     return {d: (len(sets[d]), root(d)) for d in sets}
+
+
+def features(t):
+    """Buckets of all runs of one to three words."""
+    words = ALNUM_WORDS.findall(lower(t))
+    return [zlib.crc32(" ".join(words[i : i + n]).encode()) % 10_000 for n in (1, 2, 3) for i in range(len(words) - n + 1)], len(words)
+
+
+def resampled(docs, target):
+    """Per row: id, features, weight, score, rank; ids must differ."""
+    s, t = [0] * 10_000, [0] * 10_000
+    for counts, texts in ((s, [x for _, x in docs]), (t, target)):
+        for x in texts:
+            for b in features(x)[0]:
+                counts[b] += 1
+    s_all, t_all = sum(s), sum(t)
+    gain = [math.floor(1000 * math.log((b + 1) * (s_all + 10_000) / ((a + 1) * (t_all + 10_000)))) for a, b in zip(s, t, strict=True)]
+    rows = []
+    for d, x in docs:
+        found, words = features(x)
+        h = int(hashlib.sha256(f"42:{d}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in found)
+        rows.append((d, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), words))
+    eligible = sorted((r for r in rows if r[4] >= 20), key=lambda r: (-r[3], r[0]))
+    rank = {r[0]: k for k, r in enumerate(eligible[: 5 * len(eligible) // 100], 1)}
+    return {(*r[:4], rank.get(r[0])) for r in rows}
+
+
+def filled(d, t):
+    """Per row: n, form, prefix and middle length, output."""
+    t = t or ""
+    digest = hashlib.sha256(f"1:{'' if d is None else d}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[8 * k : 8 * k + 8], 16) for k in range(4))
+    if not t or re.search("<[PSM]>", t) or h3 % 100 >= 90:
+        return len(t), "plain", None, None, t
+    a, b = sorted((h1 % (len(t) + 1), h2 % (len(t) + 1)))
+    p, m, s = t[:a], t[a:b], t[b:]
+    if h4 % 100 < 20:
+        return len(t), "spm", a, b - a, "<S>" + s + "<P>" + p + "<M>" + m
+    return len(t), "psm", a, b - a, "<P>" + p + "<S>" + s + "<M>" + m

@@ -39,6 +39,50 @@ def test_equal_words_have_equal_hashes_wherever_they_stand():
     assert b.full_windows(3).tolist() == [0, 1, 2, 3, 4, 5, 8]
 
 
+def thue_morse(bits):
+    """Two different words of 2 ** bits bytes that a rolling hash modulo a power of two takes for one."""
+    word = b"a"
+    for _ in range(bits):
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    return word.decode(), word.translate(bytes.maketrans(b"ab", b"ba")).decode()
+
+
+def test_words_of_one_rolling_hash_are_told_apart(spark):
+    rest = " ".join(f"w{i}" for i in range(49))
+    for bits in (10, 12):
+        x, y = thue_morse(bits)
+        block = next(wordscan.Scanner().blocks(pa.array([f"{x} {y}"])))[2]
+        digests = block.word_digests()
+        assert (digests[0] != digests[1]).all() and block.word_hashes()[0] == block.word_hashes()[1]
+        for rows in ([(1, x), (2, y)], [(1, f"{x} {rest}"), (2, f"{y} {rest}")], [(1, f"{x} b c d e"), (2, f"{y} b c d e")]):
+            df = spark.createDataFrame(rows, SCHEMA)
+            assert grouped(df) == brute.near(rows) and removed(df) == brute.repeats(rows)
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    """Clashing names come back as they went in, however many passes there are."""
+    names = ["_secret_spans", "_hit_key", "_hit_mark", "_hits", "starts", "ends", "items", "key", "_key", "_DOC", "_text_key", "_kept", "hits"]
+    passage = " ".join(f"p{i}" for i in range(12))
+    docs = [(1, f"a {passage} b"), (2, "token=abcdefghijklmnop"), (3, None), (3, None)]
+    df = spark.createDataFrame([(d, t, *names) for d, t in docs], SCHEMA + ", " + ", ".join(f"{n} string" for n in names))
+    bench = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    for most in (1000, 1):
+        out = decontaminate.cut_hits(df, bench, max_windows=most).collect()
+        assert sorted(r.text or "" for r in out) == ["", "", "a  b", "token=abcdefghijklmnop"]
+        assert {tuple(r)[2:] for r in out} == {tuple(names)}
+    out = secret_scans.redact(df).collect()
+    assert sorted(r.text or "" for r in out) == ["", "", "[SECRET]", f"a {passage} b"] and {tuple(r)[2:] for r in out} == {tuple(names)}
+    out = near_dedup.without(df, near_dedup.judged(df)).collect()
+    assert sorted(r.doc_id for r in out) == [1, 2, 3] and {tuple(r)[2:] for r in out} == {tuple(names)}
+
+
+def test_long_candidates_do_not_recurse(spark):
+    long = "a-" * 500_000
+    texts = [f"{long}a12345", f"{long}a123", "x/" * 300_000 + "9", f"token={'k' * 1_000_000}"]
+    got = secret_scans.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).orderBy("doc_id").collect()
+    assert [r.spans for r in got] == ["", "", "", "assign:0:1000006"]
+
+
 def test_sieve_lets_every_member_pass(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("k"))
     s = sieve.build(keys, "k")
@@ -197,14 +241,14 @@ def test_parts_of_the_benchmark_are_held_one_at_a_time(spark, monkeypatch):
     bench = spark.createDataFrame([(i, " ".join(words)) for i in range(9)], "item_id bigint, text string")
     docs = spark.createDataFrame([(1, " ".join(words)), (1, " ".join(words)), (2, None)], SCHEMA)
     shared, gone, sizes = [], [], []
-    make, drop, built = spark.sparkContext.broadcast, Broadcast.destroy, decontaminate.WindowSet.__init__
+    make, drop, built = spark.sparkContext.broadcast, Broadcast.destroy, decontaminate.window_table
     monkeypatch.setattr(spark.sparkContext, "broadcast", lambda v: shared.append(make(v)) or shared[-1])
     monkeypatch.setattr(Broadcast, "destroy", lambda b, *a: gone.append(b) or drop(b, *a))
-    monkeypatch.setattr(decontaminate.WindowSet, "__init__", lambda s, rows: sizes.append(len(rows)) or built(s, rows))
+    monkeypatch.setattr(decontaminate, "window_table", lambda rows: sizes.append(len(rows)) or built(rows))
     found = decontaminate.find_hits(docs, bench, max_windows=64)
     # 9 items of the same 21 windows in 3 parts: the items of one window are dealt out as well.
     assert len(sizes) == 3 and sum(sizes) == 189 and max(sizes) < 90
-    held = [b for b in shared if b not in gone and isinstance(b.value, decontaminate.WindowSet)]
+    held = [b for b in shared if b not in gone and isinstance(b.value[0], dict)]
     assert len(held) == 1 and len(gone) == 2
     got = sorted((r.doc_id, r.n_words, r.starts, r.ends, r.items) for r in found.collect())
     assert got == [(1, 30, [0], [30], [str(i) for i in range(9)])] * 2 + [(2, 0, [], [], [])]
