@@ -194,7 +194,7 @@ def venue_inventory(spark, d):
 @query(
     "subtree_venues",
     f"""with {V.DEPLOYMENTS_SQL} select distinct system from deployments
-   XX""",
+    where table_id = 'wh.bbrand1' or starts_with(table_id, 'wh.bbrand1.')""",
 )
 def subtree_venues(spark, d):
     return W.subtree_venues(V.deployments(spark, d), "wh.bbrand1")
