@@ -39,15 +39,16 @@ def apply_mapping(
     frames: dict[str, DataFrame],
     source_table: str,
     source_key: list[str],
-    joins: list[tuple[str, list[tuple[str, str]]]],
+    joins: list[tuple[str, str | list[tuple[str, str]]]],
     expression: str,
     kind: str = "scalar",
     into: str = "mapped",
 ) -> DataFrame:
     """Compute a mapped column at the grain of the source table.
 
-    `joins` lists, in order, the tables to reach and the equal column ids
-    (here, there). `kind` is scalar (also for window expressions) or aggregate.
+    `joins` lists, in order, the tables to reach and either the equal column ids
+    (here, there) or the recorded join condition, as `join_paths.joins_of` finds
+    them from the relationships. `kind` is scalar (also for window expressions) or aggregate.
     Unmatched source rows stay, as with a left join: the matching part is an
     inner join, the rest an anti join. The aggregate combines map-side.
     """
@@ -56,6 +57,10 @@ def apply_mapping(
     work = _physical(source_table, frames[source_table])
     for table, on in joins:
         other = _physical(table, frames[table])
+        if isinstance(on, str):
+            condition = F.expr(_quoted(on, [*work.columns, *other.columns]))
+            work = work.join(other, condition).unionByName(work.join(other, condition, "left_anti"), allowMissingColumns=True)
+            continue
         plain = [f"_k{i}" for i in range(len(on))]
         keyed = work
         for name, (here, there) in zip(plain, on):

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalith.operators.intervals import GRAIN, interval_join
 from catalith.skew import spread_join
 
 
@@ -115,3 +116,24 @@ def as_of(cur: DataFrame, history: DataFrame, at: datetime | str) -> DataFrame:
     """The rows as they stood at a moment: written by then, not yet ended."""
     t = F.lit(at).cast(dict(cur.dtypes)["update_ts"])
     return versions(cur, history).where((F.col("update_ts") <= t) & (F.col("end_ts").isNull() | (F.col("end_ts") > t)))
+
+
+def as_of_moments(
+    cur: DataFrame, history: DataFrame, key: list[str], moments: DataFrame, at: str, grain: int = GRAIN
+) -> DataFrame:
+    """Each row of `moments` (key, `at`, other columns) with the version of its key that stood then.
+
+    `found` is false, and the version's columns are NULL, where the key did not exist yet,
+    was deleted, or is unknown. Current rows have no end and are one a key: they meet by
+    the key alone. Closed versions meet by an interval join. A key with a very large share
+    of the moments or of the versions is split in either. Equal rows of `moments` each
+    count; a NULL key or moment finds nothing. Columns of `moments` other than the key must
+    not be named like a version's.
+    """
+    present = cur.where(F.col("update_ts").isNotNull()).withColumn("end_ts", F.lit(None).cast(dict(history.dtypes)["end_ts"]))
+    now = moments.join(present, key).where(F.col("update_ts") <= F.col(at))
+    then = interval_join(history, moments, key, "update_ts", "end_ts", at, grain)
+    found = now.unionByName(then, allowMissingColumns=True).withColumn("found", F.lit(True))
+    # NULL keys and moments equal nothing, so they stay here.
+    lost = moments.join(found.select(*key, at), [*key, at], "left_anti").withColumn("found", F.lit(False))
+    return found.unionByName(lost, allowMissingColumns=True)

@@ -175,6 +175,26 @@ def as_of(spark, d):
     return rows.select("o_orderkey", "i", _money("price").alias("price"))
 
 
+MOMENTS_SQL = """moments as (select l_orderkey as o_orderkey, l_linenumber, l_partkey, l_suppkey,
+    l_shipdate - (l_linenumber * 2000) * interval 1 hour as moment from lineitem)"""
+
+
+@query(
+    "as_of_moments",
+    f"""with {V.VERSIONS_SQL}, {MOMENTS_SQL}
+    select m.o_orderkey, l_linenumber, l_partkey, l_suppkey, i, cast(cast(price as decimal(18,2)) as varchar) as price, v.o_orderkey is not null as found
+    from moments m left join all_versions v on m.o_orderkey = v.o_orderkey and v.update_ts <= moment and (end_ts is null or end_ts > moment)""",
+)
+def as_of_moments(spark, d):
+    """Every line asks how its order stood some weeks around the time it was shipped."""
+    back = F.make_dt_interval(F.lit(0), F.col("l_linenumber") * 2000)
+    moments = V.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_shipdate") - back).alias("moment")
+    )
+    rows = Y.as_of_moments(V.version_current(spark, d), V.version_history(spark, d), ["o_orderkey"], moments, "moment")
+    return rows.select("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "i", _money("price").alias("price"), "found")
+
+
 @query(
     "commit_of_row",
     """with runs as (select distinct o_orderdate as loaded_ts from orders),

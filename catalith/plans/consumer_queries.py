@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalith.operators import consumers as Q
+from catalith.operators import join_paths as J
 from catalith.plans import views as V
 from catalith.plans.registry import query
 
@@ -133,3 +134,136 @@ def pending_validation(spark, d):
         (V.mod("o_orderkey", 3) != 0).alias("validated"),
     )
     return Q.pending_validation(V.relationships(spark, d), maps)
+
+
+# --- ways through the relationships: orders, customers, nations, regions, in two systems ---
+
+# Every order asks for one of five things; `om` is the first order of its nation, by customer `cm`.
+PATHS_SQL = """
+placed_orders as (
+  select o_orderkey as k, c_custkey as c, n_nationkey as n, r_regionkey as r
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
+firsts as (select n, min(k) as om, min_by(c, k) as cm from placed_orders group by n),
+asked as (
+  select p.*, om, cm, k % 5 as form, 'm' || k as key, 'shop.sales.o' || k as o_id, 'shop.crm.c' || c as c_id, 'shop.geo.n' || n as n_id,
+         'shop.geo.r' || r as r_id, 'shop.crm.c' || cm as cm_id, 'shop.sales.o' || om as om_id
+  from placed_orders p join firsts f using (n)
+  where k % 5 <> 3 or k <> om),
+judged as (
+  select *,
+    k % 10 <> 0 and c % 7 <> 0 and (form <> 3 or (om % 10 <> 0 and cm % 7 <> 0)) as in_0,
+    c % 5 <> 0 and (form not in (2, 4) or r <> 0) and (form <> 3 or cm % 5 <> 0) as in_1
+  from asked),
+chosen as (select *, case when in_0 then 'sys0' when in_1 then 'sys1' end as system from judged),
+steps as (
+  select key, system, 1 as hop, o_id as from_table, c_id as to_table, o_id || '|' || c_id || '|ordered_by' as rel_key from chosen where system is not null
+  union all
+  select key, system, 2, c_id, n_id, c_id || '|' || n_id || case when c % 9 = 0 then '|billed_in' else '|lives_in' end from chosen
+  where system is not null and (form in (1, 2, 4) or (form = 3 and cm <> c))
+  union all
+  select key, system, 3, n_id, r_id, n_id || '|' || r_id || '|part_of' from chosen where system is not null and form in (2, 4)
+  union all
+  select key, system, 2, c_id, om_id, om_id || '|' || c_id || '|ordered_by' from chosen where system is not null and form = 3 and cm = c
+  union all
+  select key, system, 3, n_id, cm_id, cm_id || '|' || n_id || case when cm % 9 = 0 then '|billed_in' else '|lives_in' end from chosen
+  where system is not null and form = 3 and cm <> c
+  union all
+  select key, system, 4, cm_id, om_id, om_id || '|' || cm_id || '|ordered_by' from chosen where system is not null and form = 3 and cm <> c)
+"""
+
+
+def _id(prefix: str, column):
+    return F.concat(F.lit(prefix), V.text(column))
+
+
+def shop_graph(spark, d):
+    """(relationships, placements, wanted ways) of orders, customers, nations and regions."""
+    o, c, n = V.table(spark, d, "orders"), V.table(spark, d, "customer"), V.table(spark, d, "nation")
+    regions = V.table(spark, d, "region").select("r_regionkey")
+    n = n.join(regions, n.n_regionkey == regions.r_regionkey)
+    c = c.join(n, c.c_nationkey == n.n_nationkey)
+    o = o.join(c, o.o_custkey == c.c_custkey)
+    sale, buyer = _id("shop.sales.o", "o_orderkey"), _id("shop.crm.c", "c_custkey")
+    land, world = _id("shop.geo.n", "n_nationkey"), _id("shop.geo.r", "r_regionkey")
+
+    def rel(df, a, b, name):
+        return df.select(a.alias("table_a_id"), b.alias("table_b_id"), F.lit(name).alias("relationship_name"))
+
+    rels = rel(o, sale, buyer, "ordered_by").unionByName(rel(c, buyer, land, "lives_in"))
+    rels = rels.unionByName(rel(c.where(V.mod("c_custkey", 9) == 0), buyer, land, "billed_in")).unionByName(rel(n, land, world, "part_of"))
+    rels = rels.withColumn("rel_key", F.concat_ws("|", "table_a_id", "table_b_id", "relationship_name"))
+
+    def placed(df, table, *systems):
+        found = F.array_compact(F.array(*[F.when(there, F.lit(s)) for s, there in systems]))
+        return df.select(table.alias("table_id"), F.explode(found).alias("system"))
+
+    always = F.lit(True)
+    deployments = (
+        placed(o, sale, ("sys0", V.mod("o_orderkey", 10) != 0), ("sys1", always))
+        .unionByName(placed(c, buyer, ("sys0", V.mod("c_custkey", 7) != 0), ("sys1", V.mod("c_custkey", 5) != 0)))
+        .unionByName(placed(n, land, ("sys0", always), ("sys1", always)))
+        .unionByName(placed(regions, world, ("sys0", always), ("sys1", F.col("r_regionkey") != 0)))
+    )
+    firsts = o.groupBy("n_nationkey").agg(F.min("o_orderkey").alias("om"))
+    form = V.mod("o_orderkey", 5)
+    targets = (
+        F.when(form == 0, F.array(buyer)).when(form == 1, F.array(land)).when(form == 2, F.array(world))
+        .when(form == 3, F.array(_id("shop.sales.o", "om"))).otherwise(F.array(buyer, world))
+    )
+    wanted = o.join(firsts, "n_nationkey").select(_id("m", "o_orderkey").alias("key"), sale.alias("source"), F.explode(targets).alias("target"))
+    return rels, deployments, wanted
+
+
+def _paths(spark, d) -> J.JoinPaths:
+    rels, deployments, wanted = shop_graph(spark, d)
+    return J.join_paths(wanted, rels, "table_a_id", "table_b_id", "rel_key", deployments)
+
+
+@query("join_paths", f"with {PATHS_SQL} select key, system, hop, from_table, to_table, rel_key from steps")
+def join_paths(spark, d):
+    """One to four hops, in the one system that carries them all."""
+    return _paths(spark, d).hops.select("key", "system", "hop", "from_table", "to_table", "rel_key")
+
+
+@query(
+    "join_path_issues",
+    f"""with {PATHS_SQL},
+    targets as (select key, system, o_id, unnest(case form when 0 then [c_id] when 1 then [n_id] when 2 then [r_id] when 3 then [om_id]
+      else [c_id, r_id] end) as target from chosen)
+    select 'unreachable_target' as rule, key as object_key, o_id || ' to ' || target as detail from targets where system is null
+    union all select 'ambiguous_path', key, 'several shortest ways' from chosen
+    where system is not null and ((form in (1, 2, 4) and c % 9 = 0) or (form = 3 and cm <> c and (c % 9 = 0 or cm % 9 = 0)))""",
+)
+def join_path_issues(spark, d):
+    return _paths(spark, d).issues.select("rule", "object_key", "detail")
+
+
+def _recorded(spark, d):
+    """Four tables as they are, the relationships between them, and where they live."""
+    frames = {
+        "shop.sales.orders": V.table(spark, d, "orders"), "shop.crm.customer": V.table(spark, d, "customer"),
+        "shop.geo.nation": V.table(spark, d, "nation"), "shop.geo.region": V.table(spark, d, "region"),
+    }
+    rels = [
+        ("shop.sales.orders", "shop.crm.customer", "ordered_by", "shop.sales.orders.o_custkey = shop.crm.customer.c_custkey", "many_to_one"),
+        ("shop.geo.nation", "shop.crm.customer", "home_of", "shop.geo.nation.n_nationkey = shop.crm.customer.c_nationkey", "one_to_many"),
+        ("shop.geo.nation", "shop.geo.region", "part_of", "shop.geo.nation.n_regionkey = shop.geo.region.r_regionkey", "many_to_one"),
+    ]
+    rels = spark.createDataFrame(rels, "table_a_id string, table_b_id string, relationship_name string, join_condition string, cardinality string")
+    rels = rels.withColumn("rel_key", F.concat_ws("|", "table_a_id", "table_b_id", "relationship_name"))
+    deployments = spark.createDataFrame([(t, "lake") for t in frames], "table_id string, system string")
+    return frames, rels, deployments
+
+
+@query(
+    "apply_mapping_through_relationships",
+    """select o_orderkey, r_name || '/' || n_name as mapped from orders left join customer on o_custkey = c_custkey
+    left join nation on n_nationkey = c_nationkey left join region on n_regionkey = r_regionkey""",
+)
+def apply_mapping_through_relationships(spark, d):
+    """The joins of a mapping to two tables, found from the recorded relationships."""
+    frames, rels, deployments = _recorded(spark, d)
+    wanted = spark.createDataFrame([("m", "shop.sales.orders", t) for t in ("shop.geo.region", "shop.geo.nation")], "key string, source string, target string")
+    paths = J.join_paths(wanted, rels, "table_a_id", "table_b_id", "rel_key", deployments)
+    joins = J.joins_of(J.described(paths, rels, "rel_key"), "m")
+    return Q.apply_mapping(frames, "shop.sales.orders", ["o_orderkey"], joins, "shop.geo.region.r_name || '/' || shop.geo.nation.n_name")
