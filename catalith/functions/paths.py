@@ -95,19 +95,69 @@ def any_under(paths: str | Column, top: str) -> Column:
     return F.exists(_c(paths), lambda e: is_under(e, top))
 
 
+def _dotted(parts: list[str]) -> str:
+    return "." + ".".join(parts) + "." if parts else "."
+
+
 def matches(path: str | Column, pattern: str) -> Column:
-    """Label pattern in which `*` stands for any number of labels, also none."""
+    """Label pattern in which `*` stands for any number of labels, also none.
+
+    The fixed stretches between stars are looked for from left to right, each at the first
+    place after the one before, so the work grows with the length of the path only. A path
+    with an empty label matches no star; NULL stays NULL.
+    """
     p = _c(path)
     parts = pattern.split(".")
-    regex = "".join(r"(?:[^.]+\.)*" if part == "*" else re.escape(part) + r"\." for part in parts)
-    hit = F.concat(p, F.lit(".")).rlike(rf"\A{regex}\z")
-    fixed = []
+    if "*" not in parts:
+        return p == pattern
+    stretches: list[list[str]] = [[]]
     for part in parts:
         if part == "*":
-            break
-        fixed.append(part)
+            stretches.append([])
+        else:
+            stretches[-1].append(part)
+    front, *inner, back = stretches
+
+    def after(text: Column, place: Column, rest: list[list[str]]) -> Column:
+        """`place` is the dot that ends what was found so far."""
+        if not rest:
+            start = F.length(text) - len(_dotted(back)) + 1
+            return text.endswith(_dotted(back)) & (start >= place)
+        found = F.position(F.lit(_dotted(rest[0])), text, place)
+        return let(found, lambda f: (f > 0) & after(text, f + len(_dotted(rest[0])) - 1, rest[1:]))
+
+    text = F.concat(F.lit("."), p, F.lit("."))
+    hit = let(text, lambda t: t.startswith(_dotted(front)) & after(t, F.lit(len(_dotted(front))), [i for i in inner if i]))
+    hit = hit & ~text.contains("..")
     # The fixed front of the pattern is also a plain prefix test, which the scan can use.
-    return hit & is_under(p, ".".join(fixed)) if fixed else hit
+    return hit & is_under(p, ".".join(front)) if front else hit
+
+
+def matches_labels(own: Column, pattern: Column) -> Column:
+    """The same for arrays of labels, with a pattern from a column: an automaton steps along the labels.
+
+    It is at place k of the pattern once the labels so far match the first k parts; at a
+    star it may stay, and may go on without a label.
+    """
+
+    def rested(at: Column) -> Column:
+        """Also past the stars that an active place stands before. Stars do not follow each other."""
+        return F.transform(
+            at, lambda on, k: on | ((k > 0) & F.get(at, k - 1) & F.coalesce(F.get(pattern, k - 1) == "*", F.lit(False)))
+        )
+
+    places = F.sequence(F.lit(0), F.size(pattern))
+    start = F.transform(places, lambda k: k == 0)
+
+    def step(at: Column, label: Column) -> Column:
+        def moved(k: Column) -> Column:
+            stays = F.get(at, k) & F.coalesce(F.get(pattern, k) == "*", F.lit(False))
+            comes = (k > 0) & F.coalesce(F.get(at, k - 1), F.lit(False)) & F.coalesce(F.get(pattern, k - 1) == label, F.lit(False))
+            return stays | comes
+
+        return let(F.transform(places, moved), rested)
+
+    return F.aggregate(own, let(start, rested), step, lambda at: F.element_at(at, -1))
 
 
 def label_status(col: str | Column) -> Column:

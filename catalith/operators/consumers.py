@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.skew import spread_join
+from catalith.specs import CARDINALITIES
+
+# Buckets of the sketch that tells which relationships may share a key.
+SKETCH = 1 << 16
 
 
 def mapping_choices(mappings: DataFrame, columns: DataFrame, table_id: str | None = None) -> DataFrame:
@@ -127,6 +132,72 @@ def cardinality_profile(a: DataFrame, a_on: list[str], b: DataFrame, b_on: list[
     )
 
 
+def _side(frame: DataFrame, rel: str, columns: list[str], is_a: bool) -> DataFrame:
+    """(rel, key, side): a row for each row of one end of a relationship; rows with a NULL key match nothing."""
+    whole = frame.where(reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in columns]))
+    key = F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
+    return whole.select(F.lit(rel).alias("rel_key"), key.alias("key"), F.lit(is_a).alias("is_a"))
+
+
+def cardinality_report(
+    rels: list[tuple[str, str, list[str], str, list[str], str | None]], frames: dict[str, DataFrame], exact: bool = False
+) -> DataFrame:
+    """Every recorded relationship measured on the data, in one job, and compared with what is recorded.
+
+    rels: key, first table, its columns, second table, its columns, recorded cardinality;
+    one entry a relationship, like the frames it names. Per key both ends are counted in
+    one grouped pass over all ends, so a key with a third of the rows is one number.
+
+    First a sketch says which relationships may share a key at all: the hashes of both ends
+    fall into `SKETCH` buckets, of which some are held by both. A relationship without such
+    a bucket surely shares no key, and its keys are then not grouped, unless `exact` asks
+    for the numbers of keys on either side only: else those are NULL.
+
+    status: `agrees`; `contradicted` (recorded `one` where the data have `many`); `narrower`
+    (recorded `many`, never seen); `unrecorded`; `unknown value`; `no shared key` (nothing to
+    measure). Empty tables share no key; keys are compared as text.
+    """
+    if not rels:
+        raise ValueError("no relationships to measure")
+    sides = []
+    for rel, a, a_on, b, b_on, _ in rels:
+        sides += [_side(frames[a], rel, a_on, True), _side(frames[b], rel, b_on, False)]
+    ends = reduce(DataFrame.unionByName, sides)
+    if exact:
+        asked = ends
+    else:
+        bucket = F.pmod(F.xxhash64("key"), F.lit(SKETCH))
+        sketch = ends.groupBy("rel_key", bucket.alias("bucket")).agg(
+            F.bool_or("is_a").alias("in_a"), F.bool_or(~F.col("is_a")).alias("in_b")
+        )
+        likely = sketch.where("in_a and in_b").select("rel_key").distinct()
+        asked = ends.join(F.broadcast(likely), "rel_key", "left_semi")  # one name a relationship
+    per_key = asked.groupBy("rel_key", "key").agg(
+        F.count_if("is_a").alias("n_a"), F.count_if(~F.col("is_a")).alias("n_b")
+    )
+    matched = (F.col("n_a") > 0) & (F.col("n_b") > 0)
+    measured = per_key.groupBy("rel_key").agg(
+        F.max(F.when(matched, F.col("n_a") > 1)).alias("a_many"), F.max(F.when(matched, F.col("n_b") > 1)).alias("b_many"),
+        F.count_if(matched).alias("matched_keys"),
+        F.count_if(F.col("n_b") == 0).alias("keys_only_in_a"), F.count_if(F.col("n_a") == 0).alias("keys_only_in_b"),
+    )
+    recorded = ends.sparkSession.createDataFrame([(r[0], r[1], r[3], r[5]) for r in rels], "rel_key string, table_a_id string, table_b_id string, recorded string")
+    rows = recorded.join(measured, "rel_key", "left")
+    kind = lambda flag: F.when(F.col(flag), "many").otherwise("one")
+    shares = F.coalesce("matched_keys", F.lit(0)) > 0
+    found = F.when(shares, F.concat(kind("a_many"), F.lit("_to_"), kind("b_many")))
+    says = lambda at: F.split_part("recorded", F.lit("_to_"), F.lit(at))
+    broken = (F.col("a_many") & (says(1) == "one")) | (F.col("b_many") & (says(2) == "one"))
+    status = (
+        F.when(~F.col("recorded").isin(*CARDINALITIES), "unknown value").when(~shares, "no shared key").when(F.col("recorded").isNull(), "unrecorded")
+        .when(F.col("recorded") == found, "agrees").when(broken, "contradicted").otherwise("narrower")
+    )
+    return rows.select(
+        "rel_key", "table_a_id", "table_b_id", "recorded", found.alias("measured"), status.alias("status"),
+        F.coalesce("matched_keys", F.lit(0)).alias("matched_keys"), "keys_only_in_a", "keys_only_in_b",
+    )
+
+
 def pending_validation(rels: DataFrame, maps: DataFrame) -> DataFrame:
     """Validated and open rows per source, for relationships and mappings.
 

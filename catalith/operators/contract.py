@@ -4,19 +4,15 @@ Delivered rows: table, line_no, cells (array of text), header (array of text).
 Live columns:   table, ordinal (0-based), name, type, nullable, is_pk.
 Documented:     table, schema, name, type, nullable, is_pk.
 Files:          path, schema (folder), table (stem).
-A :class:`Contract` is the declared shape of one table; it is metadata, like a
-StructType, and becomes literal expressions.
+Rules on cells, and all rules together, are in `code_sets`.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.functions.binding import compute_once, let
-from catalith.functions.cells import TYPE_VOCABULARY, cell_problem
+from catalith.functions.cells import TYPE_VOCABULARY
 from catalith.issues import as_issues, key_text, union_issues
 from catalith.operators.keys import later_occurrences
 
@@ -24,33 +20,6 @@ from catalith.operators.keys import later_occurrences
 MAX_ROWS_PER_TABLE = 1000
 
 
-@dataclass(frozen=True)
-class ColumnRule:
-    name: str
-    type: str
-    nullable: bool = True
-    is_pk: bool = False
-
-
-@dataclass(frozen=True)
-class Contract:
-    table: str
-    columns: tuple[ColumnRule, ...]
-
-
-def _per_table(contracts: list[Contract], value) -> Column:
-    """A literal per table, NULL for tables without a contract."""
-    out = F.lit(None)
-    for i, c in enumerate(contracts):
-        hit = F.col("table") == c.table
-        out = F.when(hit, value(c)) if i == 0 else out.when(hit, value(c))
-    return out
-
-
-def _texts(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def header_equals(headers: DataFrame, live: DataFrame) -> DataFrame:
     """The header must equal the live columns in order; one issue per table.
 
@@ -119,90 +88,6 @@ def ragged_rows(rows: DataFrame) -> DataFrame:
     return as_issues(bad, "ragged_rows", "contract", line_key(), detail, wave=1)
 
 
-def _aligned(contracts: list[Contract], attribute) -> Column:
-    """Array aligned with the row's own header: the attribute of each header cell's column."""
-    by_name = _per_table(
-        contracts,
-        lambda c: F.create_map(*[x for r in c.columns for x in (F.lit(r.name), F.lit(attribute(r)))]),
-    )
-    return let(by_name, lambda names: F.transform("header", lambda h: F.try_element_at(names, h)))
-
-
-def duplicate_keys(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
-    """Keys that repeat, compared as raw text ('1' and '01' differ), naming the first line.
-
-    Ragged rows and tables without a key take no part.
-    """
-    is_key = _aligned(contracts, lambda r: r.is_pk)
-    cells = F.col("cells")
-    parts = F.transform(
-        F.filter(
-            F.arrays_zip(cells.alias("cell"), is_key.alias("pk")), lambda z: F.coalesce(z["pk"], F.lit(False))
-        ),
-        lambda z: F.coalesce(z["cell"], F.lit("")),
-    )
-    whole = rows.where(~is_ragged()).select("table", "line_no", "cells", "header")
-    keyed = compute_once(whole, {"_key": parts}).select("table", "line_no", "_key").where(F.size("_key") > 0)
-    later = later_occurrences(keyed, ["table", "_key"], ["line_no"])
-    detail = F.concat(
-        F.array_join("_key", ","), F.lit(" first at line "), F.col("first_place.line_no").cast("string")
-    )
-    return as_issues(later, "duplicate_keys", "contract", line_key(), detail, wave=1)
-
-
-def _cell_checks(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
-    """(table, line_no, hit{name, cell, problem}) for bad cells: one pass, only bad cells explode."""
-    types = _aligned(contracts, lambda r: r.type)
-    nullable = _aligned(contracts, lambda r: r.nullable)
-    zipped = F.arrays_zip(
-        F.col("header").alias("name"), F.col("cells").alias("cell"), types.alias("type"), nullable.alias("nullable")
-    )
-    judged = F.transform(
-        zipped,
-        lambda z: F.struct(
-            z["name"].alias("name"),
-            z["cell"].alias("cell"),
-            F.when(
-                F.coalesce(z["cell"], F.lit("")) == "",
-                F.when(~F.coalesce(z["nullable"], F.lit(True)), F.lit("null")),
-            )
-            .otherwise(cell_problem(z["cell"], z["type"]))
-            .alias("problem"),
-            z["type"].alias("type"),
-        ),
-    )
-    whole = rows.where(~is_ragged()).select("table", "line_no", "cells", "header")
-    bad = compute_once(whole, {"_bad": F.filter(judged, lambda j: j["problem"].isNotNull())})
-    return bad.select("table", "line_no", F.explode("_bad").alias("hit"))
-
-
-def null_in_required(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
-    bad = _cell_checks(rows, contracts).where(F.col("hit.problem") == "null")
-    return as_issues(bad, "null_in_required", "contract", line_key(), F.col("hit.name"), wave=1)
-
-
-def cell_parses(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
-    """Cells that do not parse as the column's type; `range` marks integers too large for it."""
-    bad = _cell_checks(rows, contracts).where(F.col("hit.problem").isin("parse", "range"))
-    rule = F.concat_ws(" ", "hit.problem", "hit.type", "hit.name")
-    return as_issues(bad, "cell_parses", "contract", line_key(), rule, wave=1)
-
-
-def cell_issues(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
-    """`null_in_required` and `cell_parses` together, in one pass over the rows."""
-    bad = _cell_checks(rows, contracts)
-    return bad.select(
-        F.lit(1).alias("wave"),
-        F.when(F.col("hit.problem") == "null", "null_in_required").otherwise("cell_parses").alias("rule"),
-        F.lit("contract").alias("object_type"),
-        line_key().alias("object_key"),
-        F.when(F.col("hit.problem") == "null", F.col("hit.name"))
-        .otherwise(F.concat_ws(" ", "hit.problem", "hit.type", "hit.name"))
-        .alias("detail"),
-        F.lit(None).cast("string").alias("hint"),
-    )
-
-
 def type_vocabulary(docs: DataFrame) -> DataFrame:
     bad = docs.where(~F.col("type").isin(*TYPE_VOCABULARY))
     return as_issues(bad, "type_vocabulary", "contract", key_text("table", "name"), F.col("type"), wave=1)
@@ -238,58 +123,6 @@ def unknown_table(files: DataFrame, live: DataFrame) -> DataFrame:
     return as_issues(bad, "unknown_table", "contract", F.col("path"), F.col("table"), wave=1)
 
 
-def validate_contract(
-    rows: DataFrame,
-    headers: DataFrame,
-    live: DataFrame,
-    docs: DataFrame,
-    contracts: list[Contract],
-    max_rows: int = MAX_ROWS_PER_TABLE,
-) -> DataFrame:
-    """Every rule against the live shape. A wrong header ends the checks of that table."""
-    header_bad = header_equals(headers, live)
-    stopped = header_bad.select(F.col("object_key").alias("table"))
-    good_rows = rows.join(stopped, "table", "left_anti")
-    good_headers = headers.join(stopped, "table", "left_anti")
-    good_spec = live.join(good_headers.select("table"), "table", "left_semi")
-    return union_issues(
-        header_bad,
-        docs_gate(good_headers, docs),
-        row_guardrail(good_rows, max_rows),
-        key_required(good_spec),
-        ragged_rows(good_rows),
-        duplicate_keys(good_rows, contracts),
-        cell_issues(good_rows, contracts),
-    )
-
-
-def validate_docs_shape(
-    rows: DataFrame,
-    headers: DataFrame,
-    docs: DataFrame,
-    contracts: list[Contract],
-    max_rows: int = MAX_ROWS_PER_TABLE,
-) -> DataFrame:
-    """The documentation as the contract, for tables whose live shape cannot vouch.
-
-    Where the gate fails, columns cannot be aligned: only ragged rows and the
-    row limit are still checked.
-    """
-    gate = docs_gate(headers, docs)
-    closed = gate.select(F.col("object_key").alias("table")).distinct()
-    open_rows = rows.join(closed, "table", "left_anti")
-    open_docs = docs.join(headers.select("table"), "table", "left_semi").join(closed, "table", "left_anti")
-    return union_issues(
-        gate,
-        row_guardrail(rows, max_rows),
-        ragged_rows(rows),
-        type_vocabulary(open_docs),
-        key_required(open_docs),
-        duplicate_keys(open_rows, contracts),
-        cell_issues(open_rows, contracts),
-    )
-
-
 def apply_exemptions(issues: DataFrame, exemptions: DataFrame) -> DataFrame:
     """Add `severity`: an issue whose (rule, object) is exempted is only a warning.
 

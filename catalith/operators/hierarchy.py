@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions import paths
+from catalith.functions.binding import compute_once
 from catalith.skew import spread_join
 
 
@@ -31,6 +32,56 @@ def path_match(df: DataFrame, id_col: str, pattern: str) -> DataFrame:
     return df.where(paths.matches(id_col, pattern))
 
 
+def _slim(patterns: DataFrame, pattern: str) -> DataFrame:
+    """(pattern, parts, n_front, front): labels without repeated stars, and those before the first star."""
+    parts = F.split(F.col(pattern), r"\.")
+    # A star after a star adds nothing.
+    slim = F.filter(parts, lambda x, k: ~((x == "*") & (k > 0) & F.coalesce(F.get(parts, k - 1) == "*", F.lit(False))))
+    rows = compute_once(patterns.where(F.col(pattern).isNotNull()).select(pattern).distinct(), {"parts": slim})
+    star = F.array_position("parts", "*").cast("int")
+    rows = rows.withColumn("n_front", F.when(star == 0, F.size("parts")).otherwise(star - 1))
+    return rows.withColumn("front", F.array_join(F.slice("parts", F.lit(1), F.col("n_front")), "."))
+
+
+def path_match_many(df: DataFrame, id_col: str, patterns: DataFrame, pattern: str) -> DataFrame:
+    """(row, pattern) for many patterns at once, in which `*` stands for any number of labels, also none.
+
+    An id meets the patterns that begin like it, by equality on the fixed front. Of the
+    ids' own fronts only those as long as some pattern's are made. Patterns that begin with
+    a star meet the ids that hold the one of their fixed labels that the fewest ids hold;
+    only those of nothing but stars meet every id, as they match every id. An automaton
+    over the labels decides.
+
+    NULL ids and patterns match nothing, nor do ids with an empty label match a star.
+    Repeated rows each count, repeated patterns once. `df` must not have a column named
+    like the pattern's, or one of `_key`, `_labels`, `parts`, `n_front`.
+    """
+    wanted = _slim(patterns, pattern)
+    ids = df.where(F.col(id_col).isNotNull()).withColumn("_labels", paths.labels(id_col))
+    legal = ~F.array_contains("_labels", "")
+
+    # Front lengths that occur: a few numbers, one for each length of pattern.
+    lengths = wanted.where("n_front > 0").select("n_front").distinct()
+    tops = ids.join(F.broadcast(lengths), F.size("_labels") >= F.col("n_front"))
+    tops = tops.withColumn("_key", F.expr(f"substring_index(`{id_col}`, '.', n_front)")).drop("n_front")
+    fronts = wanted.where("n_front > 0").select(pattern, "parts", F.col("front").alias("_key"))
+
+    starred = wanted.where("n_front = 0").select(pattern, "parts", F.explode("parts").alias("_key")).where("_key <> '*'").distinct()
+    held = ids.select("*", F.explode(F.array_distinct("_labels")).alias("_key"))
+    held = held.join(starred.select("_key").distinct(), "_key", "left_semi")
+    counts = held.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = starred.join(counts, "_key", "left").groupBy(pattern).agg(F.min(F.struct(F.coalesce("_n", F.lit(0)), "_key"))["_key"].alias("_key"))
+    anchors = rarest.join(wanted.select(pattern, "parts"), pattern)
+
+    found = tops.join(fronts, "_key").unionByName(held.join(anchors, "_key"))
+    exact = ~F.array_contains("parts", "*")
+    hit = F.when(exact, F.col("_labels") == F.col("parts")).otherwise(legal & paths.matches_labels(F.col("_labels"), F.col("parts")))
+    found = found.where(hit).drop("_key", "_labels", "parts")
+    stars = wanted.where(F.size("parts") == 1).where(F.get("parts", F.lit(0)) == "*").select(pattern)
+    every = ids.where(legal).drop("_labels").withColumn("_key", F.lit(1)).join(stars.withColumn("_key", F.lit(1)), "_key").drop("_key")
+    return found.unionByName(every)
+
+
 def array_descendants(df: DataFrame, arr: str, top: str) -> DataFrame:
     """Rows whose list has an element at or below the path."""
     return df.where(paths.any_under(arr, top))

@@ -84,6 +84,45 @@ def ancestors_of(spark, d):
     return H.ancestors_of(V.ids(spark, d), "column_id").select("column_id", "ancestor")
 
 
+@query(
+    "descendants_of_many",
+    f"""with {V.IDS_SQL}, tops as (select schema_id as top from schemas union select table_id from tables where c_custkey % 3 = 0 union select 'asia' union select 'no.such')
+    select column_id, top from ids join tops on column_id = top or starts_with(column_id, top || '.')""",
+)
+def descendants_of_many(spark, d):
+    tops = V.schemas(spark, d).select(F.col("schema_id").alias("top"))
+    tops = tops.union(V.tables(spark, d).where(V.mod("c_custkey", 3) == 0).select("table_id"))
+    tops = tops.union(spark.createDataFrame([("asia",), ("no.such",)], "top string"))
+    return H.descendants_of_many(V.ids(spark, d), "column_id", tops, "top", ["column_id"]).select("column_id", "top")
+
+
+@query(
+    "path_match_many",
+    f"""with {V.CONCEPTS_SQL},
+    patterns as (
+      select schema_id || '.*.concept.*' as pattern from schemas union select '*.' || schema_name || '.concept.*' from schemas
+      union select table_id || '.*' from tables where c_custkey % 5 = 0 union select '*.' || table_name || '.*.concept.*' from tables where c_custkey % 7 = 0
+      union select data_source_id || '.*.concept.k' || (r_regionkey + 1) from sources union select 'asia.*.*.*' union select 'no.such.*'),
+    rules as (select pattern, '^' || replace(replace(replace(pattern || '.', '*.', '@'), '.', '[.]'), '@', '([^.]+[.])*') || '$' as rule from patterns)
+    select concept_id, pattern from concepts, rules where regexp_matches(concept_id || '.', rule)""",
+)
+def path_match_many(spark, d):
+    """Concepts under each of many patterns, of which some begin with a fixed label and some with a star."""
+    schemas, tables = V.schemas(spark, d), V.tables(spark, d)
+    star = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("pattern")
+    patterns = [
+        schemas.select(star(F.col("schema_id"), ".*.concept.*")), schemas.select(star("*.", F.col("schema_name"), ".concept.*")),
+        tables.where(V.mod("c_custkey", 5) == 0).select(star(F.col("table_id"), ".*")),
+        tables.where(V.mod("c_custkey", 7) == 0).select(star("*.", F.col("table_name"), ".*.concept.*")),
+        V.sources(spark, d).select(star(F.col("data_source_id"), ".*.concept.k", V.text(F.col("r_regionkey") + 1))),
+        spark.createDataFrame([("asia.*.*.*",), ("no.such.*",)], "pattern string"),
+    ]
+    wanted = patterns[0]
+    for p in patterns[1:]:
+        wanted = wanted.union(p)
+    return H.path_match_many(V.concepts(spark, d).select("concept_id"), "concept_id", wanted, "pattern").select("concept_id", "pattern")
+
+
 @query(
     "path_match",
     f"with {V.CONCEPTS_SQL} select concept_id from concepts where starts_with(concept_id, 'asia.') and concept_id like '%.concept.%'",

@@ -227,18 +227,23 @@ def relationships_of(spark, d):
 
 
 def _edges(spark, d):
-    # Parts ordered together, of one remainder: so the graph has several components, and every line takes part.
-    lines = V.table(spark, d, "lineitem").withColumn("class", V.mod("l_partkey", 7))
-    pairs = lines.groupBy("l_orderkey", "class").agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b"))
-    return pairs.where(F.col("a") != F.col("b")).select("a", "b")
+    """Every part of an order and the order's smallest part of the same brand: so the graph has several components."""
+    parts = V.table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    lines = V.table(spark, d, "lineitem").select("l_orderkey", "l_partkey").distinct().join(parts, "l_partkey")
+    firsts = lines.groupBy("l_orderkey", "p_brand").agg(F.min("l_partkey").alias("a"))
+    pairs = lines.join(firsts, ["l_orderkey", "p_brand"]).where(F.col("a") != F.col("l_partkey"))
+    return pairs.select("a", F.col("l_partkey").alias("b"))
 
 
-EDGES_SQL = """edges as (select min(l_partkey) as a, max(l_partkey) as b from lineitem
-  group by l_orderkey, l_partkey % 7 having min(l_partkey) <> max(l_partkey)),
+EDGES_SQL = """branded as (select distinct l_orderkey, l_partkey, p_brand from lineitem join part on l_partkey = p_partkey),
+firsts as (select l_orderkey, p_brand, min(l_partkey) as a from branded group by 1, 2),
+edges as (select distinct a, l_partkey as b from branded join firsts using (l_orderkey, p_brand) where a <> l_partkey),
 both_ways as (select a, b from edges union select b, a from edges),
-reach as (select a as node, a as seen from both_ways union select b, b from both_ways
-  union select r.node, e.b from reach r join both_ways e on r.seen = e.a),
-components as (select node, min(seen) as component from reach group by node)"""
+components(node, component) using key (node) as (
+  select distinct a, a from both_ways
+  union
+  select e.b, min(c.component) from components c join both_ways e on e.a = c.node join recurring.components r on r.node = e.b
+  where c.component < r.component group by e.b)"""
 
 
 @query("connected_components", f"with recursive {EDGES_SQL} select node, component from components")

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import itertools
+import sys
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from catalith.checkpoints import stage, staging_folder
 from catalith.functions import paths
 from catalith.functions.binding import compute_once
 from catalith.functions.text import sha256_bytes, sha256_text
 from catalith.issues import as_issues
 
+# Tasks get this module's functions by value: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+LISTED_AT_ONCE = 10_000
 # Which file names mean what, by depth.
 REGISTRY_FILE = "systems.yaml"
 SOURCES_FOLDER = "sources"
@@ -28,24 +39,71 @@ SCHEMA_FILES = {
 SCHEMA_ONLY_SHARDS = ("tables", "columns", "table_relationships")
 
 
-def scan_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below `root` once: path, rel, ext, length, content.
+def _folders_listed(folders: DataFrame, root: str) -> DataFrame:
+    """(rel, length, is_folder): what lies directly in each of the folders `rel`, listed inside tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            for rel in batch.column(0).to_pylist():
+                base = f"{top.rstrip('/')}/{rel}".rstrip("/")
+                found = fs.get_file_info(pafs.FileSelector(base))
+                for lo in range(0, len(found), LISTED_AT_ONCE):
+                    part = found[lo : lo + LISTED_AT_ONCE]
+                    yield pa.record_batch(
+                        [pa.array([f"{rel}/{f.base_name}".lstrip("/") for f in part], pa.string()),
+                         pa.array([f.size for f in part], pa.int64()),
+                         pa.array([f.type == pafs.FileType.Directory for f in part], pa.bool_())],
+                        ["rel", "length", "is_folder"],
+                    )
+
+    return folders.select("rel").mapInArrow(run, "rel string, length bigint, is_folder boolean")
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """Every file below `root` once, those of zero bytes included: rel, length.
 
-    A missing root fails at once. The content is read only by plans that use it.
+    One round for each level of the tree; a round's folders are dealt out to tasks that list
+    them, and what they find is a table before the next round. The driver sees no names. A
+    single folder's names are held by one task. A missing root fails at once.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    fs, top = pafs.FileSystem.from_uri(root)
+    if fs.get_file_info(top).type != pafs.FileType.Directory:
+        raise FileNotFoundError(f"no folder {root}")
+    folder = staging_folder(spark)
+    level = spark.createDataFrame([("",)], "rel string")
+    found = None
+    for depth in itertools.count():
+        here = stage(_folders_listed(level.repartition("rel"), root), folder, f"level_{depth}")
+        files = here.where("not is_folder").select("rel", "length")
+        found = files if found is None else found.unionByName(files)
+        level = here.where("is_folder").select("rel")
+        if level.isEmpty():
+            return found
+
+
+def with_content(files: DataFrame, root: str) -> DataFrame:
+    """Adds the bytes of each file, read inside tasks."""
+    schema = T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType())])
+    at = files.columns.index("rel")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            # One file at a time: a batch of names may stand for a lot of bytes.
+            for i, rel in enumerate(batch.column(at).to_pylist()):
+                with fs.open_input_stream(f"{top.rstrip('/')}/{rel}") as f:
+                    content = pa.array([f.read()], pa.binary())
+                yield pa.record_batch([*batch.slice(i, 1).columns, content], [*batch.schema.names, "content"])
+
+    return files.mapInArrow(run, schema)
+
+
+def scan_files(spark: SparkSession, root: str, content: bool = True) -> DataFrame:
+    """Every file below `root` once: path, rel, length, the parts of its path, and its content if wanted."""
     top = root.rstrip("/") + "/"
-    # The path column carries the file system's scheme in front of the root.
-    start = F.locate(top, F.col("path")) + len(top)
-    found = files.select("path", F.substring("path", start, F.length("path")).alias("rel"), "length", "content")
-    # The scan leaves out files of zero bytes, its file listing does not.
-    names = [(unquote(p).split(top, 1)[1],) for p in files.inputFiles()]
-    listed = spark.createDataFrame(names, "rel string")
-    empty = listed.join(found.select("rel"), "rel", "left_anti").select(
-        F.concat(F.lit(top), "rel").alias("path"), "rel", F.lit(0).cast("bigint").alias("length"),
-        F.encode(F.lit(""), "UTF-8").alias("content"),
-    )
-    return path_parts(found.unionByName(empty), "rel")
+    found = list_files(spark, root).withColumn("path", F.concat(F.lit(top), "rel"))
+    return path_parts(with_content(found, root) if content else found, "rel")
 
 
 def path_parts(df: DataFrame, rel: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalith import skew
 from catalith.functions import cells, expressions, paths
 from catalith.issues import gate_waves
-from catalith.operators import contract as C
+from catalith.operators import code_sets as K
 from catalith.operators import diff as X
 from catalith.operators import graph as G
 from catalith.sources import contract_csv as S5
@@ -179,12 +179,12 @@ def test_contract_files(spark, tmp_path):
     assert lines == {2: ["1", "two\nlines"], 3: ["01", ""], 4: ["1", "x"], 5: ["2"]}
     digest = S.content_hash(files.where("path = 'codes/kind.csv'")).first().sha256
     assert S5.headers_of(found).where("table = 'kind'").first().sha256 == digest
-    contract = [C.Contract("kind", (C.ColumnRule("code", "text", False, True), C.ColumnRule("text", "text", False)))]
     live = spark.createDataFrame(
-        [("kind", 0, "code", "text", False, True), ("kind", 1, "text", "text", False, False)],
-        "table string, ordinal int, name string, type string, nullable boolean, is_pk boolean",
+        [("kind", 0, "codes", "code", "text", False, True), ("kind", 1, "codes", "text", "text", False, False)],
+        "table string, ordinal int, schema string, name string, type string, nullable boolean, is_pk boolean",
     )
-    issues = C.validate_contract(S5.rows_of(found), S5.headers_of(found).where("table = 'kind'"), live, live, contract)
+    kind = S5.headers_of(found).where("table = 'kind'")
+    issues = K.validate(kind.select("path", "schema", "table"), kind, S5.rows_of(found), live, live)
     assert {(r.rule, r.object_key) for r in issues.collect()} == {
         ("ragged_rows", "kind|5"), ("duplicate_keys", "kind|4"), ("null_in_required", "kind|3"),
     }
@@ -195,7 +195,24 @@ def test_missing_root_fails_at_once(spark, tmp_path):
         S.scan_files(spark, str(tmp_path / "nowhere"))
         raise AssertionError("a missing folder must fail")
     except Exception as e:
-        assert "PATH_NOT_FOUND" in str(e)
+        assert isinstance(e, FileNotFoundError)
+
+
+def test_scan_lists_every_file_once(spark, tmp_path):
+    want = {}
+    for rel, text in {"a.yaml": "x", "d/e/f/deep.yaml": "é", "d/empty.yaml": "", "d/e/.hidden": "h", "d/_under": "u", "sp ace/ü%20.yaml": "p"}.items():
+        write(tmp_path / rel, text)
+        want[rel] = text.encode()
+    (tmp_path / "hollow" / "inner").mkdir(parents=True)
+    for i in range(300):
+        write(tmp_path / "many" / f"{i}.txt", str(i))
+        want[f"many/{i}.txt"] = str(i).encode()
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        rows = S.scan_files(spark, root).collect()
+        assert {r.rel: bytes(r.content) for r in rows} == want and len(rows) == len(want)
+        assert all(r.length == len(want[r.rel]) and r.path.endswith(r.rel) for r in rows)
+    assert S.scan_files(spark, str(tmp_path), content=False).where("ext = '.yaml'").count() == 4
+    assert S.list_files(spark, str(tmp_path / "hollow")).isEmpty()
 
 
 def test_introspection(spark):

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from catalith.operators import consumers, history, intervals, join_paths
+from catalith.operators import consumers, hierarchy, history, intervals, join_paths
 
 DAY = datetime(2020, 1, 1)
 
@@ -166,3 +166,58 @@ def test_mapping_along_a_path(spark):
     assert sorted((r.hop, r.to_table, r.cardinality) for r in told.collect()) == [(1, "s.a.buyer", "many_to_one"), (2, "s.g.land", "many_to_one")]
     out = consumers.apply_mapping(frames, "s.a.sale", ["id"], join_paths.joins_of(told, "m"), "coalesce(s.g.land.name, 'none')")
     assert sorted(tuple(r) for r in out.collect()) == [(1, "x"), (2, "none"), (3, "none")]
+
+
+# --- many patterns, long ids
+
+
+def test_many_patterns_equal_the_expression(spark):
+    import re
+
+    random.seed(2)
+    labels = ["a", "b", "c", "concept"]
+    ids = sorted({".".join(random.choices(labels, k=random.randint(1, 6))) for _ in range(150)}) + ["a..b", "", ".a", "a.b"]
+    patterns = sorted({".".join(random.choice([*labels, "*", "*"]) for _ in range(random.randint(1, 6))) for _ in range(120)})
+    patterns += ["*", "*.*", "no.*", "*.none.*", "a.b"]
+    df = spark.createDataFrame([(i,) for i in [*ids, None]], "id string").repartition(3)
+    rule = {p: re.compile("".join(r"(?:[^.]+\.)*" if x == "*" else re.escape(x) + r"\." for x in p.split("."))) for p in set(patterns)}
+    want = sorted((i, p) for i in ids for p, r in rule.items() if r.fullmatch(i + ".") and ("*" in p.split(".") or p == i))
+    many = hierarchy.path_match_many(df, "id", spark.createDataFrame([(p,) for p in [*patterns, None]], "pattern string"), "pattern")
+    assert sorted((r.id, r.pattern) for r in many.collect()) == want
+    for p in patterns[::7] + ["*", "*.*", "a.b"]:
+        one = [r.id for r in hierarchy.path_match(df, "id", p).collect()]
+        assert sorted(one) == [i for i, q in want if q == p]
+
+
+def test_ids_of_very_many_labels(spark):
+    long = ".".join(["x"] * 100_000)
+    df = spark.createDataFrame([(f"{long}.end",), (f"top.{long}",), ("top.end",)], "id string")
+    assert [r.id for r in hierarchy.path_match(df, "id", "top.*.x.*").collect()] == [f"top.{long}"]
+    assert hierarchy.path_match(df, "id", "*.x.*.x.*.end").count() == 1
+    patterns = spark.createDataFrame([("top.*.x.*",), ("*.end",), ("*.x.*.y.*",)], "pattern string")
+    got = {(r.id[:5], r.pattern) for r in hierarchy.path_match_many(df, "id", patterns, "pattern").collect()}
+    assert got == {("top.x", "top.*.x.*"), ("x.x.x", "*.end"), ("top.e", "*.end")}
+
+
+# --- all recorded cardinalities
+
+
+def test_cardinality_report_on_small_tables(spark):
+    frames = {
+        "a": spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, v string"),
+        "b": spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int"),
+        "none": spark.createDataFrame([], "k int"),
+    }
+    rels = [
+        ("ok", "a", ["k"], "b", ["k"], "many_to_one"), ("wrong", "a", ["k"], "b", ["k"], "one_to_one"), ("wide", "b", ["k"], "b", ["k"], "many_to_many"),
+        ("new", "b", ["k"], "a", ["k"], None), ("odd", "a", ["k"], "b", ["k"], "n:1"), ("lone", "a", ["v"], "b", ["k"], "one_to_one"),
+        ("empty", "a", ["k"], "none", ["k"], "one_to_one"),
+    ]
+    got = {r.rel_key: tuple(r)[4:] for r in consumers.cardinality_report(rels, frames).collect()}
+    assert got == {
+        "ok": ("many_to_one", "agrees", 2, 0, 1), "wrong": ("many_to_one", "contradicted", 2, 0, 1), "wide": ("one_to_one", "narrower", 3, 0, 0),
+        "new": ("one_to_many", "unrecorded", 2, 1, 0), "odd": ("many_to_one", "unknown value", 2, 0, 1),
+        "lone": (None, "no shared key", 0, None, None), "empty": (None, "no shared key", 0, None, None),
+    }
+    exact = {r.rel_key: tuple(r)[4:] for r in consumers.cardinality_report(rels, frames, exact=True).collect()}
+    assert exact == got | {"lone": (None, "no shared key", 0, 4, 3), "empty": (None, "no shared key", 0, 2, 0)}
