@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders made inside `scratch`, innermost last.
+_OPEN: list[list[str]] = []
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder the cluster names, or one in the warehouse; never one of a single machine."""
@@ -22,7 +27,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def staging_folder(spark: SparkSession) -> str:
     """A fresh folder for the tables of one run."""
-    return f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(folder)
+    return folder
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the staging folders made inside, once all went well: what is kept must be written elsewhere by then."""
+    _OPEN.append([])
+    try:
+        yield
+    except BaseException:
+        _OPEN.pop()
+        raise
+    for folder in _OPEN.pop():
+        drop_folder(spark, folder)
 
 
 def stage(df: DataFrame, folder: str, name: str, append: bool = False) -> DataFrame:

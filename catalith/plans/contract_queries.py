@@ -18,8 +18,6 @@ from catalith.plans.registry import query
 from catalith.sources import documented as S8
 from catalith.sources import files as S
 from catalith.sources.code_sets import CodeSets, TableShape
-from catalith.sources.state import conform
-from catalith.specs import RELATIONS
 
 # Relative paths by form, and what each is: (path, type, problem).
 PATH_FORMS = {
@@ -675,15 +673,3 @@ def documented_columns(spark, d):
     again = doc.where(V.mod("p_partkey", 9) == 0).withColumn("path", F.concat("path", F.lit("b")))
     # The same row read twice (once as file, once as shard listing) counts once.
     return S8.documentation_issues(S8.documented_columns([doc, again, doc])).select(*BRIEF)
-
-
-@query(
-    "read_state",
-    f"""with {V.CONCEPTS_SQL} select concept_id, coalesce(array_to_string(case when o_orderkey % 3 = 0 then related_object_ids end, ','), '')
-    as links, cast(null as varchar) as label from concepts""",
-)
-def read_state(spark, d):
-    links = F.when(V.mod("o_orderkey", 3) == 0, F.col("related_object_ids"))
-    stored = V.concepts(spark, d).select("concept_id", links.alias("related_object_ids"))
-    state = conform(stored, RELATIONS["concepts"])
-    return state.select("concept_id", F.array_join("related_object_ids", ",").alias("links"), "label")

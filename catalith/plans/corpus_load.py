@@ -7,6 +7,7 @@ earlier ones are clean.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -381,6 +382,25 @@ def diff_all(new: Corpus, state: Corpus) -> dict[str, DataFrame]:
     return {name: X.diff_relation(spec, new[name], state[name]) for name, spec in RELATIONS.items()}
 
 
+def all_digests(store: Store, new: Corpus) -> dict[str, dict[int, str]]:
+    """Digests of the new snapshot by relation and bucket; one job, one row a bucket."""
+    rows = [store.digests(spec, new[name]).withColumn("relation", F.lit(name)) for name, spec in RELATIONS.items()]
+    found: dict[str, dict[int, str]] = {name: {} for name in RELATIONS}
+    for r in reduce(DataFrame.unionByName, rows).collect():
+        found[r["relation"]][r["bucket"]] = r["digest"]
+    return found
+
+
+def diff_changed(store: Store, new: Corpus, digests: dict[str, dict[int, str]], load_id: int) -> dict[str, DataFrame]:
+    """The differences to a published run. Only buckets whose digest is another one are read and joined."""
+    changes = {}
+    for name, spec in RELATIONS.items():
+        buckets = store.changed_buckets(spec, digests[name], load_id)
+        rows = new[name].where(store.bucket_of(spec).isin(*buckets)) if buckets else new[name].where(F.lit(False))
+        changes[name] = X.diff_relation(spec, rows, store.state(spec, load_id, buckets))
+    return changes
+
+
 def guard(
     changes: dict[str, DataFrame], state: Corpus, fraction: float, min_count: int, allow_mass_delete: bool
 ) -> DataFrame:
@@ -427,7 +447,8 @@ def run_load(
     last = store.last_load()
     state = {name: store.state(spec, last) for name, spec in RELATIONS.items()}
     folder = staging_folder(spark)
-    changes = {name: stage(df, folder, f"changes_{name}") for name, df in diff_all(corpus, state).items()}
+    digests = all_digests(store, corpus)
+    changes = {name: stage(df, folder, f"changes_{name}") for name, df in diff_changed(store, corpus, digests, last).items()}
     found = guard(changes, state, fraction, min_count, allow_mass_delete)
     if not found.isEmpty():
         return LoadResult(found, changes)
@@ -444,6 +465,6 @@ def run_load(
 
     history = {n: Y.history_rows(c, stamp) for n, c in changes.items()}
     audit = Y.audit_row(list(changes.values()), load_id, commit_sha, stamp, reset_history)
-    store.publish(load_id, changes, new_rows, history, audit)
+    store.publish(load_id, changes, new_rows, history, audit, digests)
     return LoadResult(no_issues(spark), changes, load_id)
 

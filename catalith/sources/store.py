@@ -8,7 +8,8 @@
 The audit row is written last. Readers start from it, so a run that died in
 between is invisible, and the next run simply writes the same folders again.
 Only buckets that hold a changed key are rewritten: a small change to a very
-large relation costs a small write.
+large relation costs a small write. The pointers carry a digest of each bucket's authored
+rows; a new snapshot whose digest is the same need not be compared with it.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalith.functions.binding import compute_once
 from catalith.sources.state import empty_state
 from catalith.specs import AUDIT_SCHEMA, RELATIONS, TableSpec
 
-POINTER_SCHEMA = "relation string, bucket int, data_load_id bigint"
+POINTER_SCHEMA = "relation string, bucket int, data_load_id bigint, digest string"
+# Parts of a row's hash that are summed up apart, and their hexadecimal digits.
+PARTS, DIGITS = 4, 15
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,25 @@ class Store:
         path = jvm.org.apache.hadoop.fs.Path(self.path(*parts))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
+    def digests(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
+        """(bucket, digest): what the authored columns of a bucket's rows are, in whatever order the rows come.
+
+        Each row's hash is cut into numbers, and a bucket's digest is made of their sums:
+        equal rows give equal sums, partial sums combine before the shuffle, and one row
+        a bucket is all that is gathered.
+        """
+        image = F.to_json(F.struct(*spec.columns), {"ignoreNullFields": "false"})
+        rows = compute_once(rows.select(self.bucket_of(spec), *spec.columns), {"_hash": F.sha2(image, 256)})
+        part = lambda k: F.conv(F.substring("_hash", DIGITS * k + 1, DIGITS), 16, 10).cast("decimal(20,0)")
+        sums = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(part(k)).alias(f"_{k}") for k in range(PARTS)])
+        text = F.concat_ws(",", *[F.col(c).cast("string") for c in ("_n", *(f"_{k}" for k in range(PARTS)))])
+        return sums.select("bucket", F.sha2(text, 256).alias("digest"))
+
+    def changed_buckets(self, spec: TableSpec, digests: dict[int, str], load_id: int) -> list[int]:
+        """Buckets whose rows are not what a run published: the only ones that need be compared."""
+        held = {p.bucket: p.digest for p in self.pointers(load_id).where(F.col("relation") == spec.name).collect()}
+        return sorted(b for b in digests.keys() | held.keys() if b not in held or held[b] is None or digests.get(b) != held[b])
+
     def bucket_of(self, spec: TableSpec) -> Column:
         return F.pmod(F.xxhash64(*spec.key), F.lit(self.buckets).cast("bigint")).cast("int").alias("bucket")
 
@@ -98,15 +121,17 @@ class Store:
         apply,
         history: dict[str, DataFrame],
         audit_row: DataFrame,
+        digests: dict[str, dict[int, str]] | None = None,
     ) -> None:
         """Write one run: touched buckets, history, pointers, and last the audit row.
 
         `apply(spec, current_rows, changes)` gives the new rows of the touched
-        buckets.
+        buckets. `digests` are those of the new snapshot, by relation and bucket; a
+        bucket without one is compared by the next run in any case.
         """
         last = self.last_load()
-        before = {(p.relation, p.bucket): p.data_load_id for p in self.pointers(last).collect()}
-        after = dict(before)
+        digests = digests or {}
+        after = {(p.relation, p.bucket): (p.data_load_id, p.digest) for p in self.pointers(last).collect()}
         for name, change in changes.items():
             spec = RELATIONS[name]
             touched = [r.bucket for r in change.select(self.bucket_of(spec)).distinct().collect()]
@@ -127,10 +152,10 @@ class Store:
                 # A bucket that lost its last row has no folder and no pointer.
                 after.pop((name, b), None)
                 if self.has("state", name, f"load_id={load_id}", f"bucket={b}"):
-                    after[(name, b)] = load_id
+                    after[(name, b)] = (load_id, digests.get(name, {}).get(b))
         for name, rows in history.items():
             rows.write.mode("overwrite").parquet(self.path("history", name, f"load_id={load_id}"))
-        pointer_rows = [(r, b, v) for (r, b), v in sorted(after.items())]
+        pointer_rows = [(r, b, *v) for (r, b), v in sorted(after.items())]
         self.spark.createDataFrame(pointer_rows, POINTER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             self.path("pointers", f"load_id={load_id}")
         )

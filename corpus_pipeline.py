@@ -1,7 +1,13 @@
 """The corpus pipeline: five stages, each a written table that the next one reads.
 
 Every stage but the last returns the columns of `documents`, with the rows and texts that
-its decisions leave.
+its decisions leave; further columns are left out, whatever their names.
+
+Null, empty and wordless texts fail the base rule of quality and go there; texts of any
+length are judged whole. Equal rows of one id and text stay once; rows of one id and
+several texts, and rows with a null id, are judged by their text. Ties between copies go
+to the smallest id. Empty tables give empty tables; without labels only the base rule
+rejects, without a benchmark nothing is cut.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.checkpoints import stage, staging_folder
+from catalith.checkpoints import drop_folder, scratch, stage, staging_folder
 from catalith.llm import byte_bpe, decontaminate, near_dedup, quality_rules, secret_scans
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -60,9 +66,12 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
-    folder = staging_folder(spark)
-    for i, (name, function) in enumerate(STAGES):
-        docs = function(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stage(docs, folder, name.replace(" ", "_"))
-    return docs
+    folder, before = staging_folder(spark), None
+    for name, function in STAGES[:-1]:
+        # Once a stage is written, what it was made from and its own tables go.
+        with scratch(spark):
+            docs = stage(function(spark, docs, sf_dir), folder, name.replace(" ", "_"))
+        if before:
+            drop_folder(spark, before)
+        before = f"{folder}/{name.replace(' ', '_')}"
+    return STAGES[-1][1](spark, docs, sf_dir)

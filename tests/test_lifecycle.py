@@ -45,7 +45,7 @@ def audit(store):
     ]
 
 
-def test_life_of_a_store(spark, corpus_root, tmp_path):
+def test_life_of_a_store(spark, corpus_root, tmp_path, monkeypatch):
     store = Store(spark, str(tmp_path / "store"), buckets=4)
     shop = corpus_root / "sources/shop"
 
@@ -54,6 +54,13 @@ def test_life_of_a_store(spark, corpus_root, tmp_path):
         assert [r.asDict() for r in result.issues.collect()] == []
         return result
 
+    read, plain = [], Store.state
+
+    def state(self, spec, load_id=None, only=None):
+        read.append((spec.name, only))
+        return plain(self, spec, load_id, only)
+
+    monkeypatch.setattr(Store, "state", state)
     # A dry run writes nothing.
     assert run("dry", 0, dry_run=True).load_id is None
     assert store.last_load() == 0
@@ -71,8 +78,10 @@ def test_life_of_a_store(spark, corpus_root, tmp_path):
     junk.drop("bucket").withColumn("end_ts", F.col("update_ts")).write.parquet(store.path("history", "tables", "load_id=2"))
     assert store.last_load() == 1 and store.state(spec).count() == 3 and store.history(spec).count() == 0
 
-    # The same corpus again changes nothing and still leaves an audit row.
+    # The same corpus again changes nothing and still leaves an audit row. Nothing is compared: all digests are equal.
+    read.clear()
     run("same", 2)
+    assert {name: only for name, only in read if only is not None} == dict.fromkeys(RELATIONS, [])
     assert audit(store)[-1] == (2, "same", 0, 0, 0, False)
     assert store.state(spec).count() == 3 and store.history(spec).count() == 0
 
@@ -81,7 +90,12 @@ def test_life_of_a_store(spark, corpus_root, tmp_path):
     edit(tables, "  description: buyers\n", "  description: all buyers\n  update_reason: clearer words\n")
     places.write_text("- system: lake\n  schemas:\n    main: main_v2\n")
     edit(rels, "validated: false", "validated: true\n  update_reason: checked")
+    read.clear()
     run("words", 3)
+    # A changed row opens its own bucket only.
+    opened = {name: only for name, only in read if only}
+    assert {name: len(b) for name, b in opened.items()}.keys() == {"tables", "deployment_tables", "table_relationships"}
+    assert len(opened["tables"]) == len(opened["table_relationships"]) == 1
     assert audit(store)[-1][2:5] == (0, 4, 0)
     row = store.state(spec).where("table_id = 'shop.main.buyer'").first()
     assert (row.description, row.insert_ts.hour, row.update_ts.hour) == ("all buyers", 1, 3)
@@ -123,6 +137,46 @@ def test_life_of_a_store(spark, corpus_root, tmp_path):
     assert rules(refused) == ["reason_discipline"] and store.last_load() == 5
 
 
+def test_digests_of_buckets(spark):
+    spec, store = RELATIONS["concepts"], Store(spark, "/nowhere", buckets=3)
+    rows = [(f"s.concept.k{i}", None if i % 3 else "L", "d", None, [f"a{i}", "b"], None) for i in range(50)]
+
+    def digests(rows, **kw):
+        df = spark.createDataFrame(rows, spec.authored_schema()).repartition(kw.get("parts", 2))
+        return {r.bucket: r.digest for r in store.digests(spec, df).collect()}
+
+    base = digests(rows)
+    assert base == digests(rows[::-1], parts=7) and len(base) == 3
+    assert digests([]) == {}
+
+    def moved(change):
+        other = digests(change)
+        return {b for b in base if base[b] != other.get(b)}
+
+    # One row more, one twice, another label, a list in another order, an empty text for NULL: one bucket each.
+    for change in (rows[1:], [*rows, rows[0]], [(*rows[0][:1], "x", *rows[0][2:]), *rows[1:]], [(*rows[0][:4], ["b", "a0"], None), *rows[1:]], [(*rows[0][:3], "", *rows[0][4:]), *rows[1:]]):
+        assert len(moved(change)) == 1
+
+
+def test_scratch_folders_go_when_all_went_well(spark):
+    from catalith.checkpoints import scratch, stage, staging_folder
+
+    def there(folder):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    outer = staging_folder(spark)
+    with scratch(spark):
+        inner = staging_folder(spark)
+        kept = stage(stage(spark.range(3), inner, "a"), outer, "b")
+    assert not there(inner) and there(outer) and kept.count() == 3
+    with pytest.raises(KeyError), scratch(spark):
+        inner = staging_folder(spark)
+        stage(spark.range(3), inner, "a")
+        raise KeyError
+    assert there(inner)
+
+
 def test_wave_one_reports_everything_at_once(spark, corpus_root):
     shop = corpus_root / "sources" / "shop"
     edit(shop / "data_source.yaml", "owner: sales team", "ownr: sales team")
