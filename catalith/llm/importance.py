@@ -42,8 +42,11 @@ BUCKETS = 10_000
 MIN_WORDS = 20
 SHARE = (5, 100)  # of the documents that are long enough
 SEED = 42
-# Fixed value: what separates words, as bytes of UTF-8 after lower-casing; no byte of another character is among them.
-SEPARATORS = rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Bytes of UTF-8 with A to Z in lower case, and a space for each byte 00-2F, 3A-60 and 7B-7F that is left then: what
+# separates words. No byte of another character is among them.
+FOLDED = bytes(
+    c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256)
+)
 # Buckets that are put out at once.
 BLOCK = 1 << 20
 
@@ -55,26 +58,28 @@ class Scan:
         import regex
 
         self.buckets = buckets
-        self.collapse = regex.compile(SEPARATORS).sub
         more = ""
         for _ in range(max_gram - 1):
             more = f"(?:( [^ ]++){more})?+"
         # Group k holds what the run of k words has more than that of k - 1; so the spans of all runs start at group 1.
         self.runs = regex.compile(rf"(?<![^ ])([^ ]++){more}(?![^ ])".encode()).finditer
 
-    def checksums(self, raw: bytes) -> Iterator[int]:
+    def checksums(self, raw: bytes) -> list[int]:
         """The checksum of each run, word by word, shorter runs first."""
-        text = self.collapse(b" ", raw.lower()).strip(b" ")
+        # Lower-cased, every separator a space, and one space between words.
+        text = b" ".join(raw.translate(FOLDED).split())
+        out = []
         for match in self.runs(text, overlapped=True):
             crc = 0
             for piece in match.groups():
                 if piece is None:
                     break
                 crc = crc32(piece, crc)
-                yield crc
+                out.append(crc)
+        return out
 
     def features(self, raw: bytes) -> np.ndarray:
-        return (np.fromiter(self.checksums(raw), np.uint32) % np.uint32(self.buckets)).astype("<u2")
+        return (np.array(self.checksums(raw), np.uint32) % np.uint32(self.buckets)).astype("<u2")
 
 
 def _words(features: int, max_gram: int) -> int:
@@ -115,8 +120,7 @@ def bucket_counts(found: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for grams in batch.column(0):
-                total += np.bincount(np.frombuffer(grams.as_buffer(), "<u2"), minlength=buckets)
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u2"), minlength=buckets)
         held = np.flatnonzero(total)
         yield pa.record_batch([pa.array(held.astype(np.int32)), pa.array(total[held])], ["bucket", "n"])
 
