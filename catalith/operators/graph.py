@@ -63,6 +63,50 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return nodes.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
+def updated_components(
+    labels: DataFrame, edges: DataFrame, a: str, b: str, inserted: DataFrame, deleted: DataFrame
+) -> DataFrame:
+    """What `connected_components(edges)` would give, from the labels before an edit.
+
+    `labels` (node, component) are those of the edges before; `edges` are all edges after;
+    `inserted` and `deleted` are the difference. Only components that lost an edge are
+    searched anew, inside themselves. Inserted edges then are edges between components:
+    the components they join are found on that small graph, and renamed. Everything else
+    keeps its label unread, but for one join that a rename needs.
+
+    Edges may repeat and may join a node to itself. An edge counts as lost as soon as it is
+    in `deleted`, even if an equal one is left; that costs work, never a wrong label.
+    """
+    spark = edges.sparkSession
+    folder = staging_folder(spark)
+
+    def ends(df: DataFrame) -> DataFrame:
+        return df.select(F.explode(F.array(a, b)).alias("node")).distinct()
+
+    lost = ends(deleted).join(labels, "node").select("component").distinct()
+    lost = stage(lost, folder, "lost")
+    if lost.isEmpty():
+        kept = labels
+    else:
+        kept = labels.join(lost, "component", "left_anti").select("node", "component")
+        torn = labels.join(lost, "component", "left_semi").select("node")
+        # All edges of a torn component's nodes: both ends lie in it, or one is new and comes by an inserted edge.
+        own = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+        inside = own.join(torn.withColumnRenamed("node", "u"), "u", "left_semi").join(torn.withColumnRenamed("node", "v"), "v", "left_semi")
+        kept = kept.unionByName(connected_components(inside, "u", "v"))
+    kept = stage(kept, folder, "kept")
+    new = inserted.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    if new.isEmpty():
+        return kept
+    home = lambda name: kept.select(F.col("node").alias(name), F.col("component").alias(f"{name}_home"))
+    placed = new.join(home("u"), "u", "left").join(home("v"), "v", "left")
+    joined = placed.select(F.coalesce("u_home", "u").alias("u"), F.coalesce("v_home", "v").alias("v")).distinct()
+    merged = stage(connected_components(joined, "u", "v").toDF("component", "_into"), folder, "merged")
+    fresh = ends(inserted).join(kept.select("node"), "node", "left_anti").withColumn("component", F.col("node"))
+    renamed = kept.unionByName(fresh).join(merged, "component", "left")
+    return renamed.select("node", F.coalesce("_into", "component").alias("component"))
+
+
 def linkable_tables(
     exprs: DataFrame, tables_col: str, key: str, components: DataFrame, tables: DataFrame
 ) -> DataFrame:

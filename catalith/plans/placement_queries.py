@@ -251,6 +251,19 @@ def connected_components(spark, d):
     return G.connected_components(_edges(spark, d), "a", "b")
 
 
+@query("updated_components", f"with recursive {EDGES_SQL} select node, component from components")
+def updated_components(spark, d):
+    """The same graph, reached from another one: some edges are taken out of it, others come in."""
+    after = _edges(spark, d).distinct()
+    gone = V.mod(F.xxhash64("a", "b"), 50) == 0
+    # Before: without one edge in fifty, and with others that joined neighbouring brands.
+    extra = after.where(V.mod(F.xxhash64("b"), 40) == 0).select("a", (F.col("b") + 1).alias("b"))
+    extra = extra.join(after, ["a", "b"], "left_anti").distinct()
+    before = after.where(~gone).unionByName(extra)
+    labels = G.connected_components(before, "a", "b")
+    return G.updated_components(labels, after, "a", "b", inserted=after.where(gone), deleted=extra)
+
+
 @query(
     "linkable_tables",
     f"""with recursive {EDGES_SQL}, {V.EXPRESSION_TABLES_SQL}, {V.DOC_TABLES_SQL},

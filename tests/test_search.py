@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from catalith.operators import consumers, hierarchy, history, intervals, join_paths
+from catalith.operators import consumers, graph, hierarchy, history, intervals, join_paths
 
 DAY = datetime(2020, 1, 1)
 
@@ -221,3 +221,38 @@ def test_cardinality_report_on_small_tables(spark):
     }
     exact = {r.rel_key: tuple(r)[4:] for r in consumers.cardinality_report(rels, frames, exact=True).collect()}
     assert exact == got | {"lone": (None, "no shared key", 0, 4, 3), "empty": (None, "no shared key", 0, 2, 0)}
+
+
+# --- components between loads
+
+
+def test_components_follow_random_edits(spark):
+    random.seed(6)
+    node = lambda: random.randint(0, 45)
+    edges = [(node(), node()) for _ in range(40)]
+    frame = lambda rows: spark.createDataFrame(rows, "a int, b int")
+    labels = graph.connected_components(frame(edges), "a", "b")
+    for turn in range(6):
+        out = random.sample(edges, [0, 6, 12, 0, len(edges), 3][turn] if turn != 5 else min(3, len(edges)))
+        new = [(node(), node()) for _ in range([5, 0, 8, 0, 20, 9][turn])]
+        left = list(edges)
+        for e in out:
+            left.remove(e)
+        edges = left + new
+        labels = graph.updated_components(labels, frame(edges), "a", "b", frame(new), frame(out))
+        labels = spark.createDataFrame(labels.collect(), "node int, component int")
+        want = graph.connected_components(frame(edges), "a", "b")
+        assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_untouched_components_are_not_searched(spark, monkeypatch):
+    chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (200, 201)]
+    frame = lambda rows: spark.createDataFrame(rows, "a int, b int")
+    labels = graph.connected_components(frame(chain), "a", "b")
+    seen, full = [], graph.connected_components
+    monkeypatch.setattr(graph, "connected_components", lambda e, a, b: seen.append(e.count()) or full(e, a, b))
+    after = [e for e in chain if e != (101, 102)] + [(200, 100)]
+    got = graph.updated_components(labels, frame(after), "a", "b", frame([(200, 100)]), frame([(101, 102)]))
+    assert {r.node: r.component for r in got.collect()} == {i: 0 for i in range(61)} | {100: 100, 101: 100, 200: 100, 201: 100}
+    # The torn component's one edge, and one edge between components: never the long chain.
+    assert seen == [1, 1]
