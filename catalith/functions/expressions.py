@@ -19,8 +19,10 @@ _SIGN = r"(?:\+|-(?!-))"
 _TOKEN = (
     r"(?s)[eE]'(?:[^'\\]++|\\.|'')*+'"  # literal with escapes
     r"|'[^']*+(?:''[^']*+)*+'"  # literal
-    r"|\$(?<tag>(?:[\p{L}_][\p{L}\p{N}_]*+)?)\$.*?\$\k<tag>\$"  # dollar-quoted literal
-    r"|--[^\n]*+|/\*.*?\*/"  # comment
+    # A dollar-quoted literal or a comment that is never closed takes the rest, as it would in a database: so
+    # the end is looked for once, however many openings there are.
+    r"|\$(?<tag>(?:[\p{L}_][\p{L}\p{N}_]*+)?)\$(?:[^$]++|\$(?!\k<tag>\$))*+(?:\$\k<tag>\$|\z)"
+    r"|--[^\n]*+|/\*(?:[^*]++|\*(?!/))*+(?:\*/|\z)"
     rf"|{_NAME}(?:\s*+\.\s*+{_NAME})*+(?:\s*+\()?"  # name chain, or a call with its bracket
     r"|[0-9]++(?:\.[0-9]*+)?(?:[eE][+-]?[0-9]++)?|\.[0-9]++"  # number
     r"|[(),;\[\]]"
@@ -67,6 +69,20 @@ SQL_WORDS = (
     "truncate", "table",
 )
 
+# Those of them that are not reserved, so that they do name a column where a value is due.
+SOFT_WORDS = (
+    "at", "by", "delete", "drop", "escape", "filter", "following", "insert", "interval", "merge", "nulls", "of", "over",
+    "partition", "preceding", "range", "row", "rows", "set", "truncate", "unbounded", "unknown", "update", "values",
+    "within", "without", "alter",
+)
+# What a value may stand behind, and what may follow one.
+BEFORE_VALUE = ("", "(", "[", ",", "and", "or", "not", "when", "then", "else", "case", "between", "like", "ilike", "where", "on", "having")
+AFTER_VALUE = (
+    "", ")", "]", ",", "::", "and", "or", "is", "in", "like", "ilike", "between", "not", "isnull", "notnull", "when", "then",
+    "else", "end", "collate", "asc", "desc",
+)
+_OPERATOR = r"\A[-+*/<>=~!@#%^&|`?]++\z"
+
 # Words that name no column only next to each other.
 WORD_PAIRS = (
     "time zone", "double precision", "character varying", "char varying", "bit varying", "nulls first",
@@ -133,8 +149,12 @@ def bare_name_tokens(toks: Column) -> Column:
         def names_a_column(t: Column, i: Column) -> Column:
             word = F.get(lower, i)
             before, after = (F.coalesce(F.get(lower, i + k), F.lit("")) for k in (-1, 1))
+            # By position: `range > 1` compares a column, `order by x range between` does not.
+            starts = (before.isin(*BEFORE_VALUE) | before.endswith("(") | before.rlike(_OPERATOR)) & ~before.rlike(r"\Aover\s*\(\z")
+            ends = after.isin(*AFTER_VALUE) | after.rlike(_OPERATOR) | after.rlike(r"\Ain\s*\(\z")
+            soft = word.isin(*SOFT_WORDS) & starts & ends
             no_column = (
-                word.isin(*SQL_WORDS, *CONTEXT_KEYWORDS)
+                (word.isin(*SQL_WORDS, *CONTEXT_KEYWORDS) & ~soft)
                 | before.isin("::", "as", "collate")  # a type, or a collation
                 | before.rlike(r"\Aextract\s*\(\z")  # a field
                 | after.startswith("'")  # the type of a literal

@@ -233,6 +233,19 @@ def test_expression_tokens_of_any_length(spark):
     assert [r[0] for r in df.select(F.size(E.tokens(F.col("e")))).collect()] == list(long_texts.values())
 
 
+def test_expression_text_that_is_never_closed_is_cut_in_one_go(spark):
+    import time
+
+    from catalith.functions import expressions as E
+
+    texts = ["".join(f"$t{i}$ " for i in range(20_000)), "/* " * 100_000, "$$ $a$ " * 20_000, "a /* b", "$x$ a.b.c.d"]
+    df = spark.createDataFrame([(t,) for t in texts], "e string").coalesce(1)
+    start = time.monotonic()
+    got = [r[0] for r in df.select(E.tokens(F.col("e"))).collect()]
+    assert time.monotonic() - start < 20
+    assert got[0] == [texts[0]] and got[1] == [] and len(got[2]) == 13_334 and got[3] == ["a"] and got[4] == [texts[4]]
+
+
 def test_expression_names_by_position(spark):
     from catalith.functions import expressions as E
 
@@ -241,6 +254,12 @@ def test_expression_names_by_position(spark):
         "s.m.t.c collate \"C\" = 'x'": ([], True), "date = s.m.t.c": (["date"], True), "year > 3": (["year"], True),
         "$q$a.b.c$q$ = s.m.t.c": ([], True), "E'it\\'s a.b.c'": ([], False), "date '2020-01-01' < s.m.t.c": ([], True),
         "s.m.t.c::timestamp with time zone at time zone 'utc'": ([], False), "interval '1' day + s.m.t.c": ([], False),
+        "range > s.m.t.c": (["range"], True), "filter = s.m.t.c": (["filter"], True), "s.m.t.c = values": (["values"], True),
+        "s.m.t.c is unknown": ([], True), "s.m.t.c = unknown": (["unknown"], True), "coalesce(row, s.m.t.c)": (["row"], False),
+        "sum(s.m.t.c) filter (where s.m.t.d > 1)": ([], False), "s.m.t.c like 'a' escape 'b'": ([], True),
+        "sum(s.m.t.c) over (partition by s.m.t.d order by s.m.t.e rows between unbounded preceding and current row)": ([], False),
+        "sum(s.m.t.c) over (range between 1 preceding and 2 following)": ([], False), "interval > 3": (["interval"], True),
+        "(s.m.t.c, set) = (1, 2)": (["set"], True), "s.m.t.c in (select 1)": ([], True), "not over": (["over"], True),
     }
     df = spark.createDataFrame([(t,) for t in cases], "e string").coalesce(1)
     rows = df.select(E.badly_qualified(F.col("e")), E.is_predicate(F.col("e"))).collect()
