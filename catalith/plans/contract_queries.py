@@ -655,21 +655,43 @@ def manifest_reconcile(spark, d):
     return C.manifest_reconcile(manifest.union(again), applied.union(gone), allowed)
 
 
+# Authored rows of two columns per line of the catalogue: every ninth twice, some malformed, some outside a schema folder.
+DOCUMENTED_SQL = """rows as (
+    select p_partkey as k, 's' || (p_size % 2) as schema, 't' || (p_partkey // 2) as "table", 'c' || (p_partkey % 2) as name, 0 as row_no from part
+    union all select p_partkey, 's' || (p_size % 2), 't' || (p_partkey // 2), 'c' || (p_partkey % 2), 1 from part where p_partkey % 9 = 0),
+  judged as (select *, 'path' || k as path, case when k % 31 = 0 then 'unreadable: ParserError' when k % 17 = 0 then 'malformed: data_type'
+      when k % 19 = 0 then 'malformed: is_nullable, is_primary_key' when k % 23 = 0 then 'outside a schema folder' end as problem from rows),
+  doc as (select * from judged where problem is null),
+  homes as (select "table", min(schema) as low, max(schema) as high from doc group by 1)"""
+
+
 @query(
     "documented_columns",
-    """with doc as (select p_partkey, 't' || (p_partkey // 2) as "table", 'c' || (p_partkey % 2) as name, 's' || (p_size % 2) as schema
-      from part), homes as (select "table", count(distinct schema) as n, min(schema) as low, max(schema) as high from doc group by 1)
-    select 'table_in_two_schemas' as rule, "table" as object_key, low || ',' || high as detail from homes where n > 1
-    union all select 'duplicate_column', "table" || '|' || name, '2' from doc where p_partkey % 9 = 0""",
+    f"""with {DOCUMENTED_SQL}
+    select 'table_in_two_schemas' as rule, "table" as object_key, low || ',' || high as detail from homes where low <> high
+    union all select 'duplicate_column', "table" || '|' || name, cast(count(*) as varchar) from doc group by "table", name having count(*) > 1
+    union all select 'documented_rows', path || '#' || row_no, problem from judged where problem is not null""",
 )
 def documented_columns(spark, d):
-    doc = V.table(spark, d, "part").select(
-        "p_partkey",
-        F.concat(F.lit("path"), V.text("p_partkey")).alias("path"),
-        F.concat(F.lit("s"), V.text(V.mod("p_size", 2))).alias("schema"),
-        F.concat(F.lit("t"), V.text(F.floor(F.col("p_partkey") / 2))).alias("table"),
-        F.concat(F.lit("c"), V.text(V.mod("p_partkey", 2))).alias("name"),
-    )
-    again = doc.where(V.mod("p_partkey", 9) == 0).withColumn("path", F.concat("path", F.lit("b")))
-    # The same row read twice (once as file, once as shard listing) counts once.
-    return S8.documentation_issues(S8.documented_columns([doc, again, doc])).select(*BRIEF)
+    """Documentation from authored rows, with what is malformed in them. The same row reached by two readers counts once."""
+    p, k = V.table(spark, d, "part"), "p_partkey"
+    nothing = F.lit(None).cast("string")
+    yes = F.lit("true")
+    body = F.create_map(
+        F.lit("table_name"), F.concat(F.lit("t"), V.text(F.floor(F.col(k) / 2))), F.lit("column_name"), F.concat(F.lit("c"), V.text(V.mod(k, 2))),
+        F.lit("data_type"), F.lit("text"), F.lit("is_nullable"), yes, F.lit("is_primary_key"), yes,
+    )
+    odd = V.mod(k, 19) == 0
+    kinds = F.create_map(
+        F.lit("table_name"), F.lit("text"), F.lit("column_name"), F.lit("text"), F.lit("data_type"), F.when(V.mod(k, 17) == 0, "null").otherwise("text"),
+        F.lit("is_nullable"), F.when(odd & (V.mod(k, 17) != 0), "int").otherwise("bool"), F.lit("is_primary_key"), F.when(odd & (V.mod(k, 17) != 0), "text").otherwise("bool"),
+    )
+    rows = p.select(
+        F.concat(F.lit("path"), V.text(k)).alias("rel"),
+        F.when(V.mod(k, 23) != 0, F.concat(F.lit("s"), V.text(V.mod("p_size", 2)))).alias("schema"),
+        F.explode(F.when(V.mod(k, 9) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("row_no"),
+        body.alias("body"), kinds.alias("kinds"), F.when(V.mod(k, 31) == 0, "unreadable: ParserError").otherwise(nothing).alias("error"),
+    )
+    good, malformed = S8.documented_rows(rows)
+    found = S8.documentation_issues(S8.documented_columns([good, good]))
+    return found.unionByName(malformed).select(*BRIEF)

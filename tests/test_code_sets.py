@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalith.operators import code_sets as K
 from catalith.operators.contract import freshness
 from catalith.plans.code_set_load import load_files
-from catalith.sources import contract_csv
+from catalith.sources import contract_csv, documented
 from catalith.sources.code_sets import CodeSets, TableShape, freshness_ledger
 
 from .conftest import write
@@ -217,3 +217,29 @@ def test_load_of_files(spark, tmp_path):
     assert load(4).load_id == 2 and [r[1] for r in held(store)["level"]] == ["seven"] and held(store, 1) == rows
     with pytest.raises(K.ExemptionsNeedDryRun):
         load(5, exemptions=exempt(spark, (K.DROPPED, "kind")))
+
+
+def test_documentation_of_a_folder(spark, tmp_path):
+    root = tmp_path / "docs"
+    row = "- table_name: {}\n  column_name: {}\n  data_type: text\n  is_nullable: {}\n"
+    write(root / "ref" / "columns.yaml", row.format("kind", "code", "false") + "  is_primary_key: true\n" + row.format("kind", "name", "true"))
+    write(root / "ref" / "columns" / "columns.yaml", row.format("level", "code", "false"))
+    write(root / "ref" / "columns" / "more.yaml", row.format("level", "code", "true") + row.format("level", "x", "'yes'") + "- 7\n")
+    write(root / "ref" / "deep" / "columns" / "odd.yaml", "a: [")
+    write(root / "other" / "columns.yaml", row.format("kind", "extra", "true"))
+    write(root / "columns.yaml", row.format("lost", "code", "true"))
+    write(root / "ref" / "tables.yaml", "- table_name: kind\n")
+    write(root / "ref" / "columns" / "notes.txt", "x")
+    docs, issues = documented.read_documentation(spark, str(root))
+    got = sorted((r.schema, r.table, r.name, r.type, r.nullable, r.is_pk) for r in docs.collect())
+    assert got == [
+        ("other", "kind", "extra", "text", True, False), ("ref", "kind", "code", "text", False, True), ("ref", "kind", "name", "text", True, False),
+        ("ref", "level", "code", "text", False, False), ("ref", "level", "code", "text", True, False),
+    ]
+    assert {(i.rule, i.object_key, i.detail.split(":")[0]) for i in issues.collect()} == {
+        ("duplicate_column", "level|code", "2"), ("table_in_two_schemas", "kind", "other,ref"),
+        ("documented_rows", "ref/columns/more.yaml#1", "malformed"), ("documented_rows", "ref/columns/more.yaml#2", "expected a mapping per row"),
+        ("documented_rows", "ref/deep/columns/odd.yaml#0", "unreadable"), ("documented_rows", "columns.yaml#0", "outside a schema folder"),
+    }
+    with pytest.raises(FileNotFoundError):
+        documented.read_documentation(spark, str(tmp_path / "nowhere"))
