@@ -19,11 +19,18 @@ from pyspark.sql import functions as F
 from catalith.checkpoints import drop_folder, scratch, stage, staging_folder
 from catalith.llm import byte_bpe, decontaminate, near_dedup, quality_rules, secret_scans
 
+# Texts are long: what goes to a Python worker at once is bounded by fewer rows and bytes than Spark's own defaults.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Word windows, signatures and learned rules have no SQL form; the tests hold the result against brute force.
 ORACLE_SQL = None
 
 
+def _small_batches(spark: SparkSession) -> None:
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or a learned rule rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -34,12 +41,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id; equal rows of one id and text stay once."""
+    _small_batches(spark)
     # Texts are not shuffled again: who goes is a bit table first, and an exact list where it says so.
     return near_dedup.without(docs, near_dedup.judged(docs)).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; a document with nothing else goes."""
+    _small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.cut_hits(docs.select(*COLUMNS), benchmark, length="n_chars")
 
@@ -51,6 +60,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, with digests of the ids and of what they decode to."""
+    _small_batches(spark)
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
 
