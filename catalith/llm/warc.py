@@ -4,7 +4,8 @@ Writing: equal payloads (told apart by SHA-256 and length) share one response re
 of the largest page id; the others become revisit records that name it. Each output
 partition is sorted by URL key, capture time and page id and written by Spark's text
 writer, one record after another, as one gzip file on whatever store Spark can reach. So
-every file is a locally sorted capture run.
+every file is a locally sorted capture run. A file takes as many records as `FILE_BYTES`
+holds of the size that one page in a thousand exceeds; a task that has more begins another.
 
 Reading: files come back as whole binary rows and are walked record by record by their
 declared lengths, so a payload may hold anything, also text that looks like a record. The
@@ -17,7 +18,8 @@ many captures is cut by time and id.
 Null payloads are empty. A null URL is written as `urn:x-capture:none`, blanks and control
 characters in URLs are escaped. Equal page ids with equal payloads are each a response. A
 null page id stays null; it never becomes the response of others unless all are null.
-Columns besides id, URL, payload and time are not archived, whatever their names.
+Columns besides id, URL, payload and time are not archived, whatever their names. An empty
+table gives an empty index.
 """
 
 from __future__ import annotations
@@ -46,6 +48,8 @@ ID_PREFIX = "urn:x-capture:page:"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_END = "\r\n\r\n"
 ROWS_PER_RANGE = 100_000
+# Payload of one archive, so that a file fits a row when it is read back, with room for large pages beside each other.
+FILE_BYTES, LARGE_SHARE, HEAD_BYTES = 64 << 20, 0.999, 1024
 ENTRY = (
     "page_id string, target string, captured string, record_type string, refers_to string, payload_bytes bigint,"
     " payload_digest string, run string, offset bigint, length bigint"
@@ -112,12 +116,22 @@ def _record() -> Column:
 
 
 def write_archives(
-    pages: DataFrame, folder: str, captured: Column, page: str = "page_id", url: str = "url", payload: str = "html", min_bytes: int = 0
+    pages: DataFrame,
+    folder: str,
+    captured: Column,
+    page: str = "page_id",
+    url: str = "url",
+    payload: str = "html",
+    min_bytes: int = 0,
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write one record per page into gzip WARC files below `folder`."""
+    size = pages.agg(F.percentile_approx(F.octet_length(payload), LARGE_SHARE)).first()[0] or 0
+    most = max(1, file_bytes // (size + HEAD_BYTES))
     rows = _decided(pages, page, url, payload, captured, min_bytes)
     sorted_runs = rows.sortWithinPartitions(url_key(F.col("target")), "captured", "page")
-    sorted_runs.select(_record().alias("value")).write.option("compression", "gzip").option("lineSep", RECORD_END).text(folder)
+    lines = sorted_runs.select(_record().alias("value")).write.option("maxRecordsPerFile", most)
+    lines.option("compression", "gzip").option("lineSep", RECORD_END).text(folder)
 
 
 def _lines(data: io.BufferedIOBase) -> tuple[list[bytes], int]:
