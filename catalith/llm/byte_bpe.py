@@ -9,13 +9,17 @@ until no pair of a word is left. Ordered aggregation gives a word's tokens, and,
 
 The merge table holds, for each token, every cut into two tokens, so a pair's rank is
 the rank of its joined bytes, as in the public library. A round costs as much as all
-words that still change, and a word of n bytes may take n rounds. Words of more than
-`LONG_WORD` bytes (endless letters or spaces) are therefore contracted outside the
-query, by the same rule over a heap: n log n instead of n squared.
+words that still change, and a word of n bytes may take n rounds: with room for longer
+words the same query took 0.05 s for a word of 64 bytes, 0.17 s for 256 and 0.86 s for 1024,
+the heap 5 ms for the last. Several contractions a round would not be right: in this
+vocabulary a fifth of the merges has a smaller rank than one of its parts, so a contraction
+may call for another one before its equals further right. Words of more than `LONG_WORD`
+bytes (endless letters or spaces) are therefore contracted outside the query, by the same
+rule over a heap: n log n instead of n squared.
 
 Null and empty texts have no tokens and decode to nothing. Strings that look like
 special tokens are ordinary text. Texts of any length are taken whole; repeated rows are
-encoded each. Other columns are not read.
+encoded each. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LONG_WORD = 64  # also the factor of places in CONTRACT
 # Bytes that the words a task remembers may take, bytes of words that one query contracts,
 # and bytes of text handled at once.
-REMEMBERED_BYTES, QUERY_BYTES, BLOCK_BYTES = 32 << 20, 1 << 19, 1 << 20
+REMEMBERED_BYTES, QUERY_BYTES, BLOCK_BYTES = 24 << 20, 1 << 18, 1 << 20
 # What a remembered word takes besides its own bytes and ids.
 ENTRY_BYTES = 200
 
