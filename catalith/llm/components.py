@@ -1,4 +1,8 @@
-"""Components of a link table: union-find inside each task, then rounds between tasks."""
+"""Components of a link table: union-find inside each task, then rounds between tasks.
+
+Links with a null end are left out. Repeated links and links of a node to itself count for
+nothing more; a node with no other link than to itself has no row. No links give no rows.
+"""
 
 from __future__ import annotations
 
@@ -69,7 +73,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Labels only fall, and a round that changes none ends the work.
     """
     folder = staging_folder(links.sparkSession)
-    pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     trees = stage(_forests(pairs), folder, "trees")
     arcs = trees.select("a", "b").unionByName(trees.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = stage(arcs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")), folder, "labels_0")

@@ -13,8 +13,9 @@ languages and drawn by a hash of the id, so the driver gets `SAMPLE` rows of `BI
 bytes whatever the table's size. Every text is scored whole.
 
 Texts that are null or have no letter are `und` with score 0, and so is every text if
-there is nothing to learn from. Null languages are not learned. Ties go to the language
-first in order. Repeated rows are scored each; other columns are not read.
+there is nothing to learn from. Null languages are not learned, and of others the
+`LANGUAGES` most frequent. Ties go to the language first in order. Repeated rows are scored
+each; other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from catalith.llm import wordscan
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 4096
+# Languages that are learned: the most frequent ones, so that a column full of junk stays bounded.
+LANGUAGES = 256
 LANDMARKS = 96
 RIDGE = 1e-3
 # Bins of the n-grams of one, two and three bytes.
@@ -125,13 +128,13 @@ def is_held_out(doc: str = "doc_id") -> Column:
 def _learned_from(docs: DataFrame, doc: str, text: str, lang: str, sample: int) -> DataFrame:
     """The training sample: (lang, order, text)."""
     usable = docs.where(~is_held_out(doc) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = usable.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per language
+    counts = usable.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES).collect()
     share = max(1, sample // max(1, len(counts)))
     draw = F.pmod(F.xxhash64(F.col(doc), F.lit("language sample")), F.lit(1 << 30))
     limits = F.create_map(*[v for r in counts for v in (F.lit(r[lang]), F.lit(min(1 << 30, (share << 30) // r["n"])))]) if counts else None
     if limits is None:
         return usable.where(F.lit(False)).select(F.col(lang).alias("lang"), draw.alias("draw"), F.col(text).alias("text"))
-    return usable.where(draw < limits[F.col(lang)]).select(F.col(lang).alias("lang"), draw.alias("draw"), F.col(text).alias("text"))
+    return usable.where(draw < F.try_element_at(limits, F.col(lang))).select(F.col(lang).alias("lang"), draw.alias("draw"), F.col(text).alias("text"))
 
 
 def train(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model | None:

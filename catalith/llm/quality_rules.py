@@ -14,7 +14,9 @@ is empty and rejects nothing.
 
 Null and empty texts have no words and fail the base rule. Rows with a null or repeated
 id are judged like any other. Labels without a document and null labels are not used; a
-document labelled both ways counts once each way.
+document labelled both ways counts once each way. Of conditions of equal gain the one that
+covers fewer good rows, then the first by name and threshold, is taken. `judge` returns the
+columns of `keep` and its own; no other column is read. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ as one token is proved beforehand by encoding each of them; such segments are
 counted by lookup. Only the rest is merged, once per distinct segment of a task.
 
 Null and empty texts have no tokens. Texts of any length are counted whole;
-repeated rows are counted each; other columns are not read.
+repeated rows are counted each; other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -51,6 +51,16 @@ def test_odd_archives(spark):
     assert archived(spark, spark.createDataFrame([], schema))[0] == {}
 
 
+def test_archives_of_few_bytes_each(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").coalesce(1)
+    folder = f"{staging_folder(spark)}/archives"
+    warc.write_archives(pages, folder, F.timestamp_seconds("page_id"), file_bytes=20_000)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
+    assert files.count() > 5
+    got = {int(r.page_id): r.payload_bytes for r in warc.read_index(spark, folder).collect()}
+    assert got == {r.page_id: len((r.html or "").encode()) for r in pages.collect()}
+
+
 @pytest.mark.parametrize("k", [0, 1, 2, 5, 8])
 def test_loser_tree_merges(k):
     random.seed(k)
@@ -119,6 +129,16 @@ def test_languages_of_odd_texts(spark, documents, odd, empty):
     assert {r.lang_pred for r in language_id.predict(odd, None).collect()} == {"und"}
 
 
+def test_only_the_most_frequent_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "LANGUAGES", 2)
+    rows = [(i, f"{'aa bb' if i % 2 else 'cc dd'} {i}", ("x" if i % 2 else "y") if i < 90 else f"junk{i}") for i in range(100)]
+    docs = spark.createDataFrame([*rows, *rows[:9]], "doc_id bigint, text string, lang string").repartition(3)
+    model = language_id.train(docs)
+    assert model.languages == ["x", "y"]
+    found = language_id.predict(docs, model).collect()
+    assert len(found) == 109 and all(r.lang_pred == ("x" if r.doc_id % 2 else "y") for r in found)
+
+
 def test_presence_of_grams_stops_at_text_ends():
     rows = np.concatenate([m for _, _, m in language_id.presence(pa.array(["ab", "cd", None, "ab"]))])
     assert (rows[0] == rows[3]).all() and rows.sum(axis=1).tolist() == [3, 3, 0, 3]
@@ -147,6 +167,15 @@ def test_shards(spark, documents, odd, empty):
     assert checked_shards(empty, ["lang"]) == []
 
 
+def test_shards_as_files(spark, documents):
+    folder = f"{staging_folder(spark)}/shards"
+    shards = sharding.assign(documents, 6, ["lang", "n_chars"])
+    sharding.write(documents, shards, folder)
+    back = spark.read.parquet(folder)
+    assert {(r.doc_id, r.text) for r in back.collect()} == {(r.doc_id, r.text) for r in documents.collect()}
+    assert {(r.doc_id, r.shard) for r in back.collect()} == {(r.doc_id, r.shard) for r in shards.collect()}
+
+
 @pytest.mark.parametrize(("dims", "bits"), [(2, 3), (3, 2)])
 def test_hilbert_curve_visits_neighbours(spark, dims, bits):
     cells = list(itertools.product(range(1 << bits), repeat=dims))
@@ -159,10 +188,11 @@ def test_hilbert_curve_visits_neighbours(spark, dims, bits):
 
 
 def test_components_of_chains_stars_and_loops(spark):
-    links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(8, 60)] + [(500, 500), (8, 9), (9, 8)]
+    links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(8, 60)] + [(500, 500), (8, 9), (9, 8), (None, 3), (3, None)]
     df = spark.createDataFrame(links, "x bigint, y bigint").repartition(5)
     got = {r.node: r.component for r in components.components(df, "x", "y").collect()}
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(7, 60)} == {7}
+    assert got.keys() == {*range(100, 161), *range(7, 60)} and components.components(df.limit(0), "x", "y").isEmpty()
 
 
 def test_pipeline(spark):

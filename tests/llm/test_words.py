@@ -305,7 +305,7 @@ def test_every_text_of_a_repeated_id_is_compared(spark):
     assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (10, 1), (11, 1), (12, 1)}
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     pairs = spark.createDataFrame([(1, 10), (1, 11), (1, 12)], "a bigint, b bigint")
-    found = near_dedup._confirmed(docs, pairs, "doc_id", "text").collect()
+    found = near_dedup._confirmed(docs, pairs, "doc_id", "text", []).collect()
     assert {(r.a, r.b) for r in found} == {(1, 10), (1, 11), (1, 12)}
 
 
