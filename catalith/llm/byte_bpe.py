@@ -42,7 +42,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LONG_WORD = 64  # also the factor of places in CONTRACT
 # Bytes that the words a task remembers may take, bytes of words that one query contracts,
 # and bytes of text handled at once.
-REMEMBERED_BYTES, QUERY_BYTES, BLOCK_BYTES = 24 << 20, 1 << 18, 1 << 20
+REMEMBERED_BYTES, QUERY_BYTES, BLOCK_BYTES = 128 << 20, 1 << 19, 1 << 20
 # What a remembered word takes besides its own bytes and ids.
 ENTRY_BYTES = 200
 
@@ -130,11 +130,12 @@ def heap_contract(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder:
     """A task's DuckDB tables, and the words it has contracted so far."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED_BYTES, at_once: int = QUERY_BYTES):
         import duckdb
         import regex
 
         self.ranks, self.find = ranks, regex.compile(pattern).findall
+        self.remembered, self.at_once = remembered, at_once
         self.db = duckdb.connect()
         self.db.execute("set threads = 1; set memory_limit = '200MB'")
         merges = merge_table(ranks)  # noqa: F841  DuckDB finds it by name
@@ -162,7 +163,7 @@ class Encoder:
             else:
                 short.append((w, raw))
                 size += len(raw)
-                if size > QUERY_BYTES:
+                if size > self.at_once:
                     self._contract(short)
                     short, size = [], 0
         if short:
@@ -182,7 +183,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text."""
-        if self.held > REMEMBERED_BYTES:
+        if self.held > self.remembered:
             self.known.clear()
             self.held = 0
         cut = [self.find(t) for t in texts]
@@ -229,15 +230,28 @@ def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
-    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and with `with_ids` the ids."""
+def encode(
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    doc: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = False,
+    remembered: int = REMEMBERED_BYTES,
+    at_once: int = QUERY_BYTES,
+) -> DataFrame:
+    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and with `with_ids` the ids.
+
+    `remembered` bytes of words are held by a task, `at_once` bytes are contracted by one
+    query: more take memory, less take time, and the result is the same.
+    """
     kind = docs.schema[doc].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary file: a few MB at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(shared.value, pattern)
+            encoder = encoder or Encoder(shared.value, pattern, remembered, at_once)
             for lo, hi in _parts(batch.column(1)):
                 ids = encoder.encode([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()])
                 columns = [
