@@ -62,7 +62,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, with digests of the ids and of what they decode to."""
     _small_batches(spark)
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
+    # Executors that ran four stages have less memory to spare.
+    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, with_ids=True, remembered=24 << 20, at_once=1 << 18)
 
 
 STAGES = [
