@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 1 << 19
 # Digests that a task remembers.
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 # Odd multipliers of the rolling hashes; any odd 64-bit numbers do.
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
