@@ -131,9 +131,10 @@ def as_of_moments(
     not be named like a version's.
     """
     present = cur.where(F.col("update_ts").isNotNull()).withColumn("end_ts", F.lit(None).cast(dict(history.dtypes)["end_ts"]))
-    now = moments.join(present, key).where(F.col("update_ts") <= F.col(at))
+    # Versions are rows of their own, often made from fewer: no guess of their size may make Spark broadcast them.
+    now = moments.hint("merge").join(present.hint("merge"), key).where(F.col("update_ts") <= F.col(at))
     then = interval_join(history, moments, key, "update_ts", "end_ts", at, grain)
     found = now.unionByName(then, allowMissingColumns=True).withColumn("found", F.lit(True))
     # NULL keys and moments equal nothing, so they stay here.
-    lost = moments.join(found.select(*key, at), [*key, at], "left_anti").withColumn("found", F.lit(False))
+    lost = moments.hint("merge").join(found.select(*key, at).hint("merge"), [*key, at], "left_anti").withColumn("found", F.lit(False))
     return found.unionByName(lost, allowMissingColumns=True)

@@ -47,7 +47,9 @@ def dyadic_pieces(first: Column, last: Column) -> Column:
         right = F.when((low < high) & odd_high & ~(odd_low & (low == high - 1)), piece(high - 1))
         return F.array(left, right)
 
-    pieces = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
+    # No piece is longer than the whole stretch, so a short one is asked for a few lengths only.
+    longest = F.length(F.bin(F.greatest(last - first + 1, F.lit(1)))) - 1
+    pieces = F.flatten(F.transform(F.sequence(F.lit(0), longest), at))
     return F.array_compact(pieces)
 
 
@@ -77,6 +79,7 @@ def interval_join(
     # Most lengths do not occur among the spans; their copies of the moments go before they are shuffled.
     used = cut.select("_level").distinct()
     there = there.join(F.broadcast(used), "_level", "left_semi")  # LEVELS + 1 numbers at most
-    met = there.join(cut, [*key, *piece])
+    # Spark guesses the size of the pieces from the rows they were cut from, so it must not broadcast them.
+    met = there.hint("merge").join(cut.hint("merge"), [*key, *piece])
     inside = (F.col(start) <= F.col(at)) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
     return met.where(inside).drop(*piece)
