@@ -114,6 +114,13 @@ SET_OPERATION_LABELS = {
 REFERENCE_PARTS = 4
 
 
+# What a label can hang on: without one of these tokens an expression is plain.
+NAVIGATION_WORDS = (";", "select", "with", "join", "from", *STATEMENT_LABELS, *OTHER_COMMANDS, *SET_OPERATION_LABELS)
+# What changes the depth, but for the bracket of a call.
+_DEPTH_TOKENS = ("(", "[", ")", "]", "case", "end")
+HARD_WORDS = tuple(w for w in (*SQL_WORDS, *CONTEXT_KEYWORDS) if w not in SOFT_WORDS)
+
+
 def all_tokens(expr: Column) -> Column:
     """Every token, white space and comments included: joined again they give the text."""
     return F.regexp_extract_all(expr, F.lit(rf"({_TOKEN}|\s+|.)"), F.lit(1))
@@ -127,7 +134,8 @@ def tokens(expr: Column) -> Column:
 
 def plain_reference(token: Column) -> Column:
     """A name chain without its quotes and inner white space."""
-    return F.regexp_replace(F.regexp_replace(token, r"\s*\.\s*", "."), '"', "")
+    bare = F.regexp_replace(F.regexp_replace(token, r"\s*\.\s*", "."), '"', "")
+    return F.when(token.rlike(r'[\s"]'), bare).otherwise(token)
 
 
 def reference_tokens(toks: Column) -> Column:
@@ -145,28 +153,32 @@ def bare_names(expr: Column) -> Column:
 
 
 def bare_name_tokens(toks: Column) -> Column:
-    def kept(lower: Column) -> Column:
-        def names_a_column(t: Column, i: Column) -> Column:
-            word = F.get(lower, i)
-            before, after = (F.coalesce(F.get(lower, i + k), F.lit("")) for k in (-1, 1))
-            # By position: `range > 1` compares a column, `order by x range between` does not.
-            starts = (before.isin(*BEFORE_VALUE) | before.endswith("(") | before.rlike(_OPERATOR)) & ~before.rlike(r"\Aover\s*\(\z")
-            ends = after.isin(*AFTER_VALUE) | after.rlike(_OPERATOR) | after.rlike(r"\Ain\s*\(\z")
-            soft = word.isin(*SOFT_WORDS) & starts & ends
-            no_column = (
-                (word.isin(*SQL_WORDS, *CONTEXT_KEYWORDS) & ~soft)
-                | before.isin("::", "as", "collate")  # a type, or a collation
-                | before.rlike(r"\Aextract\s*\(\z")  # a field
-                | after.startswith("'")  # the type of a literal
-                | (before.startswith("'") & (F.get(lower, i - 2) == "interval"))  # an interval's field
-                | (F.concat_ws(" ", before, word).isin(*WORD_PAIRS))
-                | (F.concat_ws(" ", word, after).isin(*WORD_PAIRS))
-            )
-            return t.rlike(_IS_BARE) & ~F.coalesce(no_column, F.lit(False))
-
-        return F.transform(F.filter(toks, names_a_column), plain_reference)
-
-    return let(F.transform(toks, F.lower), kept)
+    # Neighbours are looked at only around the few names that are not plainly words of the language.
+    def names_a_column(t: Column, i: Column) -> Column:
+        around = [F.lower(F.get(toks, i + k)) for k in (-2, -1, 0, 1)]
+        return t.rlike(_IS_BARE) & ~F.lower(t).isin(*HARD_WORDS) & let(F.array(*around), _stands_for_a_column)
+
+    return F.transform(let(toks, lambda toks: F.filter(toks, names_a_column)), plain_reference)
+
+
+def _stands_for_a_column(around: Column) -> Column:
+    """By the lower-case tokens two before, before, at, and behind the place."""
+    earlier, word = F.get(around, F.lit(0)), F.get(around, F.lit(2))
+    before, after = (F.coalesce(F.get(around, F.lit(k)), F.lit("")) for k in (1, 3))
+    # By position: `range > 1` compares a column, `order by x range between` does not.
+    starts = (before.isin(*BEFORE_VALUE) | before.endswith("(") | before.rlike(_OPERATOR)) & ~before.rlike(r"\Aover\s*\(\z")
+    ends = after.isin(*AFTER_VALUE) | after.rlike(_OPERATOR) | after.rlike(r"\Ain\s*\(\z")
+    soft = word.isin(*SOFT_WORDS) & starts & ends
+    no_column = (
+        (word.isin(*SQL_WORDS, *CONTEXT_KEYWORDS) & ~soft)
+        | before.isin("::", "as", "collate")  # a type, or a collation
+        | before.rlike(r"\Aextract\s*\(\z")  # a field
+        | after.startswith("'")  # the type of a literal
+        | (before.startswith("'") & (earlier == "interval"))  # an interval's field
+        | (F.concat_ws(" ", before, word).isin(*WORD_PAIRS))
+        | (F.concat_ws(" ", word, after).isin(*WORD_PAIRS))
+    )
+    return ~F.coalesce(no_column, F.lit(False))
 
 
 def badly_qualified(expr: Column) -> Column:
@@ -175,8 +187,11 @@ def badly_qualified(expr: Column) -> Column:
 
 
 def badly_qualified_tokens(toks: Column) -> Column:
-    off = F.filter(reference_tokens(toks), lambda r: F.size(F.split(r, r"\.")) != REFERENCE_PARTS)
-    return F.concat(off, bare_name_tokens(toks))
+    def look(toks: Column) -> Column:
+        off = F.filter(reference_tokens(toks), lambda r: F.size(F.split(r, r"\.")) != REFERENCE_PARTS)
+        return F.concat(off, bare_name_tokens(toks))
+
+    return let(toks, look)
 
 
 def tables_referenced(expr: Column) -> Column:
@@ -190,21 +205,25 @@ def tables_of(references: Column) -> Column:
     return F.coalesce(F.array_sort(F.array_distinct(tables)), empty)
 
 
+def _word(token: Column) -> Column:
+    """A token without the bracket of a call; most tokens carry none and need no regular expression."""
+    return F.when(token.endswith("("), F.regexp_replace(token, r"\s*\(\z", "")).otherwise(token)
+
+
 def volatile_functions(expr: Column) -> Column:
     """Sorted distinct denylisted names used as a call or as a bare context keyword."""
     return volatile_tokens(tokens(expr))
 
 
 def volatile_tokens(toks: Column) -> Column:
-    deny = F.array(*[F.lit(n) for n in VOLATILE_FUNCTIONS])
-
     def found(toks: Column) -> Column:
         calls = F.transform(
             F.filter(toks, lambda t: t.endswith("(") & t.rlike(r'[\w"]\s*+\(\z')),
             lambda t: F.regexp_extract(t, r'(\w+)"?\s*+\(\z', 1),
         )
+        denied = F.filter(calls, lambda n: n.isin(*VOLATILE_FUNCTIONS))
         words = F.filter(toks, lambda t: t.isin(*CONTEXT_KEYWORDS))
-        return F.array_sort(F.array_distinct(F.array_intersect(F.concat(calls, words), deny)))
+        return F.array_sort(F.array_distinct(F.concat(denied, words)))
 
     return let(F.transform(toks, F.lower), found)
 
@@ -215,14 +234,13 @@ def navigation_kind(expr: Column) -> Column:
 
 
 def navigation_of(toks: Column) -> Column:
-    return let(F.transform(toks, F.lower), _navigation_label)
-
+    def label(raw: Column) -> Column:
+        return let(
+            F.transform(raw, _word),
+            lambda toks: F.when(F.exists(toks, lambda t: t.isin(*NAVIGATION_WORDS)), _label_of(raw, toks)),
+        )
 
-def _navigation_label(raw: Column) -> Column:
-    """The label for lower-case tokens, in which a call still carries its bracket."""
-    return let(
-        F.transform(raw, lambda t: F.regexp_replace(t, r"\s*\(\z", "")), lambda toks: _label_of(raw, toks)
-    )
+    return let(F.transform(toks, F.lower), label)
 
 
 def _label_of(raw: Column, toks: Column) -> Column:
@@ -269,29 +287,47 @@ def is_predicate(expr: Column) -> Column:
 
 
 def predicate_of(toks: Column) -> Column:
+    """Without brackets every token stands at the same depth; with them the depth is counted."""
+
+    def look(raw: Column) -> Column:
+        nested = F.exists(raw, lambda t: t.endswith("(") | t.isin(*_DEPTH_TOKENS))
+        flat = F.exists(raw, lambda t: t.isin(*PREDICATE_OPERATORS, *PREDICATE_WORDS))
+        return F.when(nested, _predicate_at_top(raw)).otherwise(flat)
+
+    return let(F.transform(toks, F.lower), look)
+
+
+def _predicate_at_top(raw: Column) -> Column:
+    """For lower-case tokens."""
     start = F.struct(
         F.lit(0).alias("depth"),
         F.lit(1 << 30).alias("top"),
         F.lit(False).alias("found"),
     )
 
-    def step(state: Column, raw: Column) -> Column:
-        t = F.lower(raw)
-        word = F.regexp_replace(t, r"\s*\(\z", "")
-        opens = t.endswith("(") | (t == "[") | (t == "case")
-        closes = t.isin(")", "]")
-        stands = ~closes & (word != "") & (t != "end")
-        here = state["depth"]
-        hit = word.isin(*PREDICATE_OPERATORS, *PREDICATE_WORDS)
-        lower = stands & (here < state["top"])
-        same = stands & (here == state["top"])
+    def seen(t: Column) -> Column:
+        word = _word(t)
+        opens = t.endswith("(") | t.isin("[", "case")
+        return F.struct(
+            F.when(opens, 1).when(t.isin(")", "]", "end"), -1).otherwise(0).alias("step"),
+            (~t.isin(")", "]", "end", "(")).alias("stands"),
+            word.isin(*PREDICATE_OPERATORS, *PREDICATE_WORDS).alias("hit"),
+        )
+
+    def step(state: Column, token: Column) -> Column:
+        here, top = state["depth"], state["top"]
+        found = (
+            F.when(~token["stands"] | (here > top), state["found"])
+            .when(here < top, token["hit"])
+            .otherwise(state["found"] | token["hit"])
+        )
         return F.struct(
-            F.when(opens, here + 1).when(closes | (t == "end"), here - 1).otherwise(here).alias("depth"),
-            F.when(lower, here).otherwise(state["top"]).alias("top"),
-            F.when(lower, hit).when(same, state["found"] | hit).otherwise(state["found"]).alias("found"),
+            (here + token["step"]).alias("depth"),
+            F.when(token["stands"], F.least(here, top)).otherwise(top).alias("top"),
+            found.alias("found"),
         )
 
-    return F.when(toks.isNotNull(), F.aggregate(toks, start, step, lambda s: s["found"]))
+    return F.aggregate(F.transform(raw, seen), start, step, lambda s: s["found"])
 
 
 def translated(expr: Column, physical_tables: Column) -> Column:
@@ -300,7 +336,7 @@ def translated(expr: Column, physical_tables: Column) -> Column:
     def swap(token: Column) -> Column:
         ref = plain_reference(token)
         target = F.try_element_at(physical_tables, F.substring_index(ref, ".", 3))
-        is_reference = token.rlike(_IS_CHAIN) & (F.size(F.split(ref, r"\.")) == REFERENCE_PARTS)
+        is_reference = token.contains(".") & token.rlike(_IS_CHAIN) & (F.size(F.split(ref, r"\.")) == REFERENCE_PARTS)
         return F.when(
             is_reference & target.isNotNull(),
             F.concat(target, F.lit("."), F.regexp_extract(token, rf"({_NAME})\z", 1)),

@@ -80,19 +80,16 @@ def self_reference(
 
 def expression_rules(df: DataFrame, expr: str, key: Column, object_type: str, must_be_predicate: bool) -> DataFrame:
     """Determinism, navigation and predicate rules of an expression column in one pass."""
-    facts = with_facts(df.where(F.col(expr).isNotNull()), expr, must_be_predicate)
+    facts = with_facts(df.where(F.col(expr).isNotNull()), expr, must_be_predicate, references=False)
     return check_rows(facts, object_type, key, expression_checks(expr, must_be_predicate), wave=2)
 
 
-def with_facts(df: DataFrame, expr: str, must_be_predicate: bool) -> DataFrame:
-    """Add `_refs`, `_bad`, `_volatile`, `_nav` and, if asked, `_predicate`: the text is cut up once per row."""
+def with_facts(df: DataFrame, expr: str, must_be_predicate: bool, references: bool = True) -> DataFrame:
+    """Add `_volatile`, `_nav` and, if asked, `_refs` and `_bad`, and `_predicate`: the text is cut up once per row."""
     toks = F.col("_toks")
-    facts = {
-        "_refs": E.reference_tokens(toks),
-        "_bad": E.badly_qualified_tokens(toks),
-        "_volatile": E.volatile_tokens(toks),
-        "_nav": E.navigation_of(toks),
-    }
+    facts = {"_volatile": E.volatile_tokens(toks), "_nav": E.navigation_of(toks)}
+    if references:
+        facts |= {"_refs": E.reference_tokens(toks), "_bad": E.badly_qualified_tokens(toks)}
     if must_be_predicate:
         facts["_predicate"] = E.predicate_of(toks)
     return compute_once(compute_once(df, {"_toks": E.tokens(F.col(expr))}), facts).drop("_toks")

@@ -4,9 +4,12 @@ import re
 
 from pyspark.sql import functions as F
 
+from catalith.functions import expressions as E
 from catalith.operators import consumers as Q
+from catalith.operators import graph as G
 from catalith.operators import history as Y
 from catalith.operators import intervals as I
+from catalith.operators import lineage as L
 
 
 def _plan(df) -> str:
@@ -43,3 +46,29 @@ def test_short_stretches_are_asked_for_few_lengths(spark):
     cut = ends.select(I.dyadic_pieces(F.col("a"), F.col("b")).alias("p")).collect()
     spelled = [sorted((x.place << x.level, (x.place + 1 << x.level) - 1) for x in r.p) for r in cut]
     assert spelled == [[(5, 5)], [(5, 5), (6, 6)], [(4, 7)], [(3, 3), (4, 7), (8, 11), (12, 12)], [(0, (1 << 39) - 1)], []]
+
+
+def test_bracket_free_texts_are_judged_without_counting_depth(spark):
+    """Same verdicts either way, and plain tokens are not looked at by regular expressions."""
+    texts = ["a = b", "a", "", "a AND b", "f (a = b)", "(a = b)", "case when a = b then c end", "a[1] = 2", "IN (1)", "x in (1)", "end = 1"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.p for r in rows.select("t", E.is_predicate(F.col("t")).alias("p")).collect()]
+    assert got == [True, False, False, True, False, True, False, True, True, True, True]
+    labels = rows.select(E.navigation_kind(F.col("t")).alias("k")).where("k is not null")
+    assert labels.isEmpty()
+
+
+def test_rules_do_not_look_for_references(spark):
+    rows = spark.createDataFrame([("k", "a.b.c.d = now()")], "k string, e string")
+    issues = L.expression_rules(rows, "e", F.col("k"), "t", True)
+    assert "_bad" not in _plan(issues)
+    assert [r.rule for r in issues.collect()] == ["volatile_functions"]
+
+
+def test_rounds_are_compared_row_by_row_only_if_their_fingerprints_agree(spark, monkeypatch):
+    compared = []
+    plain = type(spark.range(1)).exceptAll
+    monkeypatch.setattr(type(spark.range(1)), "exceptAll", lambda self, other: compared.append(1) or plain(self, other))
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(9)], "a string, b string")
+    assert {r.component for r in G.connected_components(edges, "a", "b").collect()} == {"n0"}
+    assert compared == []
