@@ -40,14 +40,15 @@ def docs_gate(headers: DataFrame, docs: DataFrame) -> DataFrame:
     """Header cells and documented columns are the same multiset; order is free. One issue per column."""
     cells = headers.select("table", F.explode("header").alias("name"))
     documented = docs.select("table", "name")
-    known_tables = docs.select("table").distinct()
+    # Cells and columns are made from arrays: Spark sees only the rows these came from, and must not broadcast them.
+    known_tables = docs.select("table").distinct().hint("merge")
     undocumented_table = headers.select("table").distinct().join(known_tables, "table", "left_anti")
     checked = cells.join(known_tables, "table", "left_semi")
     repeated = checked.groupBy("table", "name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    undocumented = checked.distinct().join(documented, ["table", "name"], "left_anti")
+    undocumented = checked.distinct().join(documented.hint("merge"), ["table", "name"], "left_anti")
     delivered = headers.select("table").distinct()
-    absent = documented.distinct().join(delivered, "table", "left_semi").join(
-        cells.distinct(), ["table", "name"], "left_anti"
+    absent = documented.distinct().join(delivered.hint("merge"), "table", "left_semi").join(
+        cells.distinct().hint("merge"), ["table", "name"], "left_anti"
     )
     key = F.col("table")
 

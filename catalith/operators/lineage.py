@@ -74,7 +74,9 @@ def self_reference(
     rows = compute_once(with_references(df, expr), {"_own": parent(source_column)})
     own = F.array_distinct(F.filter("_refs", lambda r: F.substring_index(r, ".", 3) == F.col("_own")))
     rows = compute_once(rows, {"_hit": own}).select(F.col(key).alias("object_key"), F.explode("_hit").alias("_ref"))
-    real = spread_join(rows, ids((columns, column_id)), ["_ref"], "left_semi", spread_by=["object_key"])
+    # Columns may be made from fewer rows, which is all that Spark would judge their size by.
+    known = ids((columns, column_id)).hint("merge")
+    real = spread_join(rows, known, ["_ref"], "left_semi", spread_by=["object_key"])
     return as_issues(real, "self_reference", "column_mappings", F.col("object_key"), F.col("_ref"))
 
 

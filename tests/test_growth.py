@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions import expressions as E
 from catalith.operators import consumers as Q
+from catalith.operators import contract as C
 from catalith.operators import graph as G
 from catalith.operators import history as Y
 from catalith.operators import intervals as I
@@ -72,3 +73,18 @@ def test_rounds_are_compared_row_by_row_only_if_their_fingerprints_agree(spark,
     edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(9)], "a string, b string")
     assert {r.component for r in G.connected_components(edges, "a", "b").collect()} == {"n0"}
     assert compared == []
+
+
+def test_rows_made_from_arrays_are_never_broadcast(spark):
+    headers = spark.createDataFrame([("t1", ["a", "b", "b"]), ("t2", ["a"])], "table string, header array<string>")
+    docs = spark.createDataFrame([("t1", "a"), ("t1", "c")], "table string, name string")
+    gate = C.docs_gate(headers, docs)
+    assert "BroadcastHashJoin" not in _plan(gate)
+    assert sorted((r.object_key, r.detail) for r in gate.collect()) == [
+        ("t1", "documented but absent:c"), ("t1", "repeated:b"), ("t1", "undocumented:b"), ("t2", "undocumented table:"),
+    ]
+    rows = spark.createDataFrame([("k", "a.b.c.d = 1", "a.b.c.x")], "k string, e string, own string")
+    columns = spark.createDataFrame([("a.b.c.d",)], "column_id string")
+    own = L.self_reference(rows, "e", "own", "k", columns, "column_id")
+    assert "BroadcastHashJoin" not in _plan(own)
+    assert [r.detail for r in own.collect()] == ["a.b.c.d"]
