@@ -31,11 +31,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _is_settled(edges: DataFrame) -> bool:
-    """Every node hangs on one parent, and no parent hangs on another node."""
-    forked = edges.groupBy("u").count().where(F.col("count") > 1).select(F.col("u").alias("n"))
-    parents = edges.select(F.col("v").alias("n")).distinct()
-    middle = parents.join(edges.select(F.col("u").alias("n")).distinct(), "n", "left_semi")
-    return forked.union(middle).isEmpty()
+    """Every node hangs on one parent, and no parent hangs on another node: told by one grouping of all ends."""
+    ends = edges.select("u", F.lit(1).alias("hangs")).union(edges.select("v", F.lit(0)))
+    seen = ends.groupBy("u").agg(F.sum("hangs").alias("hangs"), F.min("hangs").alias("low"))
+    return seen.where((F.col("hangs") > 1) | ((F.col("hangs") > 0) & (F.col("low") == 0))).isEmpty()
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -57,11 +56,13 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     current = stage(pairs.where(F.col("u") != F.col("v")).distinct(), folder, "round_0")
-    rounds = 0
+    rounds, print_before = 0, None
     while not _is_settled(current):
         rounds += 1
         moved = stage(_small_star(_large_star(current)), folder, f"round_{rounds}")
-        if _fingerprint(moved) == _fingerprint(current) and moved.exceptAll(current).isEmpty() and current.exceptAll(moved).isEmpty():
+        print_after = _fingerprint(moved)
+        same, print_before = print_after == print_before, print_after
+        if same and moved.exceptAll(current).isEmpty() and current.exceptAll(moved).isEmpty():
             raise RuntimeError(f"components are not settled, but round {rounds} changed nothing")
         current = moved
     named = current.select(F.col("u").alias("node"), F.col("v").alias("component"))

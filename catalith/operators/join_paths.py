@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from catalith.checkpoints import stage, staging_folder
 from catalith.issues import as_issues, union_issues
 from catalith.operators.graph import connected_components
-from catalith.operators.venues import shared_venues
+from catalith.operators.venues import placed_ends
 from catalith.specs import FLIPPED_CARDINALITY
 
 STATE = ["system", "start", "node"]
@@ -39,22 +39,39 @@ class JoinPaths:
 def runnable_arcs(rels: DataFrame, a: str, b: str, rel_key: str, deployments: DataFrame) -> DataFrame:
     """(system, node, next, rel_key, ways): each step that a system can run, by its smallest relationship."""
     ends = rels.where(F.col(a) != F.col(b)).select(F.col(rel_key).alias("rel_key"), F.col(a).alias("_a"), F.col(b).alias("_b"))
-    placed = ends.join(shared_venues(ends, "_a", "_b", "rel_key", deployments), "rel_key")
-    steps = placed.select("system", F.col("_a").alias("node"), F.col("_b").alias("next"), "rel_key").unionByName(
-        placed.select("system", F.col("_b").alias("node"), F.col("_a").alias("next"), "rel_key")
-    )
-    return steps.groupBy("system", "node", "next").agg(F.min("rel_key").alias("rel_key"), F.count(F.lit(1)).alias("ways"))
+    placed = placed_ends(ends.where("rel_key is not null"), deployments)
+    steps = placed.select("system", F.least("_a", "_b").alias("low"), F.greatest("_a", "_b").alias("high"), "rel_key")
+    steps = steps.groupBy("system", "low", "high").agg(F.min("rel_key").alias("rel_key"), F.count(F.lit(1)).alias("ways"))
+    # Each step goes both ways.
+    way = lambda a, b: F.struct(F.col(a).alias("node"), F.col(b).alias("next"))
+    turned = steps.select("system", F.explode(F.array(way("low", "high"), way("high", "low"))).alias("_w"), "rel_key", "ways")
+    return turned.select("system", "_w.node", "_w.next", "rel_key", "ways")
 
 
-def _reachable(wanted: DataFrame, arcs: DataFrame) -> DataFrame:
+def _reachable(wanted: DataFrame, arcs: DataFrame, folder: str) -> DataFrame:
     """(key, source, target, system) of the keys all of whose targets lie in one component with the source there.
 
     A target that is its own source is no question.
     """
     # A table of one system is a node of its own: length-prefixed, so that no two are written alike.
     name = lambda c: F.concat_ws(":", F.length("system").cast("string"), "system", c)
-    found = connected_components(arcs.select(name("node").alias("a"), name("next").alias("b")), "a", "b")
-    homes = arcs.select("system", "node", name("node").alias("_n")).distinct().join(found.withColumnRenamed("node", "_n"), "_n")
+    # A table with one neighbour lies where that one does. The graph that is searched is the one between
+    # these neighbours, so a hub's many leaves take no part in its rounds.
+    near = arcs.groupBy("system", "node").agg(F.count(F.lit(1)).alias("_n"), F.min("next").alias("_only"))
+    near = near.select("system", "node", F.when(F.col("_n") == 1, F.col("_only")).alias("_only"))
+    near = stage(near, folder, "near")
+    leaves = near.where("_only is not null")
+    inner = arcs.where("node < next").select("system", "node", "next")
+    inner = inner.join(leaves.select("system", "node"), ["system", "node"], "left_anti")
+    inner = inner.join(leaves.select("system", F.col("node").alias("next")), ["system", "next"], "left_anti")
+    found = connected_components(inner.select(name("node").alias("a"), name("next").alias("b")), "a", "b")
+    # Two leaves that have only each other go by the smaller; a table without inner neighbours goes by itself.
+    back = leaves.select("system", F.col("node").alias("_only"), F.col("_only").alias("node"))
+    mutual = leaves.join(back, ["system", "node", "_only"], "left_semi").select("system", "node", F.least("node", "_only").alias("_m"))
+    homes = near.join(mutual, ["system", "node"], "left")
+    homes = homes.select("system", "node", name(F.coalesce("_m", "_only", "node")).alias("_n"))
+    homes = homes.join(found.withColumnRenamed("node", "_n"), "_n", "left").select("system", "node", F.coalesce("component", "_n").alias("component"))
+    homes = stage(homes, folder, "homes")
     at_source = homes.select(F.col("node").alias("source"), "system", F.col("component").alias("_s"))
     at_target = homes.select(F.col("node").alias("target"), "system", F.col("component").alias("_t"))
     placed = wanted.join(at_source, "source").join(at_target, ["target", "system"]).where("_s = _t").drop("_s", "_t")
@@ -80,6 +97,23 @@ def _expanded(last: DataFrame, before: DataFrame | None, arcs: DataFrame, open_s
     return new.groupBy(*STATE).agg(F.min("by").alias("by"), F.least(F.sum("ways"), F.lit(2)).alias("ways"))
 
 
+def _touching(pairs: DataFrame, from_source: DataFrame, from_target: DataFrame) -> DataFrame:
+    """(system, source, target, node, _s, _t): the tables in which the outermost levels of a wanted pair meet.
+
+    Each pair is led through the smaller of its two levels, and the other is only asked by
+    equality: no table brings all pairs that touch it together, and a target that very many
+    sources ask for and very many tables hang on does not meet each with each.
+    """
+    begins = from_source.select("system", F.col("start").alias("source"), "node", F.col("ways").alias("_s"))
+    ends = from_target.select("system", F.col("start").alias("target"), "node", F.col("ways").alias("_t"))
+    size = lambda level, start, n: level.groupBy("system", start).agg(F.count(F.lit(1)).alias(n))
+    sized = pairs.join(size(begins, "source", "_ns"), ["system", "source"]).join(size(ends, "target", "_nt"), ["system", "target"])
+    narrow = F.col("_ns") <= F.col("_nt")
+    by_source = sized.where(narrow).join(begins, ["system", "source"]).join(ends, ["system", "target", "node"])
+    by_target = sized.where(~narrow).join(ends, ["system", "target"]).join(begins, ["system", "source", "node"])
+    return by_source.unionByName(by_target).drop("_ns", "_nt")
+
+
 def _walked(ends: DataFrame, levels: list[DataFrame], kept: list[str], backwards: bool) -> DataFrame:
     """(kept, hop, from_table, to_table, rel_key): the steps from each end (at, node, level) back to its start."""
     steps, current = [], None
@@ -118,7 +152,7 @@ def join_paths(
     asked = wanted.where("source <> target").select("key", "source", "target").distinct()
     asked = stage(asked, folder, "asked")
     arcs = stage(runnable_arcs(rels, a, b, rel_key, deployments), folder, "arcs")
-    possible = stage(_reachable(asked, arcs), folder, "possible")
+    possible = stage(_reachable(asked, arcs, folder), folder, "possible")
     pairs = stage(possible.select("system", "source", "target").distinct(), folder, "pairs")
 
     def first(column: str) -> DataFrame:
@@ -135,16 +169,12 @@ def join_paths(
         starts = left.select("system", F.col(side).alias("start")).distinct()
         grown = _expanded(levels[-1], levels[-2] if len(levels) > 1 else None, arcs, starts)
         levels.append(stage(grown, folder, f"{side}_{len(levels)}"))
-        # The wanted pairs lead from the target's level to the source's: no table brings all pairs that touch it together.
-        ends = sides["target"][-1].select("system", F.col("start").alias("target"), "node", F.col("ways").alias("_t"))
-        begins = sides["source"][-1].select("system", F.col("start").alias("source"), "node", F.col("ways").alias("_s"))
-        touching = left.join(ends, ["system", "target"]).join(begins, ["system", "source", "node"])
-        found = touching.groupBy("system", "source", "target").agg(
+        found = _touching(left, sides["source"][-1], sides["target"][-1]).groupBy("system", "source", "target").agg(
             F.min("node").alias("meeting"), F.sum(F.col("_s") * F.col("_t")).alias("ways")
         )
-        found = stage(found.withColumn("hops", F.lit(hops)), folder, f"met_{hops}")
-        met.append(found)
-        left = stage(left.join(found, ["system", "source", "target"], "left_anti"), folder, f"left_{hops}")
+        tried = stage(left.join(found, ["system", "source", "target"], "left"), folder, f"tried_{hops}")
+        met.append(tried.where("meeting is not null").withColumn("hops", F.lit(hops)))
+        left = tried.where("meeting is null").select("system", "source", "target")
     none = pairs.select("*", F.lit(None).cast("string").alias("meeting"), F.lit(0).cast("bigint").alias("ways"), F.lit(0).alias("hops"))
     every = none.where(F.lit(False))
     for found in met:

@@ -26,13 +26,17 @@ def shared_venues(rels: DataFrame, a: str, b: str, rel_key: str, deployments: Da
     `rel_key` must be unique. The second join also matches on the system, so
     its output is no larger than the first one's.
     """
-    members = venue_sets(deployments)
     ends = rels.select(F.col(rel_key).alias("rel_key"), F.col(a).alias("_a"), F.col(b).alias("_b"))
+    return placed_ends(ends, deployments).select("rel_key", "system")
+
+
+def placed_ends(ends: DataFrame, deployments: DataFrame) -> DataFrame:
+    """The rows (rel_key, _a, _b) once for every system that holds both ends."""
+    members = venue_sets(deployments)
     at_a = spread_join(ends, members.withColumnRenamed("table_id", "_a"), ["_a"], spread_by=["rel_key"])
     # No distinct on this side: a semi join needs none, and it would keep Spark from splitting a hot key.
     at_b = deployments.select(F.col("table_id").alias("_b"), "system")
-    both = spread_join(at_a.drop("_a"), at_b, ["_b", "system"], "left_semi", spread_by=["rel_key"])
-    return both.select("rel_key", "system")
+    return spread_join(at_a, at_b, ["_b", "system"], "left_semi", spread_by=["rel_key"])
 
 
 def pair_codeployed(

@@ -141,6 +141,36 @@ def test_paths_on_random_graphs(spark):
         assert (key in issues["ambiguous_path"]) == any(ways[t] > 1 for t in targets)
 
 
+def test_only_inner_tables_are_searched_for_components(spark, monkeypatch):
+    # Forty tables hang on three hubs in a row; two tables have only each other.
+    rels = [(f"leaf{i:02d}", f"hub{i % 3}", f"r{i}") for i in range(40)] + [("hub0", "hub1", "x"), ("hub1", "hub2", "y"), ("pair_a", "pair_b", "z")]
+    placed = [(t, "s") for t in {t for a, b, _ in rels for t in (a, b)}]
+    wanted = [("far", "leaf00", "leaf02"), ("apart", "leaf00", "pair_a"), ("two", "pair_b", "pair_a"), ("hub", "leaf01", "hub1")]
+    seen, full = [], graph.connected_components
+    monkeypatch.setattr(join_paths, "connected_components", lambda e, a, b: seen.append(e.count()) or full(e, a, b))
+    paths = join_paths.join_paths(
+        spark.createDataFrame(wanted, "key string, source string, target string"), spark.createDataFrame(rels, "a string, b string, name string"),
+        "a", "b", "name", spark.createDataFrame(placed, "table_id string, system string"),
+    )
+    assert seen == [2]
+    assert sorted((h.key, h.hop, h.from_table, h.to_table) for h in paths.hops.collect()) == [
+        ("far", 1, "leaf00", "hub0"), ("far", 2, "hub0", "hub1"), ("far", 3, "hub1", "hub2"), ("far", 4, "hub2", "leaf02"),
+        ("hub", 1, "leaf01", "hub1"), ("two", 1, "pair_b", "pair_a"),
+    ]
+    assert [(i.rule, i.object_key) for i in paths.issues.collect()] == [("unreachable_target", "apart")]
+
+
+def test_pairs_are_led_through_their_smaller_level(spark):
+    # Each of 300 sources has one table, which is among the 300 of the one target, and the other way round.
+    level = lambda rows: spark.createDataFrame(rows, "start string, node string").selectExpr("'s' as system", "start", "node", "1L as ways")
+    many = level([(f"o{i}", f"c{i}") for i in range(300)])
+    one = level([("n", f"c{i}") for i in range(300)])
+    pairs = spark.createDataFrame([(f"o{i}", "n") for i in range(300)], "source string, target string").selectExpr("'s' as system", "*")
+    for found in (join_paths._touching(pairs, many, one), join_paths._touching(pairs.selectExpr("system", "target as source", "source as target"), one, many)):
+        rows = found.collect()
+        assert sorted(r.node for r in rows) == sorted(f"c{i}" for i in range(300)) and {(r._s, r._t) for r in rows} == {(1, 1)}
+
+
 def test_paths_without_relationships(spark):
     wanted = spark.createDataFrame([("m", "a", "b"), ("n", None, "b")], "key string, source string, target string")
     rels = spark.createDataFrame([], "a string, b string, name string")
