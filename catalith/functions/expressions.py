@@ -16,6 +16,7 @@ from catalith.functions.binding import let
 # any length is cut without using up the stack.
 _NAME = r'(?:[\p{L}_][\p{L}\p{N}_$]*+|"[^"]*+")'
 _SIGN = r"(?:\+|-(?!-))"
+_CALL_OR_CHAIN = rf"{_NAME}(?:\s*+\.\s*+{_NAME})*+(?:\s*+\()?"  # name chain, or a call with its bracket
 _TOKEN = (
     r"(?s)[eE]'(?:[^'\\]++|\\.|'')*+'"  # literal with escapes
     r"|'[^']*+(?:''[^']*+)*+'"  # literal
@@ -23,7 +24,7 @@ _TOKEN = (
     # the end is looked for once, however many openings there are.
     r"|\$(?<tag>(?:[\p{L}_][\p{L}\p{N}_]*+)?)\$(?:[^$]++|\$(?!\k<tag>\$))*+(?:\$\k<tag>\$|\z)"
     r"|--[^\n]*+|/\*(?:[^*]++|\*(?!/))*+(?:\*/|\z)"
-    rf"|{_NAME}(?:\s*+\.\s*+{_NAME})*+(?:\s*+\()?"  # name chain, or a call with its bracket
+    rf"|{_CALL_OR_CHAIN}"
     r"|[0-9]++(?:\.[0-9]*+)?(?:[eE][+-]?[0-9]++)?|\.[0-9]++"  # number
     r"|[(),;\[\]]"
     # An operator may end in a sign only if it holds one of ~ ! @ # % ^ & | ` ?, else the sign belongs to
@@ -33,6 +34,8 @@ _TOKEN = (
     rf"|{_SIGN}|[~!@#%^&|`?]"
 )
 _IS_CHAIN = rf"\A{_NAME}(?:\s*+\.\s*+{_NAME})++\z"
+# The same tokens, of which group 2 holds those that are dotted chains; group 1 is the tag of a dollar quote.
+_CHAINS = _TOKEN.replace(f"|{_CALL_OR_CHAIN}", rf"|({_NAME}(?:\s*+\.\s*+{_NAME})++)(?!\s*+\()|{_CALL_OR_CHAIN}")
 _IS_BARE = rf"\A{_NAME}\z"
 
 # Functions whose result changes between runs, and the context
@@ -144,7 +147,13 @@ def reference_tokens(toks: Column) -> Column:
 
 
 def column_references(expr: Column) -> Column:
-    return reference_tokens(tokens(expr))
+    """The same from the text: the expression that cuts it says which tokens are references."""
+    found = F.regexp_extract_all(expr, F.lit(_CHAINS), F.lit(2))
+    return F.transform(F.filter(found, lambda t: t != ""), plain_reference)
+
+
+def _n_parts(reference: Column) -> Column:
+    return F.length(reference) - F.length(F.replace(reference, F.lit("."), F.lit(""))) + 1
 
 
 def bare_names(expr: Column) -> Column:
@@ -187,11 +196,12 @@ def badly_qualified(expr: Column) -> Column:
 
 
 def badly_qualified_tokens(toks: Column) -> Column:
-    def look(toks: Column) -> Column:
-        off = F.filter(reference_tokens(toks), lambda r: F.size(F.split(r, r"\.")) != REFERENCE_PARTS)
-        return F.concat(off, bare_name_tokens(toks))
+    return let(toks, lambda toks: badly_qualified_of(reference_tokens(toks), toks))
+
 
-    return let(toks, look)
+def badly_qualified_of(references: Column, toks: Column) -> Column:
+    """The same where the references are at hand."""
+    return F.concat(F.filter(references, lambda r: _n_parts(r) != REFERENCE_PARTS), bare_name_tokens(toks))
 
 
 def tables_referenced(expr: Column) -> Column:
@@ -202,7 +212,7 @@ def tables_referenced(expr: Column) -> Column:
 def tables_of(references: Column) -> Column:
     tables = F.transform(references, lambda r: F.substring_index(r, ".", 3))
     empty = F.array().cast("array<string>")
-    return F.coalesce(F.array_sort(F.array_distinct(tables)), empty)
+    return F.coalesce(F.sort_array(F.array_distinct(tables)), empty)
 
 
 def _word(token: Column) -> Column:
