@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from catalith.functions import expressions
 from catalith.operators import consumers, graph, hierarchy, history, intervals, join_paths
 
 DAY = datetime(2020, 1, 1)
@@ -286,3 +287,12 @@ def test_untouched_components_are_not_searched(spark, monkeypatch):
     assert {r.node: r.component for r in got.collect()} == {i: 0 for i in range(61)} | {100: 100, 101: 100, 200: 100, 201: 100}
     # The torn component's one edge, and one edge between components: never the long chain.
     assert seen == [1, 1]
+
+
+def test_references_cut_from_the_text_are_those_of_the_tokens(spark):
+    random.seed(6)
+    parts = ["a", "é", "E", "e", ".", ".", " ", "\n", "'", "''", '"', '"q r"', '"q.r"', "$$", "$t$", "(", "--", "/*", "*/", "-", "=", "!", "2.5", ".5", "ab.cd.ef.g", "t.c"]
+    texts = [("".join(random.choices(parts, k=random.randint(0, 12))),) for _ in range(3000)] + [(None,)]
+    df = spark.createDataFrame(texts, "e string")
+    rows = df.select("e", expressions.column_references(F.col("e")).alias("a"), expressions.reference_tokens(expressions.tokens(F.col("e"))).alias("b")).collect()
+    assert all(r.a == r.b for r in rows) and sum(bool(r.a) for r in rows) > 100
