@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.functions.binding import compute_once
+from catalith.functions.binding import compute_once, let
 from catalith.functions.cells import TYPE_VOCABULARY, cell_problem
 from catalith.issues import as_issues, key_text, union_issues
 from catalith.operators.contract import MAX_ROWS_PER_TABLE, duplicate_stem, folder_alignment
@@ -155,10 +155,11 @@ def row_hits(cells: Column, spec: Column, checks: Column) -> Column:
     def judged(c: Column, k: Column) -> Column:
         cell = F.get(cells, k)
         empty = F.coalesce(cell, F.lit("")) == ""
-        problem = cell_problem(cell, c["type"])
-        return F.when(
-            empty, F.when(~F.coalesce(c["nullable"], F.lit(True)), _hit("null_in_required", c["name"]))
-        ).when(problem.isNotNull(), _hit("cell_parses", F.concat_ws(" ", problem, c["type"], c["name"])))
+        problem = let(
+            cell_problem(cell, c["type"]),
+            lambda p: F.when(p.isNotNull(), _hit("cell_parses", F.concat_ws(" ", p, c["type"], c["name"]))),
+        )
+        return F.when(empty, F.when(~F.coalesce(c["nullable"], F.lit(True)), _hit("null_in_required", c["name"]))).otherwise(problem)
 
     count = F.concat_ws(" of ", F.size(cells).cast("string"), F.size(spec).cast("string"))
     return F.when(ragged, F.array(_hit("ragged_rows", count))).when(
@@ -166,17 +167,32 @@ def row_hits(cells: Column, spec: Column, checks: Column) -> Column:
     ).otherwise(F.array().cast(HIT))
 
 
-def judged_rows(rows: DataFrame, routes: DataFrame) -> DataFrame:
-    """(table, line_no, cells, checks, spec, hits) of the rows of tables that are judged at all.
+def routed_rows(rows: DataFrame, routes: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """(table, line_no, cells, checks, spec, key_at) of the rows of tables that are judged at all; `key_at`: places of key cells.
 
     The routes are one row per table, so the rows of a table that holds most of them are salted.
+    `counts`: (table, _n), if at hand.
     """
-    counts = rows.groupBy("table").agg(F.count(F.lit(1)).alias("_n"))
-    wanted = routes.where("checks <> 'none'").select("table", "spec", "checks")
+    counts = row_counts(rows) if counts is None else counts
+    key_at = F.filter(F.transform("spec", lambda c, k: F.when(c["is_pk"], k)), lambda k: k.isNotNull())
+    wanted = routes.where("checks <> 'none'").select("table", "spec", "checks", key_at.alias("key_at"))
     data = rows.select("table", "line_no", "cells")
     hot = counted_hot_keys(counts, ["table"], "_n")
-    joined = spread_join(data, wanted, ["table"], spread_by=["line_no"], grouped=True, hot=hot)
-    return compute_once(joined, {"hits": row_hits(F.col("cells"), F.col("spec"), F.col("checks"))})
+    return spread_join(data, wanted, ["table"], spread_by=["line_no"], grouped=True, hot=hot)
+
+
+def row_counts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("table").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def with_hits(routed: DataFrame) -> DataFrame:
+    """Adds `hits`, what is wrong with each row. The dear part of it all, so only what reads them should ask for them."""
+    return compute_once(routed, {"hits": row_hits(F.col("cells"), F.col("spec"), F.col("checks"))})
+
+
+def judged_rows(rows: DataFrame, routes: DataFrame) -> DataFrame:
+    """The same with `hits`."""
+    return with_hits(routed_rows(rows, routes))
 
 
 def row_issues(judged: DataFrame, *rules: str) -> DataFrame:
@@ -189,13 +205,11 @@ def row_issues(judged: DataFrame, *rules: str) -> DataFrame:
     )
 
 
-def duplicate_key_issues(judged: DataFrame) -> DataFrame:
+def duplicate_key_issues(routed: DataFrame) -> DataFrame:
     """Keys that repeat, as raw text; ragged rows and keyless tables take no part."""
-    whole = judged.where((F.size("cells") == F.size("spec")) & (F.col("checks") == "all"))
-    parts = F.filter(
-        F.transform("spec", lambda c, k: F.when(c["is_pk"], F.coalesce(F.get("cells", k), F.lit("")))), lambda v: v.isNotNull()
-    )
-    keyed = compute_once(whole, {"_key": parts}).select("table", "line_no", "_key").where(F.size("_key") > 0)
+    whole = routed.where((F.size("cells") == F.size("spec")) & (F.col("checks") == "all") & (F.size("key_at") > 0))
+    key = F.transform("key_at", lambda k: F.coalesce(F.get("cells", k), F.lit("")))
+    keyed = whole.select("table", "line_no", key.alias("_key"))
     later = later_occurrences(keyed, ["table", "_key"], ["line_no"])
     detail = F.concat(F.array_join("_key", ","), F.lit(" first at line "), F.col("first_place.line_no").cast("string"))
     return as_issues(later, "duplicate_keys", "contract", key_text("table", "line_no"), detail, wave=1)
@@ -224,7 +238,8 @@ def validate(
         raise ExemptionsNeedDryRun("exemptions hold on dry runs only")
     if routes is None:
         routes = table_hits(routing(files, headers, live, docs, exemptions))
-    judged = judged_rows(rows, routes)
+    counts = row_counts(rows)
+    routed = routed_rows(rows, routes, counts)
     known = routes.select("table", "route", "used")
     unknown = files.join(known.where("route = 'unknown'"), "table", "left_semi")
     lifted = F.array_contains("used", DROPPED)
@@ -232,7 +247,7 @@ def validate(
     dropped = (F.col("hit.rule") == "missing_backing") & F.col("hit.detail").startswith("live") & lifted
     # An exempted table is told of, though it is no error.
     exempted = known.select("table", F.explode("used").alias("kind")).where(F.col("kind") != DROPPED)
-    many = judged.groupBy("table").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_rows)
+    many = counts.where(F.col("_n") > max_rows).join(routes.where("checks <> 'none'").select("table"), "table")
 
     def told(df: DataFrame, rule: Column, key: Column, detail: Column) -> DataFrame:
         return df.select(
@@ -249,9 +264,9 @@ def validate(
         folder_alignment(files, docs),
         duplicate_stem(files),
         table_level,
-        told(many, F.lit("row_guardrail"), F.col("table"), F.col("n").cast("string")),
-        row_issues(judged),
-        duplicate_key_issues(judged),
+        told(many, F.lit("row_guardrail"), F.col("table"), F.col("_n").cast("string")),
+        row_issues(with_hits(routed)),
+        duplicate_key_issues(routed),
     )
     return errors.withColumn("severity", F.lit("error")).unionByName(waived.withColumn("severity", F.lit("warning")))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions.text import blank
 from catalith.issues import as_issues, key_text
-from catalith.skew import first_place, spread_join
+from catalith.skew import counted_hot_keys, first_place, spread_join
 
 
 def mark_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -32,9 +32,10 @@ def later_occurrences(df: DataFrame, key: list[str], order: list[str]) -> DataFr
         df.groupBy(*key)
         .agg(first_place(order).alias("first_place"), F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1)
-        .drop("_n")
     )
-    rows = spread_join(df, repeated, key, "inner", spread_by=order, grouped=True)
+    # A key of very many rows is a repeated one, so it need not be counted again.
+    hot = counted_hot_keys(repeated, key, "_n")
+    rows = spread_join(df, repeated.drop("_n"), key, "inner", spread_by=order, grouped=True, hot=hot)
     return rows.where(F.struct(*order) > F.col("first_place"))
 
 

@@ -304,7 +304,8 @@ def _shape(spark):
 def _delivery(spark, d):
     """(files, headers, rows) of the three tables."""
     rows = _cells(spark, d)
-    headers = rows.groupBy("table").agg(F.min("header").alias("header"))
+    # Distinct headers first: the smallest of all rows' arrays would be sought by sorting the rows.
+    headers = rows.select("table", "header").distinct().groupBy("table").agg(F.min("header").alias("header"))
     files = spark.createDataFrame([(f"s/{t}.csv", "s", t) for t in TABLES], "path string, schema string, table string")
     return files, headers, rows
 
@@ -313,10 +314,14 @@ def _no_exemptions(spark):
     return spark.createDataFrame([], "kind string, table string")
 
 
-def _judged(spark, d):
+def _routed(spark, d):
     files, headers, rows = _delivery(spark, d)
     routes = K.table_hits(K.routing(files, headers, _shape(spark), _shape(spark), _no_exemptions(spark)))
-    return K.judged_rows(rows, routes)
+    return K.routed_rows(rows, routes)
+
+
+def _judged(spark, d):
+    return K.with_hits(_routed(spark, d))
 
 
 @query(
@@ -334,7 +339,7 @@ def ragged_rows(spark, d):
     where line_no <> first""",
 )
 def duplicate_keys(spark, d):
-    return K.duplicate_key_issues(_judged(spark, d)).select(*BRIEF)
+    return K.duplicate_key_issues(_routed(spark, d)).select(*BRIEF)
 
 
 @query(

@@ -77,5 +77,11 @@ def spread_join(
 
 
 def first_place(order: list[str]) -> Column:
-    """Aggregate: the smallest value of the ordering columns in the group."""
-    return F.min(F.struct(*order))
+    """Aggregate: the smallest value of the ordering columns in the group, as a struct; NULL comes first.
+
+    Of a single column the plain minimum is taken, as that of structs is found by sorting the rows.
+    """
+    if len(order) > 1:
+        return F.min(F.struct(*order))
+    least = F.when(F.count(order[0]) == F.count(F.lit(1)), F.min(order[0]))
+    return F.struct(least.alias(order[0]))

@@ -5,12 +5,14 @@ import re
 from pyspark.sql import functions as F
 
 from catalith.functions import expressions as E
+from catalith.operators import code_sets as K
 from catalith.operators import consumers as Q
 from catalith.operators import contract as C
 from catalith.operators import graph as G
 from catalith.operators import history as Y
 from catalith.operators import intervals as I
 from catalith.operators import lineage as L
+from catalith.skew import first_place
 
 
 def _plan(df) -> str:
@@ -88,3 +90,32 @@ def test_rows_made_from_arrays_are_never_broadcast(spark):
     own = L.self_reference(rows, "e", "own", "k", columns, "column_id")
     assert "BroadcastHashJoin" not in _plan(own)
     assert [r.detail for r in own.collect()] == ["a.b.c.d"]
+
+
+def _contract(spark, rows):
+    """(rows, routes) of one table `t` of a key and a date."""
+    live = spark.createDataFrame(
+        [("t", 0, "code", "integer", False, True), ("t", 1, "since", "date", True, False)],
+        "table string, ordinal int, name string, type string, nullable boolean, is_pk boolean",
+    )
+    files = spark.createDataFrame([("s/t.csv", "s", "t")], "path string, schema string, table string")
+    headers = spark.createDataFrame([("t", ["code", "since"])], "table string, header array<string>")
+    docs = live.withColumn("schema", F.lit("s"))
+    routes = K.table_hits(K.routing(files, headers, live, docs, spark.createDataFrame([], "kind string, table string")))
+    return spark.createDataFrame(rows, "table string, line_no int, cells array<string>"), routes
+
+
+def test_keys_are_compared_without_judging_cells_or_sorting_rows(spark):
+    rows, routes = _contract(spark, [("t", i, [str(i % 3), ""]) for i in range(2, 8)] + [(None, 9, ["1", ""])])
+    found = K.duplicate_key_issues(K.routed_rows(rows, routes))
+    assert "cell_parses" not in _plan(found) and "SortAggregate [table" not in _plan(found) and "min(struct" not in _plan(found)
+    assert sorted((r.object_key, r.detail) for r in found.collect()) == [
+        ("t|5", "2 first at line 2"), ("t|6", "0 first at line 3"), ("t|7", "1 first at line 4"),
+    ]
+
+
+def test_first_place_of_one_column_is_that_of_structs(spark):
+    rows = spark.createDataFrame([("a", 3), ("a", 1), ("b", None), ("b", 2), ("c", None), (None, 5), (None, 4)], "k string, n int")
+    got, want = (rows.groupBy("k").agg(c.alias("f")) for c in (first_place(["n"]), F.min(F.struct("n"))))
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    assert "SortAggregate" not in _plan(got)
