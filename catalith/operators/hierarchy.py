@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions import paths
-from catalith.functions.binding import compute_once
-from catalith.skew import spread_join
+from catalith.functions.binding import compute_once, let
+from catalith.skew import counted_hot_keys, spread_join
+
+# Ids of one front or label that one task may take.
+IDS_PER_TASK = 100_000
 
 
 def descendants_of(df: DataFrame, id_col: str, top: str) -> DataFrame:
@@ -52,33 +55,50 @@ def path_match_many(df: DataFrame, id_col: str, patterns: DataFrame, pattern: st
     only those of nothing but stars meet every id, as they match every id. An automaton
     over the labels decides.
 
+    Fronts and labels are counted apart from the rows. Those of many ids are dropped before
+    the rows move if no pattern stands there, and dealt to several tasks if one does.
+
     NULL ids and patterns match nothing, nor do ids with an empty label match a star.
     Repeated rows each count, repeated patterns once. `df` must not have a column named
-    like the pattern's, or one of `_key`, `_labels`, `parts`, `n_front`.
+    like the pattern's, or one of `_key`, `_labels`, `_lengths`, `_salt`, `_salts`, `parts`, `n_front`.
     """
     wanted = _slim(patterns, pattern)
-    ids = df.where(F.col(id_col).isNotNull()).withColumn("_labels", paths.labels(id_col))
-    legal = ~F.array_contains("_labels", "")
+    ids = df.where(F.col(id_col).isNotNull())
 
     # Front lengths that occur: a few numbers, one for each length of pattern.
-    lengths = wanted.where("n_front > 0").select("n_front").distinct()
-    tops = ids.join(F.broadcast(lengths), F.size("_labels") >= F.col("n_front"))
-    tops = tops.withColumn("_key", F.expr(f"substring_index(`{id_col}`, '.', n_front)")).drop("n_front")
-    fronts = wanted.where("n_front > 0").select(pattern, "parts", F.col("front").alias("_key"))
-
-    starred = wanted.where("n_front = 0").select(pattern, "parts", F.explode("parts").alias("_key")).where("_key <> '*'").distinct()
-    held = ids.select("*", F.explode(F.array_distinct("_labels")).alias("_key"))
-    held = held.join(starred.select("_key").distinct(), "_key", "left_semi")
+    lengths = wanted.where("n_front > 0").agg(F.collect_set("n_front").alias("_lengths"))
+    front = lambda n: F.concat(F.lit("f"), F.call_function("substring_index", F.col(f"`{id_col}`"), F.lit("."), n))
+    keys = let(
+        paths.labels(F.col(f"`{id_col}`")),
+        lambda own: F.concat(
+            F.transform(F.filter("_lengths", lambda n: n <= F.size(own)), front),
+            F.transform(F.array_distinct(own), lambda label: F.concat(F.lit("l"), label)),
+        ),
+    )
+    held = ids.crossJoin(F.broadcast(lengths)).withColumn("_key", F.explode(keys)).drop("_lengths")
+
+    fronts = wanted.where("n_front > 0").select(pattern, "parts", F.concat(F.lit("f"), "front").alias("_key"))
+    starred = wanted.where("n_front = 0").select(pattern, F.explode("parts").alias("_key")).where("_key <> '*'").distinct()
+    starred = starred.withColumn("_key", F.concat(F.lit("l"), "_key"))
     counts = held.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     rarest = starred.join(counts, "_key", "left").groupBy(pattern).agg(F.min(F.struct(F.coalesce("_n", F.lit(0)), "_key"))["_key"].alias("_key"))
-    anchors = rarest.join(wanted.select(pattern, "parts"), pattern)
+    anchors = fronts.unionByName(rarest.join(wanted.select(pattern, "parts"), pattern))
+
+    # At most so many entries as there are keys for one task's rows.
+    hot = counted_hot_keys(counts, ["_key"], "_n", IDS_PER_TASK)
+    asked = hot.join(anchors.select("_key").distinct(), "_key", "left_semi")
+    idle = hot.join(anchors.select("_key"), "_key", "left_anti").select("_key")
+    held = held.join(F.broadcast(idle), "_key", "left_anti")
+    found = spread_join(held, anchors, ["_key"], spread_by=[id_col], grouped=True, hot=asked).drop("_key")
 
-    found = tops.join(fronts, "_key").unionByName(held.join(anchors, "_key"))
+    found = compute_once(found, {"_labels": paths.labels(F.col(f"`{id_col}`"))})
+    legal = ~F.array_contains("_labels", "")
     exact = ~F.array_contains("parts", "*")
     hit = F.when(exact, F.col("_labels") == F.col("parts")).otherwise(legal & paths.matches_labels(F.col("_labels"), F.col("parts")))
-    found = found.where(hit).drop("_key", "_labels", "parts")
+    found = found.where(hit).drop("_labels", "parts")
     stars = wanted.where(F.size("parts") == 1).where(F.get("parts", F.lit(0)) == "*").select(pattern)
-    every = ids.where(legal).drop("_labels").withColumn("_key", F.lit(1)).join(stars.withColumn("_key", F.lit(1)), "_key").drop("_key")
+    whole = ids.where(~F.array_contains(paths.labels(F.col(f"`{id_col}`")), ""))
+    every = whole.withColumn("_key", F.lit(1)).join(stars.withColumn("_key", F.lit(1)), "_key").drop("_key")
     return found.unionByName(every)
 
 

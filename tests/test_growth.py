@@ -1,5 +1,6 @@
 """What only showed on larger tables."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from catalith.operators import code_sets as K
 from catalith.operators import consumers as Q
 from catalith.operators import contract as C
 from catalith.operators import graph as G
+from catalith.operators import hierarchy as H
 from catalith.operators import history as Y
 from catalith.operators import intervals as I
 from catalith.operators import lineage as L
@@ -119,3 +121,15 @@ def test_first_place_of_one_column_is_that_of_structs(spark):
     got, want = (rows.groupBy("k").agg(c.alias("f")) for c in (first_place(["n"]), F.min(F.struct("n"))))
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
     assert "SortAggregate" not in _plan(got)
+
+
+def test_idle_labels_stay_where_they_are_and_asked_ones_are_dealt_out(spark, monkeypatch):
+    ids = [(f"{'a' if i % 3 else 'b'}.t{i % 4}.concept.k{i}",) for i in range(40)]
+    df = spark.createDataFrame([*ids, ("a..concept.k1",), (None,)], "id string")
+    patterns = spark.createDataFrame([("a.*",), ("*.t1.concept.*",), ("b.t2.*.k2",), ("*.k7",), ("*.none.concept",)], "p string")
+    want = sorted(tuple(r) for r in H.path_match_many(df, "id", patterns, "p").collect())
+    assert len(want) == 26 + 10 + 1 and ("a.t1.concept.k1", "*.t1.concept.*") in want
+    monkeypatch.setattr(H, "IDS_PER_TASK", 3)
+    many = H.path_match_many(df, "id", patterns, "p")
+    assert sorted(tuple(r) for r in many.collect()) == want
+    assert "_salt" in _plan(many) and "LeftAnti" in _plan(many)
