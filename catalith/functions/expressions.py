@@ -34,8 +34,11 @@ _TOKEN = (
     rf"|{_SIGN}|[~!@#%^&|`?]"
 )
 _IS_CHAIN = rf"\A{_NAME}(?:\s*+\.\s*+{_NAME})++\z"
-# The same tokens, of which group 2 holds those that are dotted chains; group 1 is the tag of a dollar quote.
-_CHAINS = _TOKEN.replace(f"|{_CALL_OR_CHAIN}", rf"|({_NAME}(?:\s*+\.\s*+{_NAME})++)(?!\s*+\()|{_CALL_OR_CHAIN}")
+_CHAIN = rf"{_NAME}(?:\s*+\.\s*+{_NAME})"
+# White space, a token that starts no name, or a literal with escapes.
+_NO_NAME = rf"""\s++|(?![\p{{L}}_"])(?:{_TOKEN}|\S)|(?s:[eE]'(?:[^'\\]++|\\.|'')*+')"""
+# The next dotted chain, in group 2, behind all tokens that are none; group 1 is the tag of a dollar quote.
+_CHAINS = rf"""\G(?:{_NO_NAME}|{_NAME}(?!\s*+\.\s*+{_NAME})|{_CHAIN}++\s*+\(|"(?![^"]*+"))*+({_CHAIN}++)"""
 _IS_BARE = rf"\A{_NAME}\z"
 
 # Functions whose result changes between runs, and the context
@@ -114,14 +117,19 @@ SET_OPERATION_LABELS = {
     "union": "UNION set-operation",
 }
 
-REFERENCE_PARTS = 4
-
-
 # What a label can hang on: without one of these tokens an expression is plain.
 NAVIGATION_WORDS = (";", "select", "with", "join", "from", *STATEMENT_LABELS, *OTHER_COMMANDS, *SET_OPERATION_LABELS)
 # What changes the depth, but for the bracket of a call.
 _DEPTH_TOKENS = ("(", "[", ")", "]", "case", "end")
 HARD_WORDS = tuple(w for w in (*SQL_WORDS, *CONTEXT_KEYWORDS) if w not in SOFT_WORDS)
+REFERENCE_PARTS = 4
+# A text all of whose names are references of that many parts, calls, or words that never name a column. Only
+# plain names are known here; a reference with a bracket behind it is a call, and as good.
+_PLAIN = r"[a-zA-Z_][a-zA-Z0-9_$]*+"
+_ALL_QUALIFIED = (
+    rf"\A(?:{_PLAIN}(?:\.{_PLAIN}){{{REFERENCE_PARTS - 1}}}+(?![\p{{L}}\p{{N}}]|\s*+\.)|{_NO_NAME}"
+    rf"|(?i:{'|'.join(HARD_WORDS)})(?![\p{{L}}\p{{N}}_$]|\s*+\.)|{_CHAIN}*+\s*+\()*+\z"
+)
 
 
 def all_tokens(expr: Column) -> Column:
@@ -147,9 +155,8 @@ def reference_tokens(toks: Column) -> Column:
 
 
 def column_references(expr: Column) -> Column:
-    """The same from the text: the expression that cuts it says which tokens are references."""
-    found = F.regexp_extract_all(expr, F.lit(_CHAINS), F.lit(2))
-    return F.transform(F.filter(found, lambda t: t != ""), plain_reference)
+    """The same from the text: the expression that cuts it passes over all other tokens by itself."""
+    return F.transform(F.regexp_extract_all(expr, F.lit(_CHAINS), F.lit(2)), plain_reference)
 
 
 def _n_parts(reference: Column) -> Column:
@@ -191,8 +198,14 @@ def _stands_for_a_column(around: Column) -> Column:
 
 
 def badly_qualified(expr: Column) -> Column:
-    """References, bare names included, that do not have exactly four parts."""
-    return let(tokens(expr), badly_qualified_tokens)
+    """References, bare names included, that do not have exactly four parts. Most texts need not be cut up to see that there are none."""
+    none = F.array().cast("array<string>")
+    return F.when(all_qualified(expr), none).otherwise(let(tokens(expr), badly_qualified_tokens))
+
+
+def all_qualified(expr: Column) -> Column:
+    """True only if nothing is badly qualified; texts with a name that needs a look at its neighbours are not told from bad ones."""
+    return expr.rlike(_ALL_QUALIFIED)
 
 
 def badly_qualified_tokens(toks: Column) -> Column:

@@ -133,3 +133,22 @@ def test_idle_labels_stay_where_they_are_and_asked_ones_are_dealt_out(spark, mon
     many = H.path_match_many(df, "id", patterns, "p")
     assert sorted(tuple(r) for r in many.collect()) == want
     assert "_salt" in _plan(many) and "LeftAnti" in _plan(many)
+
+
+def test_expressions_are_cut_as_far_as_asked_only(spark):
+    """By one find per reference, and clean texts without tokens; the outcome is that of the tokens."""
+    random.seed(5)
+    pieces = [
+        "a", "a.b", "a.b.c", "a.b.c.d", "a . b.\nc.d", '"a.x".b.c."d e"', "a.b.c.d.e", "f(", "a.b.c.d (", "a.f(", ")", "'x.y.z.w'", "E'it\\'s a.b'", "e'", "'",
+        '"', '"q"', '"q', "$$a.b$$", "$t$ a.b.c $t$", "$t$", "-- a.b.c\n", "--", "/* a.b */", "/*", "select", "SELECT", "At", "date", "range", "Key", "1.5", ".5", "a.1",
+        "=", "<>-", "@-", "::", "[", "]", ",", ";", " ", "  ", "\n", "and", "current_date", "été.b.c.d", ".", "#", "e", "x'ab'", "5a.b.c.d",
+    ]
+    texts = ["", None, *pieces] + ["".join(random.choice(pieces) + random.choice(["", " "]) for _ in range(random.randint(1, 9))) for _ in range(4000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4)
+    t = F.col("t")
+    cut = rows.select("t", E.tokens(t).alias("toks"), E.column_references(t).alias("refs"), E.badly_qualified(t).alias("bad"))
+    both = cut.select("t", "refs", E.reference_tokens(F.col("toks")).alias("r"), "bad", E.badly_qualified_tokens(F.col("toks")).alias("b"))
+    assert both.where("not (refs <=> r) or not (bad <=> b)").collect() == []
+    assert rows.select(E.all_qualified(t).alias("q")).where("q").count() > 100
+    long = spark.createDataFrame([("a.b.c.d + 1.5 or f(x) = 'y' -- z\n " * 30_000,), ("a.b.c.d + (" * 90_000,)], "t string")
+    assert [tuple(r) for r in long.select(F.size(E.column_references(t)), F.size(E.badly_qualified(t))).collect()] == [(30_000, 30_000), (90_000, 0)]
