@@ -40,7 +40,8 @@ def tables_referenced(df: DataFrame, expr: str, into: str = "target_tables_refer
 def refs_resolve(df: DataFrame, expr: str, key: str, columns: DataFrame, column_id: str, object_type: str) -> DataFrame:
     """Referenced columns that are not documented, with a hint when only the case differs."""
     refs = with_references(df, expr).select(F.col(key).alias("_key"), F.explode("_refs").alias("_r"))
-    known = ids((columns, column_id))
+    # Columns may be made from fewer rows, which is all that Spark would judge their size by; candidates for hints too.
+    known = ids((columns, column_id)).hint("merge")
     missing = case_hint(unresolved(refs, F.col("_r"), F.col("_key"), known), known)
     return as_issues(missing, "refs_resolve", object_type, F.col("object_key"), F.col("_ref"), F.col("hint"))
 

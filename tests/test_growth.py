@@ -94,6 +94,15 @@ def test_rows_made_from_arrays_are_never_broadcast(spark):
     assert [r.detail for r in own.collect()] == ["a.b.c.d"]
 
 
+def test_documented_columns_are_never_broadcast(spark):
+    rows = spark.createDataFrame([("k", "a.b.c.d = a.b.c.E"), ("l", "a.b.c.x = 1"), ("m", None)], "k string, e string")
+    # One row, as far as Spark can tell.
+    columns = spark.range(1).select(F.explode(F.array(F.lit("d"), F.lit("e"))).alias("c")).select(F.concat_ws(".", F.lit("a.b.c"), "c").alias("column_id"))
+    found = L.refs_resolve(rows, "e", "k", columns, "column_id", "column_mappings")
+    assert "BroadcastHashJoin" not in _plan(found)
+    assert sorted((r.object_key, r.detail, r.hint) for r in found.collect()) == [("k", "a.b.c.E", "a.b.c.e"), ("l", "a.b.c.x", None)]
+
+
 def _contract(spark, rows):
     """(rows, routes) of one table `t` of a key and a date."""
     live = spark.createDataFrame(
