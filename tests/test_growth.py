@@ -2,9 +2,11 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
+from catalith.checkpoints import stage, staging_folder
 from catalith.functions import expressions as E
 from catalith.operators import code_sets as K
 from catalith.operators import consumers as Q
@@ -161,3 +163,17 @@ def test_expressions_are_cut_as_far_as_asked_only(spark):
     assert rows.select(E.all_qualified(t).alias("q")).where("q").count() > 100
     long = spark.createDataFrame([("a.b.c.d + 1.5 or f(x) = 'y' -- z\n " * 30_000,), ("a.b.c.d + (" * 90_000,)], "t string")
     assert [tuple(r) for r in long.select(F.size(E.column_references(t)), F.size(E.badly_qualified(t))).collect()] == [(30_000, 30_000), (90_000, 0)]
+
+
+def test_what_was_shuffled_for_a_staged_table_goes(spark):
+    def shuffled() -> set[str]:
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before, conf = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = stage(spark.range(1000).selectExpr("id % 10 as k").groupBy("k").count(), staging_folder(spark), "counts")
+    ends = time.time() + 20
+    while shuffled() - before and time.time() < ends:
+        time.sleep(0.2)
+    assert not shuffled() - before and rows.count() == 10
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == conf
