@@ -161,6 +161,37 @@ def test_only_inner_tables_are_searched_for_components(spark, monkeypatch):
     assert [(i.rule, i.object_key) for i in paths.issues.collect()] == [("unreachable_target", "apart")]
 
 
+def test_sources_of_one_neighbour_are_searched_once(spark, monkeypatch):
+    # Two hundred leaves on each of two hubs in a row ask for a leaf of the other hub, for the far hub and for a leaf of their own hub.
+    rels = [(f"leaf{i:03d}", f"hub{i % 2}", f"r{i}") for i in range(400)] + [("hub0", "mid", "x"), ("mid", "hub1", "y1"), ("hub1", "mid", "y2")]
+    placed = [(t, "s") for t in {t for a, b, _ in rels for t in (a, b)}]
+    wanted = [(f"m{i}_{n}", f"leaf{i:03d}", t) for i in range(2, 400, 2) for n, t in enumerate(("leaf001", "hub1", "leaf000", "hub0"))]
+    wanted += [("back", "hub0", "leaf001"), ("down", "hub0", "leaf000")]
+    seen, full, kept, staged = [], join_paths._expanded, [], join_paths.stage
+    monkeypatch.setattr(join_paths, "_expanded", lambda last, *rest: seen.append(last.count()) or full(last, *rest))
+    monkeypatch.setattr(join_paths, "stage", lambda df, folder, name: kept.append(f"{folder}/{name}") or staged(df, folder, name))
+    paths = join_paths.join_paths(
+        spark.createDataFrame(wanted, "key string, source string, target string"), spark.createDataFrame(rels, "a string, b string, name string"),
+        "a", "b", "name", spark.createDataFrame(placed, "table_id string, system string"),
+    )
+    hops = defaultdict(list)
+    for h in sorted(paths.hops.collect()):
+        hops[h.key].append((h.from_table, h.to_table, h.rel_key))
+    away = [("hub0", "mid", "x"), ("mid", "hub1", "y1")]
+    for i in range(2, 400, 2):
+        up = (f"leaf{i:03d}", "hub0", f"r{i}")
+        assert hops[f"m{i}_0"] == [up, *away, ("hub1", "leaf001", "r1")] and hops[f"m{i}_1"] == [up, *away]
+        assert hops[f"m{i}_2"] == [up, ("hub0", "leaf000", "r0")] and hops[f"m{i}_3"] == [up]
+    assert hops["back"] == [*away, ("hub1", "leaf001", "r1")] and hops["down"] == [("hub0", "leaf000", "r0")]
+    unclear = {f"m{i}_{n}" for i in range(2, 400, 2) for n in (0, 1)} | {"back"}
+    assert {(i.rule, i.object_key) for i in paths.issues.collect()} == {("ambiguous_path", k) for k in unclear}
+    assert max(seen) < 10
+    # Only what the results are read from is left.
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    left = {p.rsplit("/", 1)[1] for p in kept if hadoop(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop(p))}
+    assert left == {"asked", "chosen", "ways", "hops"}
+
+
 def test_pairs_are_led_through_their_smaller_level(spark):
     # Each of 300 sources has one table, which is among the 300 of the one target, and the other way round.
     level = lambda rows: spark.createDataFrame(rows, "start string, node string").selectExpr("'s' as system", "start", "node", "1L as ways")
